@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Any Unicode white space at either end.
-OUTER_BLANKS = r"(?U)^\s+|\s+$"
+#: All Unicode white space.
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def trim(c: Column | str) -> Column:
     """Text without outer white space of any kind; null stays null."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(c, OUTER_BLANKS, "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def label(c: Column | str) -> Column:
