@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LEAST = 1e-300
 
@@ -38,7 +39,7 @@ def tail(m: np.ndarray, a: np.ndarray, b: np.ndarray, k: np.ndarray) -> np.ndarr
     return out
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def hypergeometric_tail(m: pd.Series, a: pd.Series, b: pd.Series, k: pd.Series) -> pd.Series:
     return pd.Series(tail(*(x.to_numpy(np.int64) for x in (m, a, b, k))))
 

@@ -18,7 +18,7 @@ def best_hits(hits: DataFrame, query: str = "qseqid", score: str = "bitscore", t
 
 def explode_list(df: DataFrame, col: str, sep: str = ",", name: str = "item") -> DataFrame:
     """One row per part of a list that isn't blank; df without the list column."""
-    parts = F.filter(F.transform(F.split(F.coalesce(F.col(col), F.lit("")), sep), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(F.coalesce(F.col(col), F.lit("")), sep), lambda x: F.trim(x)), lambda x: x != "")
     return df.withColumn(name, F.explode(parts)).drop(col)
 
 

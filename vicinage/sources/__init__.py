@@ -1 +1 @@
-
+"""Readers of the files the engine takes."""
