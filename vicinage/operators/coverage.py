@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vicinage.session import cut
+
 SHARD = 65_536
 
 
@@ -57,27 +59,25 @@ def coverage(df: DataFrame, keys: list[str], start: Column | str, end: Column |
     kept = pieces.groupBy(*keys, "k", "bridge", "s").agg(F.max("e").alias("e"))
     level1 = merged(kept.where("not bridge"), [*keys, "k"])
     w = W.partitionBy(*keys, "k").orderBy("s")
-    level1 = level1.withColumn("n", F.row_number().over(w)).withColumn("next", F.lead("s").over(w))
-    # level 2: first and last stretches and bridges, in order of place; a bridge swallows what lies in its shards
-    edge = F.expr("n = 1 or next is null")
-    items = level1.select(*keys, "k", "s", "e", "next", edge.alias("edge"), F.col("n").alias("n"), F.lit(False).alias("bridge"))
-    bridges = kept.where("bridge").select(*keys, "k", "s", "e", F.lit(None).cast("bigint").alias("next"), F.lit(True).alias("edge"), F.lit(1).alias("n"), "bridge")
-    summary = items.where("edge").unionByName(bridges)
+    level1 = level1.withColumn("n", F.row_number().over(w)).withColumn("next", F.lead("s").over(w)).withColumn("bridge", F.lit(False))
+    bridges = kept.where("bridge").select(*keys, "k", "s", "e", F.lit(1).alias("n"), F.lit(None).cast("bigint").alias("next"), "bridge")
+    parts = cut(level1.unionByName(bridges), "stretches")
+    period, gap = F.lit("period").alias("kind"), F.lit("gap").alias("kind")
+    rows_of = lambda *cs: F.explode(F.array_compact(F.array(*cs))).alias("r")
+    # level 2: first and last stretches of each shard and bridges, in order of place
     u = W.partitionBy(*keys).orderBy("s", "e")
-    reach = F.max("e").over(u.rowsBetween(W.unboundedPreceding, -1))
-    summary = summary.withColumn("reach", reach).withColumn("new", F.when(F.col("reach").isNull() | (F.col("s") > F.col("reach") + 1), 1).otherwise(0))
-    summary = summary.withColumn("island", F.sum("new").over(u.rowsBetween(W.unboundedPreceding, 0)))
-    stitched = summary.groupBy(*keys, "island").agg(F.min("s").alias("first_pos"), F.max("e").alias("last_pos")).select(*keys, F.lit("period").alias("kind"), "first_pos", "last_pos")
-    # a stretch that isn't the first of its shard has its gap before it from level 1
-    between = summary.where("new = 1 and reach is not null and n = 1").select(*keys, F.lit("gap").alias("kind"), (F.col("reach") + 1).alias("first_pos"), (F.col("s") - 1).alias("last_pos"))
-    inner = items.where("not edge").select(*keys, "k", F.lit("period").alias("kind"), F.col("s").alias("first_pos"), F.col("e").alias("last_pos"))
-    gaps = items.where("next is not null").select(*keys, "k", F.lit("gap").alias("kind"), (F.col("e") + 1).alias("first_pos"), (F.col("next") - 1).alias("last_pos"))
-    inside = inner.unionByName(gaps)
-    swallowed = merged(kept.where("bridge").select(*keys, F.col("s"), F.col("e")), keys)
-    inside = inside.join(
-        swallowed.withColumnRenamed("s", "bs").withColumnRenamed("e", "be"),
-        [inside[k] == swallowed[k] for k in keys] + [F.col("first_pos") >= F.col("bs"), F.col("last_pos") <= F.col("be")],
-        "left_anti",
-    ).drop("k")
-    out = stitched.unionByName(between).unionByName(inside)
+    ends = parts.where("bridge or n = 1 or next is null").withColumn("reach", F.max("e").over(u.rowsBetween(W.unboundedPreceding, -1)))
+    ends = ends.withColumn("new", F.when(F.col("reach").isNull() | (F.col("s") > F.col("reach") + 1), 1).otherwise(0)).withColumn("island", F.sum("new").over(u.rowsBetween(W.unboundedPreceding, 0)))
+    # a stretch that isn't the first of its shard has the gap before it from level 1
+    before = F.max(F.when((F.col("new") == 1) & (F.col("n") == 1), F.col("reach"))).alias("before")
+    stitched = ends.groupBy(*keys, "island").agg(F.min("s").alias("s"), F.max("e").alias("e"), before)
+    left_open = F.struct(gap, (F.col("before") + 1).alias("first_pos"), (F.col("s") - 1).alias("last_pos"))
+    stitched = stitched.select(*keys, rows_of(F.struct(period, F.col("s").alias("first_pos"), F.col("e").alias("last_pos")), F.when(F.col("before").isNotNull(), left_open)))
+    inner = F.when((F.col("n") > 1) & F.col("next").isNotNull(), F.struct(period, F.col("s").alias("first_pos"), F.col("e").alias("last_pos")))
+    after = F.when(F.col("next").isNotNull(), F.struct(gap, (F.col("e") + 1).alias("first_pos"), (F.col("next") - 1).alias("last_pos")))
+    inside = parts.where("not bridge and next is not null").select(*keys, rows_of(inner, after))
+    if not (over := parts.where("bridge")).isEmpty():  # a bridge swallows what lies in its shards
+        swallowed = merged(over.select(*[F.col(k).alias(f"_b{k}") for k in keys], "s", "e"), [f"_b{k}" for k in keys])
+        inside = inside.join(swallowed, [F.col(k) == F.col(f"_b{k}") for k in keys] + [F.col("r.first_pos") >= F.col("s"), F.col("r.last_pos") <= F.col("e")], "left_anti")
+    out = stitched.unionByName(inside).select(*keys, "r.*")
     return out.select(*[F.col(k).alias(n) for n, k in zip(names, keys, strict=True)], "kind", "first_pos", "last_pos")
