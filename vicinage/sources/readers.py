@@ -27,7 +27,7 @@ FASTANI = {5: "query string, ref string, ani double, fragments bigint, total big
 
 def id_list(spark: SparkSession, path: str) -> DataFrame:
     """(og_index, id, start, end, strand, input_type) of a file with one id a line; blank lines are left out but counted."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("og_index", "line"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("og_index", "line"))
     return lines.where(F.trim("line") != "").select(F.col("og_index").cast("bigint").alias("og_index"), region(F.col("line")).alias("r"), id_class(F.col("line")).alias("input_type")).select("og_index", "r.*", "input_type")
 
 
@@ -176,7 +176,7 @@ def strain_csv(spark: SparkSession, path: str, like: str) -> DataFrame:
     accession, and blank ids take the one above."""
     from vicinage.operators.windows import forward_fill
 
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("line_no", "line"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("line_no", "line"))
     head = lines.where(F.col("line").rlike(r'^"?ID"?,')).orderBy("line_no").first()
     if head is None:
         raise ValueError(f"{path}: no header row that begins with ID")
@@ -207,5 +207,5 @@ def distance_csv(spark: SparkSession, path: str) -> DataFrame:
     """(a, b, dist) of a square CSV matrix whose first column names the rows."""
     df = spark.read.option("header", True).csv(path)
     first, *rest = df.columns
-    long = df.withColumnRenamed(first, "a").unpivot("a", rest, "b", "dist")
-    return long.select("a", "b", F.col("dist").try_cast("double").alias("dist"))
+    long = df.withColumnRenamed(first, "_row").unpivot("_row", rest, "_column", "dist")
+    return long.select(F.col("_row").alias("a"), F.col("_column").alias("b"), F.col("dist").try_cast("double").alias("dist"))
