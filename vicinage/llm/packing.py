@@ -152,8 +152,12 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int
     done = cut(docs.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInArrow(first, schema), "packed")
     out, level = done.where("bin_id is not null"), 1
     open_rows = done.where("bin_id is null")
+    before = None
     while True:
         n = open_rows.count()
+        if before is not None and n > before // 2:  # too few rows a task to complete containers
+            left *= 4
+        before = n
         tasks = max(1, -(-n // left))
 
         def again(batches: Iterator[pa.RecordBatch], level: int = level, close: bool = tasks == 1) -> Iterator[pa.RecordBatch]:
