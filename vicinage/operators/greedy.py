@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,29 +13,31 @@ from pyspark.sql import functions as F
 from vicinage.operators.windows import covered_length
 
 
-def keep_apart(starts: list[int], ends: list[int], slack: int) -> list[bool]:
-    """Which of the inclusive intervals, best first, share at most slack positions with every one kept before.
+class Apart:
+    """Inclusive intervals, best first, of which each shares at most slack positions with every one taken before.
 
-    Kept intervals lie in order of start; as each shares little with the next, only neighbours have to be looked at
-    until one lies too far left.
+    Those taken lie in order of start; as each shares little with the next, only neighbours have to be looked at until
+    one lies too far left.
     """
-    kept: list[tuple[int, int]] = []
-    longest, out = 0, []
-    for s, e in zip(starts, ends, strict=True):
-        ok, i = True, bisect_left(kept, (s, e))
-        j = i
-        while ok and j < len(kept) and kept[j][0] <= e:
-            ok = min(e, kept[j][1]) - kept[j][0] + 1 <= slack
-            j += 1
-        j = i - 1
-        while ok and j >= 0 and kept[j][0] > s - longest:
-            ok = min(e, kept[j][1]) - s + 1 <= slack
-            j -= 1
-        if ok:
-            insort(kept, (s, e))
-            longest = max(longest, e - s + 1)
-        out.append(ok)
-    return out
+
+    def __init__(self, slack: int) -> None:
+        self.slack, self.taken, self.longest = slack, [], 0
+
+    def take(self, s: int, e: int) -> bool:
+        at = bisect_left(self.taken, (s, e))
+        for a, b in self.taken[at:]:
+            if a > e:
+                break
+            if min(e, b) - a + 1 > self.slack:
+                return False
+        i = at - 1
+        while i >= 0 and self.taken[i][0] > s - self.longest:
+            if min(e, self.taken[i][1]) - s + 1 > self.slack:
+                return False
+            i -= 1
+        self.taken.insert(at, (s, e))
+        self.longest = max(self.longest, e - s + 1)
+        return True
 
 
 def greedy(df: DataFrame, keys: list[str], order: list[tuple[str, bool]], start: str, end: str, slack: int = 0) -> DataFrame:
@@ -48,16 +51,23 @@ def greedy(df: DataFrame, keys: list[str], order: list[tuple[str, bool]], start:
     reach = F.max(end).over(w.rowsBetween(W.unboundedPreceding, -1))
     marked = df.withColumn("_new", F.when(reach.isNull() | (F.col(start) > reach), 1).otherwise(0)).withColumn("_stretch", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
     marked = marked.withColumn("_size", F.count(F.lit(1)).over(W.partitionBy(*keys, "_stretch"))).drop("_new")
-    cols = [f for f in marked.schema.fields if f.name not in ("_size",)]
-
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([c for c, _ in order], ascending=[a for _, a in order], kind="mergesort")
-        return pdf[keep_apart(pdf[start].astype("int64").tolist(), pdf[end].astype("int64").tolist(), slack)]
-
-    many = marked.where("_size > 1").drop("_size")
-    chosen = many.groupBy(*keys, "_stretch").applyInPandas(choose, many.schema)
-    del cols
-    return marked.where("_size = 1").drop("_size", "_stretch").unionByName(chosen.drop("_stretch"))
+    many = marked.where("_size > 1").drop("_size").withColumn("_group", F.concat_ws("\x01", *[F.coalesce(F.col(k).cast("string"), F.lit("\x02")) for k in keys], F.col("_stretch")))
+    by = [F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_last() for c, up in order]
+    lo, hi, group = (many.columns.index(c) for c in (start, end, "_group"))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen, last = Apart(slack), None
+        for batch in batches:
+            mask = []
+            for g, s, e in zip(batch.column(group).to_pylist(), batch.column(lo).to_pylist(), batch.column(hi).to_pylist(), strict=True):
+                if g != last:
+                    chosen, last = Apart(slack), g
+                mask.append(chosen.take(s, e))
+            yield batch.filter(pa.array(mask, pa.bool_()))
+
+    # the window has brought each key together already; only the order within is new
+    kept = many.sortWithinPartitions("_group", *by).mapInArrow(choose, many.schema)
+    return marked.where("_size = 1").drop("_size", "_stretch").unionByName(kept.drop("_stretch", "_group"))
 
 
 def merge_domains(df: DataFrame, gap: int = 10) -> DataFrame:
