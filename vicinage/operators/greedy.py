@@ -25,11 +25,11 @@ class Apart:
 
     def take(self, s: int, e: int) -> bool:
         at = bisect_left(self.taken, (s, e))
-        for a, b in self.taken[at:]:
-            if a > e:
-                break
-            if min(e, b) - a + 1 > self.slack:
+        i = at
+        while i < len(self.taken) and self.taken[i][0] <= e:
+            if min(e, self.taken[i][1]) - self.taken[i][0] + 1 > self.slack:
                 return False
+            i += 1
         i = at - 1
         while i >= 0 and self.taken[i][0] > s - self.longest:
             if min(e, self.taken[i][1]) - s + 1 > self.slack:
