@@ -95,7 +95,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", bound: in
         if not left:
             break
         if left <= bound:
-            level = level.coalesce(1)
+            level = level.repartition(1)  # not coalesce: the wide table is still read by many tasks
     label = levels[-1].select("node", F.col("parent").alias("top"))
     for lower in reversed(levels[:-1]):
         upper = label.select(F.col("node").alias("parent"), "top")
