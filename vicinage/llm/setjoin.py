@@ -10,11 +10,12 @@ Sets of more than INLINE tokens are never gathered into one row: see long_pairs.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vicinage.session import cut
 
-INLINE = 2048
+INLINE = 512
 
 
 def _ceil(x: Column) -> Column:
@@ -61,20 +62,23 @@ def class_pairs(sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def long_pairs(long: DataFrame, members: DataFrame, sets: DataFrame, threshold: float, inline: int) -> DataFrame:
-    """(rec_a, rec_b, jaccard) of pairs with a record too large for one row: shared tokens are counted by a join of
-    the long records' rows with each other and with the rows of all records large enough to match one."""
-    near = sets.where(F.size("toks") >= inline * threshold).join(members, "class_id").select("rec", F.explode("toks").alias("tok"), F.size("toks").alias("size"))
-    other = long.unionByName(near)
-    pairs = (
-        long.select(F.col("rec").alias("ra"), "tok", F.col("size").alias("sa"))
-        .join(other.select(F.col("rec").alias("rb"), "tok", F.col("size").alias("sb")), "tok")
-        .where((F.col("ra") < F.col("rb")) | ((F.col("ra") > F.col("rb")) & (F.col("sb") <= inline)))
-        .where((F.col("sa") >= F.col("sb") * threshold - 1e-9) & (F.col("sb") >= F.col("sa") * threshold - 1e-9))
-        .groupBy("ra", "rb", "sa", "sb")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("jaccard", F.col("n") / (F.col("sa") + F.col("sb") - F.col("n")))
-    )
-    return pairs.where(F.col("jaccard") >= threshold - 1e-9).select(F.least("ra", "rb").alias("rec_a"), F.greatest("ra", "rb").alias("rec_b"), "jaccard")
+    """(rec_a, rec_b, jaccard) of pairs with a record too large for one row, with each other and with the records large
+    enough to match one: the same filters over rows of tokens, then shared tokens of the candidates are counted by
+    joins. A record's tokens are numbered by a window that streams them, whatever their number."""
+    t = threshold
+    near = sets.where(F.size("toks") >= inline * t).join(members, "class_id").select("rec", F.size("toks").alias("size"), F.posexplode("toks").alias("pos", "tok"))
+    ranked = long.select("rec", "size", (F.row_number().over(W.partitionBy("rec").orderBy("tok")) - 1).alias("pos"), "tok")
+    other = ranked.unionByName(near)
+    prefix = F.col("pos") < F.col("size") - _ceil(F.col("size") * t) + 1
+    a, b = (df.where(prefix).select("tok", F.col("rec").alias(f"r{x}"), F.col("size").alias(f"s{x}"), F.col("pos").alias(f"p{x}")) for x, df in (("a", ranked), ("b", other)))
+    need = _ceil((F.col("sa") + F.col("sb")) * (t / (1 + t)))
+    once = (F.col("ra") < F.col("rb")) | ((F.col("ra") > F.col("rb")) & (F.col("sb") <= inline))
+    fits = (F.col("sa") >= F.col("sb") * t - 1e-9) & (F.col("sb") >= F.col("sa") * t - 1e-9) & (F.least(F.col("sa") - F.col("pa"), F.col("sb") - F.col("pb")) >= need)
+    found = a.join(b, "tok").where(once & fits).select("ra", "rb", "sa", "sb").distinct()
+    with_a = found.join(long.select(F.col("rec").alias("ra"), "tok"), "ra")
+    shared = with_a.join(other.select(F.col("rec").alias("rb"), "tok"), ["rb", "tok"]).groupBy("ra", "rb", "sa", "sb").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    jaccard = (F.col("n") / (F.col("sa") + F.col("sb") - F.col("n"))).alias("jaccard")
+    return shared.where(F.col("n") >= need).select(F.least("ra", "rb").alias("rec_a"), F.greatest("ra", "rb").alias("rec_b"), jaccard)
 
 
 def similar_classes(rows: DataFrame, rec: str, token: str, threshold: float, min_size: int = 1, inline: int = INLINE) -> tuple[DataFrame, DataFrame]:
