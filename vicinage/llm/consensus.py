@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 GAP = None
@@ -147,7 +148,9 @@ def text_consensus(df: DataFrame, group: str, text: str, chunk: int = 256) -> Da
         return pa.table({"grp": [key[0].as_py()], "value": [profile_text(pairs)], "n": [int(sum(w for _, w in pairs))]}).cast(pa.schema([("grp", t.schema.field("grp").type), ("value", pa.string()), ("n", pa.int64())]))
 
     kind = dict(values.dtypes)["grp"]
-    level = values
+    # a group of one value is its own consensus
+    sized = values.withColumn("k", F.count(F.lit(1)).over(W.partitionBy("grp")))
+    alone, level = sized.where("k = 1").select("grp", F.col("value").alias("consensus")), sized.where("k > 1").drop("k")
     most = values.groupBy("grp").count().agg(F.max("count")).first()[0] or 1
     while True:
         parts = -(-most // chunk)
@@ -155,7 +158,7 @@ def text_consensus(df: DataFrame, group: str, text: str, chunk: int = 256) -> Da
         if parts == 1:
             break
         most = parts
-    level = level.withColumnRenamed("value", "consensus").select("grp", "consensus")
+    level = level.withColumnRenamed("value", "consensus").select("grp", "consensus").unionByName(alone)
 
     @F.pandas_udf("int")
     def distance(a, b):  # noqa: ANN001, ANN202
