@@ -175,7 +175,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int
                 yield from _packed((x for y in ([head], rows) for x in y), capacity, level, close, of, classes)
 
         # the same task must get the same rows if it runs again: by hash, not in turn
-        moved = open_rows.repartition(tasks, "key", "piece_no") if tasks > 1 else open_rows.coalesce(1)
+        moved = (open_rows.repartition(tasks, "key", "piece_no") if tasks > 1 else open_rows.repartition(1)).sortWithinPartitions("key", "piece_no", "n_tokens")
         packed = moved.mapInArrow(again, schema)
         if tasks == 1:
             out = out.unionByName(packed)
