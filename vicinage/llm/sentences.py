@@ -11,6 +11,7 @@ Thai has none and parts sentences by a blank between two Thai letters.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,6 +38,8 @@ _MARK = re.compile("[" + re.escape("".join({*PAIRS, *"".join(PAIRS.values())}) +
 _RUN = re.compile("[" + re.escape(IDEOGRAPHIC + STRONG + WEAK) + "]+")
 _THAI = re.compile(r"(?<=[฀-๿!?.])\s+(?=[฀-๿])")
 _LINE = re.compile(r"[^\r\n\x85\u2028\u2029]*(?:\r\n|[\r\n\x85\u2028\u2029]|$)")
+_VISIBLE, _WORD = re.compile(r"\S"), re.compile(r"\w+")
+_LAST = re.compile(r"[^\s(\[{\"“„«'‘（]*$")
 _BULLET = re.compile(r"\s*[-*•‣◦▪●·–—+]\s+\S")
 _NUMBER = re.compile(r"\s*\(?(\d{1,3})[.)]\s+\S")
 _LETTER = re.compile(r"\s*\(?[A-Za-z]\)\s+\S")
@@ -99,15 +102,19 @@ def blocks(text: str) -> Iterator[tuple[int, int, bool]]:
 def _pairs(text: str, a: int, b: int) -> list[tuple[int, int]]:
     """Outermost matched pairs of marks; an opening mark that isn't closed in the block opens nothing."""
     stack: list[tuple[str, int]] = []
+    waiting: Counter = Counter()
     found: list[tuple[int, int]] = []
     for m in _MARK.finditer(text, a, b):
         c = m.group()
-        at = next((i for i in range(len(stack) - 1, -1, -1) if c in PAIRS[stack[i][0]]), None)
+        at = next(i for i in range(len(stack) - 1, -1, -1) if c in PAIRS[stack[i][0]]) if waiting[c] else None
         if at is not None and (c not in PAIRS or c == "“" or c == PAIRS[c]):
             found.append((stack[at][1], m.start()))
+            for o, _ in stack[at:]:
+                waiting.subtract(PAIRS[o])
             del stack[at:]
         elif c in PAIRS:
             stack.append((c, m.start()))
+            waiting.update(PAIRS[c])
     found.sort()
     out: list[tuple[int, int]] = []
     for o, c in found:
@@ -118,9 +125,10 @@ def _pairs(text: str, a: int, b: int) -> list[tuple[int, int]]:
 
 def _ends(text: str, run: str, at: int, stop: int, begin: int, end: int, quoted: bool, opened_first: bool) -> bool:
     """Whether the run of terminators at text[at:] ends a unit, with closing marks up to stop; text[begin:] is the unit."""
-    if stop >= end or not (rest := text[stop:end].lstrip()):
+    following = _VISIBLE.search(text, stop, end)
+    if not following:
         return True
-    nxt, blank = rest[0], text[stop].isspace()
+    nxt, blank = following.group(), following.start() > stop
     if any(c in IDEOGRAPHIC for c in run):
         return nxt not in GOES_ON and (opened_first or blank) if quoted else nxt not in "、，,；;"
     if run[0] == "…" or run.startswith(".."):
@@ -131,7 +139,8 @@ def _ends(text: str, run: str, at: int, stop: int, begin: int, end: int, quoted:
         return not quoted or not nxt.islower()
     if not blank or nxt.islower() or nxt in ",;:)]}»”":
         return False
-    word = re.search(r"[^\s(\[{\"“„«'‘（]*$", text[begin:at])
+    low = max(begin, at - 80)
+    word = _LAST.search(text[low:at])
     w = word.group()
     if len(w) == 1 and w.isalpha():
         return False
@@ -139,9 +148,9 @@ def _ends(text: str, run: str, at: int, stop: int, begin: int, end: int, quoted:
     if tag == "never" or (tag == "numbered" and (nxt.isdigit() or nxt in "([")):
         return False
     if w.isdigit() and len(w) < 3 and nxt.isalpha():
-        before = text[begin : begin + word.start()].split()
-        following = re.match(r"\w+", rest)
-        if before and before[-1].lower() in BEFORE_ORDINAL or following and following.group().lower() in MONTHS:
+        before = text[low : low + word.start()].split()
+        after = _WORD.match(text, following.start())
+        if before and before[-1].lower() in BEFORE_ORDINAL or after and after.group().lower() in MONTHS:
             return False
     return True
 
