@@ -24,35 +24,37 @@ DENSITY = 64
 WIDE = 256
 #: Rows of whole records that one block holds at least.
 BLOCK = 500_000
-#: Wide records that one tile of items is counted over at once.
-SLAB = 16_384
+#: Records whose bits are held at once, and pairs.
+SLAB, AT_ONCE = 16_384, 4_000_000
 PAIR = "item_a bigint, item_b bigint, n_ab bigint"
 
 
 def popcount_pairs(rec: np.ndarray, col: np.ndarray, n_rec: int, n_col: int) -> np.ndarray:
-    """How many of the records 0..n_rec-1 hold both columns, as an n_col x n_col matrix; (rec, col) are distinct."""
-    dense = np.zeros((n_col, n_rec), dtype=np.uint8)
-    dense[col, rec] = 1
-    packed = np.packbits(dense, axis=1)
-    packed = np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8))).view(np.uint64)
+    """How many of the records 0..n_rec-1 hold both columns, as an n_col x n_col matrix; (rec, col) are distinct and rec
+    is sorted. Records are taken in slabs, so the dense bits stay small."""
     out = np.zeros((n_col, n_col), dtype=np.int64)
-    for i in range(n_col):
-        out[i, i:] = np.bitwise_count(packed[i] & packed[i:]).sum(axis=1)
+    for low in range(0, n_rec, SLAB):
+        a, b = np.searchsorted(rec, [low, low + SLAB])
+        dense = np.zeros((n_col, min(SLAB, n_rec - low)), dtype=np.uint8)
+        dense[col[a:b], rec[a:b] - low] = 1
+        packed = np.packbits(dense, axis=1)
+        packed = np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8))).view(np.uint64)
+        for i in range(n_col):
+            out[i, i:] += np.bitwise_count(packed[i] & packed[i:]).sum(axis=1).astype(np.int64)
     return out
 
 
-def light_pairs(rec: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of positions within the same record; rec is sorted, item ascending within rec."""
+def light_pairs(rec: np.ndarray, item: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of items within the same record, some AT_ONCE of them at a time; rec is sorted."""
     _, start, size = np.unique(rec, return_index=True, return_counts=True)
-    left, right = [], []
     for s in np.unique(size):
         if s > 1:
             i, j = np.triu_indices(s, 1)
             at = start[size == s]
-            left.append((at[:, None] + i).ravel())
-            right.append((at[:, None] + j).ravel())
-    none = np.empty(0, dtype=np.int64)
-    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+            step = max(1, AT_ONCE // len(i))
+            for k in range(0, len(at), step):
+                part = at[k : k + step, None]
+                yield item[(part + i).ravel()], item[(part + j).ravel()]
 
 
 def counted(a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> pa.RecordBatch | None:
@@ -81,10 +83,13 @@ def block_pairs(rec: np.ndarray, item: np.ndarray, heavy: np.ndarray) -> Iterato
         # mixed: each light item's records are looked up in the heavy lists of the block
         begin = np.searchsorted(hrec, np.arange(n_rec + 1))
         width = (begin[1:] - begin[:-1])[lrec]
-        at = np.repeat(begin[lrec] - np.r_[0, np.cumsum(width)[:-1]], width) + np.arange(width.sum()) if len(lrec) else np.empty(0, dtype=np.int64)
-        yield counted(np.repeat(litem, width), names[col[at]])
-    i, j = light_pairs(lrec, litem)
-    yield counted(litem[i], litem[j])
+        step = max(1, AT_ONCE // max(1, int(width.max(initial=0))))
+        for k in range(0, len(lrec), step):
+            w = width[k : k + step]
+            at = np.repeat(begin[lrec[k : k + step]] - np.r_[0, np.cumsum(w)[:-1]], w) + np.arange(w.sum())
+            yield counted(np.repeat(litem[k : k + step], w), names[col[at]])
+    for a, b in light_pairs(lrec, litem):
+        yield counted(a, b)
 
 
 def partition_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,10 +133,12 @@ def wide_pairs(wide: DataFrame, seen: DataFrame, min_pairs: int, n_wide: int) ->
     tiled = tiled.select("rec", "item", F.least("g", "o").alias("ga"), F.greatest("g", "o").alias("gb"), F.pmod(F.xxhash64("rec"), F.lit(slabs)).alias("slab"))
 
     def tile(key: tuple, t: pa.Table) -> pa.Table:
-        names, col = np.unique(t["item"].to_numpy(), return_inverse=True)
         _, rec = np.unique(t["rec"].to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
-        m = np.triu(popcount_pairs(rec, col, int(rec.max()) + 1, len(names)), 1)
-        g = t["g"].to_numpy()[np.unique(t["item"].to_numpy(), return_index=True)[1]]
+        order = np.argsort(rec, kind="stable")
+        rec, item, group = rec[order], t["item"].to_numpy()[order], t["g"].to_numpy()[order]
+        names, first, col = np.unique(item, return_index=True, return_inverse=True)
+        m = np.triu(popcount_pairs(rec, col, int(rec[-1]) + 1, len(names)), 1)
+        g = group[first]
         i, j = np.nonzero((m > 0) & ((key[0].as_py() == key[1].as_py()) | (g[:, None] != g[None, :])))
         return pa.table({"item_a": names[i], "item_b": names[j], "n_ab": m[i, j]})
 
