@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -39,9 +41,28 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)  # noqa: SLF001
+
+
+def _folder(spark: SparkSession) -> str:
+    """This application's own folder in the shared one; removed when Python ends, if the session still lives then."""
+    folder = f"{shared_dir(spark)}/vicinage-{spark.sparkContext.applicationId}"
+    if getattr(spark, "_vicinage_folder", None) != folder:
+        spark._vicinage_folder = folder  # noqa: SLF001
+
+        def remove() -> None:
+            with contextlib.suppress(Exception):
+                _delete(spark, folder)
+
+        atexit.register(remove)
+    return folder
+
+
 def table_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/vicinage/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -53,7 +74,5 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 def drop_table(df: DataFrame) -> None:
     """Deletes the files of a table made by cut(), once nothing reads it any more."""
-    spark = df.sparkSession
-    for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f)  # noqa: SLF001
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)  # noqa: SLF001
+    for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+        _delete(df.sparkSession, folder)
