@@ -73,4 +73,4 @@ def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
 
 
 def score(p_adj: Column) -> Column:
-    return -F.log10(F.greatest(F.lit(LEAST), p_adj))
+    return 0 - F.log10(F.greatest(F.lit(LEAST), p_adj))  # not -0.0 for 1

@@ -632,14 +632,14 @@ def alg17_shared_families(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""{_SHARE}, x as (select *, unnest(generate_series(k, least(k_a, k_b))) as i from full_pairs), lp as (select a, b, k, k_a, k_b, m, least(1.0, greatest(1e-300, sum(exp(lgamma(k_a + 1) - lgamma(i + 1) - lgamma(k_a - i + 1)
     + lgamma(m - k_a + 1) - lgamma(k_b - i + 1) - lgamma(m - k_a - k_b + i + 1) - lgamma(m + 1) + lgamma(k_b + 1) + lgamma(m - k_b + 1))))) as p from x group by all), c as (select count(*) as n from lp)
-    select a, b, round(-log10(p), 5) as log_p, round(-log10(greatest(1e-300, least(1.0, p * n))), 5) as score from lp, c""")
+    select a, b, round(0 - log10(p), 5) as log_p, round(0 - log10(greatest(1e-300, least(1.0, p * n))), 5) as score from lp, c""")
 def mth03_hypergeometric(spark: SparkSession, sf: str) -> DataFrame:
     s = similarity.shared_families(_members(spark, sf), method="BONFERRONI")
-    return s.select("a", "b", F.round(-F.log10("pval"), 5).alias("log_p"), F.round("score", 5).alias("score"))
+    return s.select("a", "b", F.round(0 - F.log10("pval"), 5).alias("log_p"), F.round("score", 5).alias("score"))
 
 
 @query(f"""with {_HIT}, t as (select qseqid, sseqid, evalue, row_number() over (order by evalue, qseqid, sseqid, coalesce(bitscore, -1), coalesce(pident, -1)) as r, count(*) over () as m from (select distinct qseqid, sseqid, evalue, bitscore, pident from hit where evalue is not null))
-    select qseqid, sseqid, r, round(-log10(greatest(1e-300, least(1.0, evalue * m / r))), 5) as score from t""")
+    select qseqid, sseqid, r, round(0 - log10(greatest(1e-300, least(1.0, evalue * m / r))), 5) as score from t""")
 def mth04_bh(spark: SparkSession, sf: str) -> DataFrame:
     h = hit(spark, sf).where("evalue is not null").select("qseqid", "sseqid", "evalue", "bitscore", "pident").distinct().withColumn("bs", F.coalesce("bitscore", F.lit(-1.0))).withColumn("pi", F.coalesce("pident", F.lit(-1.0)))
     ranked = cut(stats.global_rank(h, [F.col(c) for c in ("evalue", "qseqid", "sseqid", "bs", "pi")], "r"), "bh")
