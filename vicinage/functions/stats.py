@@ -49,15 +49,13 @@ def adjusted(df: DataFrame, p: str, tie: list[str], method: str = "BH") -> DataF
 
     Ranks come from a global order: each range partition counts its rows, so no task sorts all of them.
     """
-    spark = df.sparkSession
+    m = df.count()
     if method.upper() == "BONFERRONI":
-        return df.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("_m")))).withColumn("p_adj", F.least(F.lit(1.0), F.col(p) * F.col("_m"))).drop("_m")  # one row of counts
+        return df.withColumn("p_adj", F.least(F.lit(1.0), F.col(p) * m))
     ranked = global_rank(df, [F.col(p), *[F.col(t) for t in tie]], "_rank")
-    m = df.count()
     out = ranked.withColumn("p_adj", F.least(F.lit(1.0), F.col(p) * m / F.col("_rank")))
     if method.upper() == "BH_MONOTONE":
         out = out.withColumn("p_adj", F.min("p_adj").over(W.partitionBy(F.lit(0)).orderBy("_rank").rowsBetween(0, W.unboundedFollowing)))
-    del spark
     return out.drop("_rank")
 
 

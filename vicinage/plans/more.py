@@ -11,7 +11,7 @@ from vicinage.functions.clean import bare_id, label
 from vicinage.operators import annotate, enrich, families, greedy, similarity, trees, windows
 from vicinage.plans import config, pipeline
 from vicinage.plans.queries import table
-from vicinage.plans.reference import QUERIES, SQL, _FEAT, _GENOME, _HIT, _PROT, _RBH, _REC, _WIN, _bare, _rbh, _trim, _windows, dom, feat, genomes, hit, prot, query, rec
+from vicinage.plans.reference import QUERIES, SQL, _FEAT, _GENOME, _HIT, _PROT, _RBH, _REC, _SHARE, _WIN, _bare, _rbh, _trim, _windows, dom, feat, genomes, hit, prot, query, rec
 from vicinage.session import cut
 
 __all__ = ["QUERIES", "SQL"]
@@ -49,10 +49,9 @@ def jn11_annotated_hits(spark: SparkSession, sf: str) -> DataFrame:
     return similarity.annotate_hits(hit(spark, sf), genomes(spark, sf)).select("qseqid", "sseqid", "pident", "q_genome", "s_genome")
 
 
-@query(f"with {_PROT}, o as (select distinct genome, family from prot where genome is not null and family > 1200) select x.genome as a, y.genome as b, count(*) as k from o x join o y on x.family = y.family and x.genome < y.genome group by 1, 2")
+@query(f"{_SHARE.replace('having count(*) >= 2', '')} select a, b, k from full_pairs")
 def jn13_family_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    m = prot(spark, sf).where("genome is not null and family > 1200").select("genome", "family").distinct()
-    return m.select("family", F.col("genome").alias("a")).join(m.select("family", F.col("genome").alias("b")), "family").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"))
+    return similarity.shared_families(prot(spark, sf).select("genome", "family"), min_shared=1, method=None).select("a", "b", "k")
 
 
 @query(f"with {_PROT}, {_HIT}, e as (select {_trim('name')} as id, min(kegg_ko) as ko from eggnog_prots group by 1), b as (select qseqid as id, max(bitscore) as bits from hit group by 1) select p.id, e.ko, b.bits from (select distinct id from prot) p left join e on e.id = p.id left join b on b.id = p.id")
@@ -98,7 +97,7 @@ def alg02_features_in_window(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def alg04_accept_predicted(spark: SparkSession, sf: str) -> DataFrame:
     f = feat(spark, sf).where("start <= end")
-    small = F.col("id").endswith("7") | F.coalesce(F.col("protein_id").contains("orfipy"), F.lit(False))
+    small = F.coalesce(F.col("protein_id").rlike("orfipy|sORF"), F.lit(False))
     return greedy.accept_predicted(f.where(~small).select("seqid", "id", "start", "end"), f.where(small).select("seqid", "id", "start", "end"), 10)
 
 

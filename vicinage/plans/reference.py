@@ -237,11 +237,11 @@ def jn07_missing(spark: SparkSession, sf: str) -> DataFrame:
     return enrich.missing(prot(spark, sf).select("id").distinct(), feat(spark, sf).where("protein_id is not null"), "id", "protein_id")
 
 
-@query(f"""with {_REC}, l as (select uid, 'local' as origin from rec where cast(uid as bigint) % 3 = 0), r as (select uid, 'remote' as origin from rec where cast(uid as bigint) % 2 = 0)
+@query(f"""with {_REC}, l as (select uid, 'local' as origin from rec where is_query), r as (select uid, 'remote' as origin from rec)
     select * from l union all select * from r where uid not in (select uid from l)""")
 def jn08_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    r = rec(spark, sf).select("uid")
-    local, remote = r.where("cast(uid as bigint) % 3 = 0").withColumn("origin", F.lit("local")), r.where("cast(uid as bigint) % 2 = 0").withColumn("origin", F.lit("remote"))
+    r = rec(spark, sf)
+    local, remote = (df.select("uid", F.lit(o).alias("origin")) for df, o in ((r.where("is_query"), "local"), (r, "remote")))
     return enrich.upsert(remote, local, ["uid"])
 
 
@@ -300,10 +300,10 @@ def set01_union(spark: SparkSession, sf: str) -> DataFrame:
     return h.select(F.col("qseqid").alias("id")).union(h.select("sseqid")).distinct()
 
 
-@query("""select l_orderkey, l_quantity, cast(null as double) as o_totalprice from lineitem where l_orderkey < 200 union all select o_orderkey, null, o_totalprice from orders where o_orderkey < 200""")
+@query("""select l_orderkey, l_quantity, cast(null as double) as o_totalprice from lineitem union all select o_orderkey, null, o_totalprice from orders""")
 def set03_relaxed_union(spark: SparkSession, sf: str) -> DataFrame:
-    a = table(spark, sf, "lineitem").where("l_orderkey < 200").select("l_orderkey", "l_quantity")
-    b = table(spark, sf, "orders").where("o_orderkey < 200").select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice")
+    a = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity")
+    b = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice")
     return enrich.relaxed_union(a, b)
 
 
@@ -455,13 +455,10 @@ def srt04_nearest_allowed(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", text.nearest_allowed(F.col("l_quantity"), [40, 10, 25]).alias("allowed"))
 
 
-@query(f"""with {_DOM} select protein_id, domain_id, s as start, round(bit_score * alignment_length + 1e-9, 4) as weight from dom order by protein_id, weight desc limit 500""")
+@query(f"""with {_DOM} select protein_id, domain_id, s as start, row_number() over (partition by protein_id order by bit_score * alignment_length desc, domain_id, s, e, e_value, database) as place from dom""")
 def srt02_ordered_hits(spark: SparkSession, sf: str) -> DataFrame:
-    d = dom(spark, sf).select("protein_id", "domain_id", "start", F.round(F.col("bit_score") * F.col("alignment_length") + 1e-9, 4).alias("weight"))
-    return d.orderBy("protein_id", F.desc("weight"), "domain_id", "start").limit(500)
-
-
-SQL["srt02_ordered_hits"] = SQL["srt02_ordered_hits"].replace("weight desc limit", "weight desc, domain_id, start limit")
+    best_first = [(F.col("bit_score") * F.col("alignment_length")).desc(), *[F.col(c).asc_nulls_last() for c in ("domain_id", "start", "end", "e_value", "database")]]
+    return dom(spark, sf).select("protein_id", "domain_id", "start", F.row_number().over(W.partitionBy("protein_id").orderBy(*best_first)).alias("place"))
 
 
 # ---- scalar functions ---------------------------------------------------------------------------------------------
@@ -702,11 +699,11 @@ def alg23_leaf_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return taxonomy.leaf_metadata(r, ranks).select("unique_id", "taxid", "superkingdom", "species", "genus")
 
 
-_NATION = "m as (select distinct s_nationkey as id, l_partkey % 200 as item from lineitem join supplier on s_suppkey = l_suppkey where l_quantity > 45)"
+_NATION = "m as (select distinct s_nationkey as id, l_partkey as item from lineitem join supplier on s_suppkey = l_suppkey)"
 
 
 def _nation_parts(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").where("l_quantity > 45").join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("s_nationkey").alias("id"), (F.col("l_partkey") % 200).alias("item")).distinct()
+    return table(spark, sf, "lineitem").join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("s_nationkey").alias("id"), F.col("l_partkey").alias("item")).distinct()
 
 
 @query(f"with {_NATION}, n as (select id, count(*) as n from m group by id), k as (select x.id as a, y.id as b, count(*) as k from m x join m y on x.item = y.item and x.id < y.id group by 1, 2) select a, b, round(1 - k * 1.0 / (p.n + q.n - k) + 1e-10, 6) as dist from k join n p on p.id = a join n q on q.id = b")
