@@ -30,3 +30,22 @@ def test_run(spark, sf, mode, tree):
     done = pipeline.run(rec(spark, sf), feat(spark, sf), proteins, hit(spark, sf), config.load(window=2000, aai_mode=mode, tree_mode=tree))
     assert done.proteins.count() > 0 and (done.tree is None) == (tree == "taxonomy")
     assert rows(done.neighbourhoods.where("start_win > start_target")) == []
+
+
+def pipeline_tables(spark):
+    """Three targets: u1 and u2 share p1 and p2 on contig c, u3 has p3 and p4 on contig d."""
+    records = spark.createDataFrame([("u1", 0, "c", "p1", 100, 200), ("u2", 1, "c", "p2", 300, 400), ("u3", 2, "d", "p3", 100, 200)], "uid string, og_index bigint, nucleotide_id string, protein_id string, start bigint, end bigint")
+    rest = {"input_type": "'protein'", "ipg_id": "cast(og_index as bigint)", "assembly_id": "'GCF_1.1'", "assembly_level": "'Contig'", "is_query": "true", "sequence_length": "cast(1000 as bigint)", "taxid": "cast(og_index + 1 as bigint)", "failed": "cast(null as boolean)", "failed_reason": "cast(null as string)"}
+    records = records.selectExpr("*", *[f"{v} as {k}" for k, v in rest.items()])
+    features = spark.createDataFrame([(f"f{p}", s, "CDS", a, a + 100, f"p{p}") for p, s, a in ((1, "c", 100), (2, "c", 300), (3, "d", 100), (4, "d", 300))], "id string, seqid string, type string, start bigint, end bigint, protein_id string")
+    proteins = spark.createDataFrame([(f"p{p}", "M") for p in range(1, 5)], "id string, sequence string")
+    both = [(q, s, v, 1e-9) for a, b, v in (("p1", "p3", 90.0), ("p2", "p4", 70.0)) for q, s in ((a, b), (b, a))]
+    return records, features, proteins, spark.createDataFrame(both, "qseqid string, sseqid string, pident double, evalue double")
+
+
+def test_shared_proteins_count_in_each_neighbourhood(spark):
+    from vicinage.plans import pipeline
+
+    sim = pipeline.run(*pipeline_tables(spark), config.load(window=500)).similarity
+    got = {(r.q_genome, r.s_genome): (round(r.wgrr, 6), r.aai, r.n_rbh) for r in sim.collect()}
+    assert got == {k: (0.8, 80.0, 2) for k in (("u1", "u3"), ("u3", "u1"), ("u2", "u3"), ("u3", "u2"))}

@@ -13,7 +13,8 @@ from vicinage.operators.enrich import unambiguous
 def annotate_hits(hits: DataFrame, genomes: DataFrame) -> DataFrame:
     """(qseqid, sseqid, pident, q_genome, s_genome): the best hit per pair of proteins of different genomes.
 
-    genomes: (id, genome), one row per protein. Hits of unknown proteins and within a genome are left out.
+    genomes: (id, genome), distinct; a protein of several genomes counts in each. Hits of unknown proteins and within a
+    genome are left out.
     """
     best = hits.where("qseqid <> sseqid").groupBy("qseqid", "sseqid").agg(F.max("pident").alias("pident")).where("pident is not null")
     q, s = (genomes.select(F.col("id").alias(f"{x}seqid"), F.col("genome").alias(f"{x}_genome")) for x in "qs")
@@ -28,11 +29,11 @@ def _top(df: DataFrame, by: list[str], then: Column) -> DataFrame:
 
 
 def reciprocal_best(ann: DataFrame) -> DataFrame:
-    """Hits that are the query's best in the other genome and whose reverse is the subject's best in the query's; ties:
-    the smaller id."""
-    forward = _top(ann, ["qseqid", "s_genome"], F.col("sseqid"))
-    back = _top(ann, ["qseqid", "s_genome"], F.col("sseqid")).select(F.col("sseqid").alias("qseqid"), F.col("qseqid").alias("sseqid"))
-    return forward.join(back, ["qseqid", "sseqid"], "left_semi")
+    """Hits that are the query's best in the other genome and whose reverse is the subject's best in the query's, per pair
+    of genomes; ties: the smaller id."""
+    forward = _top(ann, ["qseqid", "q_genome", "s_genome"], F.col("sseqid"))
+    back = forward.select(*[F.col(x).alias(y) for x, y in (("sseqid", "qseqid"), ("qseqid", "sseqid"), ("s_genome", "q_genome"), ("q_genome", "s_genome"))])
+    return forward.join(back, ["qseqid", "sseqid", "q_genome", "s_genome"], "left_semi")
 
 
 def proteome_sizes(genomes: DataFrame) -> DataFrame:

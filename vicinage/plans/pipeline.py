@@ -49,7 +49,7 @@ def run(records: DataFrame, features: DataFrame, proteins: DataFrame, hits: Data
     members = families.numbered_families(cut(families.components(families.filtered_hits(hits, settings.max_evalue, settings.min_pident), "qseqid", "sseqid"), "members"))
     prot = inside.where("protein_id is not null").select("uid", "seqid", F.col("protein_id").alias("id")).distinct().join(members.select("id", F.col("family").alias("fam_cluster")), "id", "left").join(proteins.select("id", "sequence").dropDuplicates(["id"]), "id", "left")
     prot = cut(prot, "proteins")
-    genome = prot.groupBy("id").agg(F.min("uid").alias("genome"))
+    genome = prot.select("id", F.col("uid").alias("genome")).distinct()
     if settings.aai_mode == "hyper":
         sim = similarity.shared_families(prot.select(F.col("uid").alias("genome"), F.col("fam_cluster").alias("family")), settings.max_df_frac, settings.min_shared)
         pairs = sim.select("a", "b", (F.least(F.col("score") / 100, F.lit(1.0))).alias("identity"))
