@@ -49,3 +49,36 @@ def test_shared_proteins_count_in_each_neighbourhood(spark):
     sim = pipeline.run(*pipeline_tables(spark), config.load(window=500)).similarity
     got = {(r.q_genome, r.s_genome): (round(r.wgrr, 6), r.aai, r.n_rbh) for r in sim.collect()}
     assert got == {k: (0.8, 80.0, 2) for k in (("u1", "u3"), ("u3", "u1"), ("u2", "u3"), ("u3", "u2"))}
+
+
+def test_every_tree_mode(spark):
+    from vicinage.plans import pipeline
+
+    tables = pipeline_tables(spark)
+    lineages = spark.createDataFrame([(1, [1]), (2, [1, 4, 5, 2]), (3, [1, 4, 5, 3])], "taxid bigint, lineage array<bigint>")
+    ani = spark.createDataFrame([("c_0_700", "d", 98.0), ("d", "c_0_700", 96.0), ("c_0_900", "d", 80.0)], "query string, ref string, ani double")
+    tree = lambda mode, **more: pipeline.run(*tables, config.load(window=500, tree_mode=mode, tree_method="upgma"), **more).tree
+    assert tree("taxonomy", lineages=lineages) == "(u1:3.000000,(u2:2.000000,u3:2.000000):1.000000);"
+    assert tree("ani_tree", ani=ani) == "((u1:1.500000,u3:1.500000):12.750000,u2:14.250000);"
+    assert tree("use_input_tree", newick="(a,b);") == "(a,b);"
+    # p2 of u1 and p4 of u3 are one family at one distance from their targets; u2 has only p1 beside its target
+    assert tree("neighborhood_phylo") == "((u1:0.000000,u3:0.000000):1.000000,u2:1.000000);"
+    for mode in ("ani_tree", "use_input_tree"):
+        with pytest.raises(ValueError, match=mode):
+            tree(mode)
+
+
+def test_similarity_of_targets_only(spark):
+    from vicinage.plans import pipeline
+
+    sim = pipeline.run(*pipeline_tables(spark), config.load(window=500, aai_subset_mode="target_prot")).similarity
+    # p4 is no target; p1 and p2 are targets, and in the windows of both u1 and u2
+    assert {(r.q_genome, r.s_genome, round(r.wgrr, 6)) for r in sim.collect()} == {(a, b, 0.9) for a, b in (("u1", "u3"), ("u3", "u1"), ("u2", "u3"), ("u3", "u2"))}
+
+
+def test_long_single_linkage():
+    from vicinage.operators import trees
+
+    names = [f"{i:05d}" for i in range(20_000)]
+    text = trees.single_linkage(names, [(names[0], x, float(i)) for i, x in enumerate(names[1:])])
+    assert text.count(",") == len(names) - 1 and text.startswith("(" * 19_999 + "00000:0.000000,00001:0.000000)")

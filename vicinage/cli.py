@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import argparse
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from vicinage.functions.clean import bare_id, label
+from vicinage.operators.taxonomy import lineages
 from vicinage.plans import config, pipeline
 from vicinage.sources import readers, sinks
 
@@ -23,6 +25,10 @@ def main(argv: list[str] | None = None) -> None:
         run.add_argument("--" + name.replace("_", "-"), choices=allowed)
     run.add_argument("--window", type=int)
     run.add_argument("--min-win", type=int)
+    run.add_argument("--taxonomy", help="table of (taxid, parent), for the taxonomy tree")
+    run.add_argument("--ranks", help="table of (taxid, rank, name), for the metadata of the leaves")
+    run.add_argument("--ani", help="table of (query, ref, ani), for ani_tree")
+    run.add_argument("--tree-file", help="Newick text, for use_input_tree")
     lengths = sub.add_parser("lengths", help="assembly and length of nucleotide ids in a file, from contig tables")
     lengths.add_argument("ids")
     lengths.add_argument("out")
@@ -34,13 +40,19 @@ def main(argv: list[str] | None = None) -> None:
         sinks.write_tsv(found.coalesce(1), a.out, True)
         return
     read = lambda t: spark.read.parquet(f"{a.tables}/{t}.parquet")
-    given = {k: v for k, v in vars(a).items() if k not in ("what", "tables", "out", "config")}
+    own = ("what", "tables", "out", "config", "taxonomy", "ranks", "ani", "tree_file")
+    given = {k: v for k, v in vars(a).items() if k not in own}
+    more = {k: spark.read.parquet(getattr(a, k)) if getattr(a, k) else None for k in ("ranks", "ani")}
+    more["lineages"] = lineages(spark.read.parquet(a.taxonomy)) if a.taxonomy else None
+    more["newick"] = Path(a.tree_file).read_text(encoding="utf-8") if a.tree_file else None
     records = read("records").withColumn("uid", label("unique_id")).withColumn("nucleotide_id", label("nucleotide_id")).withColumn("is_query", F.coalesce("is_refseq_query", F.lit(False))).dropDuplicates(["uid"])
     gff = read("gff").where("seqid is not null").withColumn("id", label("id")).withColumn("seqid", label("seqid")).dropDuplicates(["id"])
     hits = read("hits").withColumn("qseqid", bare_id("qseqid")).withColumn("sseqid", bare_id("sseqid"))
-    done = pipeline.run(records, gff, read("proteins").withColumn("id", label("id")), hits, config.load(a.config, **given))
+    done = pipeline.run(records, gff, read("proteins").withColumn("id", label("id")), hits, config.load(a.config, **given), **more)
     for name in ("records", "neighbourhoods", "gff", "proteins", "similarity"):
         sinks.write_parquet(getattr(done, name), f"{a.out}/{name}.parquet")
+    if done.tree_metadata is not None:
+        sinks.write_parquet(done.tree_metadata, f"{a.out}/tree_metadata.parquet")
     if done.tree:
         spark.createDataFrame([(done.tree,)], "newick string").coalesce(1).write.mode("overwrite").text(f"{a.out}/tree.nwk")
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vicinage.operators import trees
+from vicinage.session import cut
+
 #: Ranks of the leaf metadata, highest first (fixed values).
 RANKS = ("superkingdom", "kingdom", "phylum", "class", "order", "family", "genus", "species")
 
@@ -33,6 +36,28 @@ def lca_distance(a: Column, b: Column, default: float = 1e6) -> Column:
     return F.when(a.isNull() | b.isNull(), F.lit(default)).otherwise(d.cast("double"))
 
 
+def taxonomy_tree(leaves: DataFrame, lineages: DataFrame) -> str:
+    """Newick text of the single linkage of leaves by lca_distance. leaves: (id, taxid), null for the root, 1.
+
+    Leaves of one taxid are at distance 0, so pairs are made of the taxids only, of which trees.MAX_LEAVES are taken.
+    One and two leaves have fixed branches.
+    """
+    taxid = F.coalesce(F.col("taxid"), F.lit(1)).cast("bigint")
+    rows = sorted(tuple(r) for r in leaves.select("id", taxid.alias("taxid")).distinct().collect())
+    names = [x for x, _ in rows]
+    if len(names) < 3:
+        return "(" + ",".join(f"{x}:{0.1 if len(names) == 2 else 0.0}" for x in names) + ");" if names else ";"
+    first: dict[int, str] = {}
+    edges = [(first[t], x, 0.0) for x, t in rows if first.setdefault(t, x) != x]
+    if len(first) > trees.MAX_LEAVES:
+        raise ValueError(f"a tree takes at most {trees.MAX_LEAVES} taxids")
+    spark = leaves.sparkSession
+    known = cut(spark.createDataFrame([(t,) for t in first], "taxid bigint").join(lineages.select(F.col("taxid").cast("bigint").alias("taxid"), "lineage"), "taxid", "left"), "taxids")
+    a, b = (known.select(F.col("taxid").alias(x), F.col("lineage").alias(f"l{x}")) for x in "ab")
+    dist = a.join(b, F.col("a") < F.col("b")).select("a", "b", lca_distance(F.col("la"), F.col("lb")).alias("dist"))
+    return trees.single_linkage(names, edges + [(first[x], first[y], d) for x, y, d in trees.minimum_forest(dist)])
+
+
 def leaf_metadata(records: DataFrame, ranks: DataFrame) -> DataFrame:
     """(unique_id, taxid, the eight ranks): names by rank, `unclassified` where there is none. A `domain` fills the
     superkingdom only if that is absent. Failed records are left out. ranks: (taxid, rank, name)."""

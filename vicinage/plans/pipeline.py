@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -39,9 +40,16 @@ def neighbourhoods(records: DataFrame, features: DataFrame, settings: Settings)
     return enrich.mark_failed(w, small, "window too small")
 
 
-def run(records: DataFrame, features: DataFrame, proteins: DataFrame, hits: DataFrame, settings: Settings = Settings(), ranks: DataFrame | None = None) -> Result:
+def run(records: DataFrame, features: DataFrame, proteins: DataFrame, hits: DataFrame, settings: Settings = Settings(), ranks: DataFrame | None = None, lineages: DataFrame | None = None, ani: DataFrame | None = None, newick: str | None = None) -> Result:
     """Everything but external tools. records as enrich.candidates takes them; features: (id, seqid, type, start, end,
-    protein_id); proteins: (id, sequence); hits: (qseqid, sseqid, pident, evalue)."""
+    protein_id); proteins: (id, sequence); hits: (qseqid, sseqid, pident, evalue).
+
+    The trees of three modes need a table of their own: taxonomy lineages (taxid, lineage), without which there is a
+    warning and no tree; ani_tree ani (query, ref, ani) of windows or contigs; use_input_tree newick.
+    """
+    needed = {"ani_tree": ("ani", ani), "use_input_tree": ("newick", newick)}.get(settings.tree_mode)
+    if needed and needed[1] is None:
+        raise ValueError(f"tree_mode {settings.tree_mode} needs {needed[0]}")
     chosen = enrich.candidates(records, settings.cand_mode)
     hood = cut(neighbourhoods(chosen, features, settings), "hoods")
     kept = hood.where("failed is null")
@@ -49,25 +57,57 @@ def run(records: DataFrame, features: DataFrame, proteins: DataFrame, hits: Data
     members = families.numbered_families(cut(families.components(families.filtered_hits(hits, settings.max_evalue, settings.min_pident), "qseqid", "sseqid"), "members"))
     prot = inside.where("protein_id is not null").select("uid", "seqid", F.col("protein_id").alias("id")).distinct().join(members.select("id", F.col("family").alias("fam_cluster")), "id", "left").join(proteins.select("id", "sequence").dropDuplicates(["id"]), "id", "left")
     prot = cut(prot, "proteins")
-    genome = prot.select("id", F.col("uid").alias("genome")).distinct()
+    used = prot  # both target_region and window keep what lies in the windows, and prot has nothing else
+    if settings.aai_subset_mode == "target_prot":
+        targets = kept.select("uid", F.col("protein_id").alias("target_prot"))
+        used = prot.join(similarity.subset_ids("target_prot", prot, targets).select("id").distinct(), "id", "left_semi")
+    genome = used.select("id", F.col("uid").alias("genome")).distinct()
     if settings.aai_mode == "hyper":
-        sim = similarity.shared_families(prot.select(F.col("uid").alias("genome"), F.col("fam_cluster").alias("family")), settings.max_df_frac, settings.min_shared)
+        sim = similarity.shared_families(used.select(F.col("uid").alias("genome"), F.col("fam_cluster").alias("family")), settings.max_df_frac, settings.min_shared)
         pairs = sim.select("a", "b", (F.least(F.col("score") / 100, F.lit(1.0))).alias("identity"))
     else:
         rbh = similarity.reciprocal_best(similarity.annotate_hits(hits, genome))
         sim = similarity.repertoire_similarity(rbh, similarity.proteome_sizes(genome))
         pairs = sim.select(F.col("q_genome").alias("a"), F.col("s_genome").alias("b"), (F.col("wgrr") if settings.aai_mode == "wgrr" else F.col("aai") / 100).alias("identity"))
     result = Result(chosen, hood, inside, prot, sim)
-    leaves = kept.select(F.col("uid").alias("id")).distinct()
-    dist = None
-    if settings.tree_mode == "aai_tree":
-        dist = trees.identity_distance(cut(pairs, "pairs"))
-    elif settings.tree_mode == "neighborhood":
-        dist = trees.presence_jaccard(prot.where("fam_cluster is not null").select(F.col("uid").alias("id"), F.col("fam_cluster").alias("item")))
-    if dist is not None:
-        full = cut(trees.fill_distances(cut(dist, "distances"), leaves, "max" if settings.tree_mode == "neighborhood" else "max_std"), "filled")
-        names = sorted(r[0] for r in leaves.collect())  # bounded by trees.MAX_LEAVES, which fill_distances checks
-        result.tree = trees.single_linkage(names, trees.minimum_forest(full)) if settings.tree_mode == "neighborhood" else trees.tree(settings.tree_method, names, trees.matrix(names, full))
+    result.tree = _tree(settings, kept, inside, prot, pairs, lineages, ani, newick)
     if ranks is not None:
         result.tree_metadata = taxonomy.leaf_metadata(chosen.withColumnRenamed("uid", "unique_id"), ranks)
     return result
+
+
+def _tree(settings: Settings, kept: DataFrame, inside: DataFrame, prot: DataFrame, pairs: DataFrame, lineages: DataFrame | None, ani: DataFrame | None, newick: str | None) -> str | None:
+    """Newick text by tree_mode; its leaves are the neighbourhoods."""
+    mode = settings.tree_mode
+    if mode == "use_input_tree":
+        return newick
+    if mode == "taxonomy":
+        if lineages is None:
+            warnings.warn("tree_mode taxonomy without lineages: no tree", stacklevel=3)
+            return None
+        return taxonomy.taxonomy_tree(kept.select(F.col("uid").alias("id"), "taxid"), lineages)
+    leaves = kept.select(F.col("uid").alias("id")).distinct()
+    families_of = prot.where("fam_cluster is not null").select(F.col("uid").alias("id"), F.col("fam_cluster").alias("item"))
+    fill = "max_std"
+    if mode == "aai_tree":
+        dist = trees.identity_distance(cut(pairs, "pairs"))
+    elif mode == "ani_tree":
+        exact = kept.select(F.concat_ws("_", "seqid", "start_win", "end_win").alias("temp_seqid"), "uid")
+        owner = kept.select("seqid", "uid")
+        owned = similarity.owned_by(similarity.owned_by(ani.where("ani is not null"), "query", exact, owner, "a"), "ref", exact, owner, "b")
+        dist = trees.identity_distance(cut(owned.where("a is not null and b is not null").select("a", "b", F.col("ani").cast("double").alias("identity")), "pairs"))
+    elif mode == "neighborhood_phylo":
+        fill = "one"  # the cosine distance of what shares nothing
+        target = kept.select("uid", F.col("protein_id").alias("_target"), "start_target", "end_target")
+        place = inside.select("uid", F.col("protein_id").alias("item_id"), "start", "end").distinct().join(target, "uid").where(F.col("_target").isNull() | (F.col("item_id") != F.col("_target")))
+        rel = ((F.col("start") - F.col("start_target")) + (F.col("end") - F.col("end_target"))) / 2
+        at = place.select(F.col("uid").alias("id"), "item_id", rel.alias("rel_pos")).join(prot.where("fam_cluster is not null").select(F.col("uid").alias("id"), F.col("id").alias("item_id"), F.col("fam_cluster").alias("item")), ["id", "item_id"])
+        dist = trees.cosine_distance(cut(trees.position_weights(at.select("id", "item", "rel_pos")), "weights"))
+    else:
+        fill = "max"
+        dist = trees.presence_jaccard(families_of)
+    full = cut(trees.fill_distances(cut(dist, "distances"), leaves, fill), "filled")
+    names = sorted(r[0] for r in leaves.collect())  # bounded by trees.MAX_LEAVES, which fill_distances checks
+    if mode in ("neighborhood", "neighborhood_phylo"):
+        return trees.single_linkage(names, trees.minimum_forest(full))
+    return trees.tree(settings.tree_method, names, trees.matrix(names, full))
