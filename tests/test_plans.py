@@ -2,6 +2,7 @@ import pytest
 
 from tests.conftest import rows
 from vicinage import cli
+from vicinage.operators import enrich
 from vicinage.plans import config
 
 
@@ -82,3 +83,17 @@ def test_long_single_linkage():
     names = [f"{i:05d}" for i in range(20_000)]
     text = trees.single_linkage(names, [(names[0], x, float(i)) for i, x in enumerate(names[1:])])
     assert text.count(",") == len(names) - 1 and text.startswith("(" * 19_999 + "00000:0.000000,00001:0.000000)")
+
+
+def test_pipeline_query_reads_every_stage(spark, sf):
+    from vicinage.plans import more, pipeline
+    from vicinage.plans.reference import feat, rec
+
+    got = more.run_pipeline(spark, sf).collect()
+    whole, (tree,) = [r for r in got if r.uid], [r for r in got if not r.uid]
+    r = rec(spark, sf)
+    hoods = pipeline.neighbourhoods(enrich.candidates(r, "best_id"), feat(spark, sf), config.Settings())
+    want = {x.uid: (x.start_win, x.end_win) for x in hoods.collect()}
+    assert {x.uid: (x.start_win, x.end_win) for x in whole if x.end_win} == want
+    assert tree.newick.count(",") == sum(x.end_win is not None and x.failed is None for x in whole) - 1 and sum(x.n_similar or 0 for x in whole) > 0
+    assert {x.species is None for x in whole if x.end_win} == {False}

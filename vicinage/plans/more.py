@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from vicinage.functions import ids, text
 from vicinage.functions.clean import bare_id, label
-from vicinage.operators import annotate, enrich, families, greedy, similarity, trees, windows
+from vicinage.operators import annotate, enrich, families, greedy, similarity, taxonomy, trees, windows
 from vicinage.plans import config, pipeline
 from vicinage.plans.queries import table
-from vicinage.plans.reference import QUERIES, SQL, _FEAT, _GENOME, _HIT, _PROT, _RBH, _REC, _SHARE, _WIN, _bare, _rbh, _trim, _windows, dom, feat, genomes, hit, prot, query, rec
+from vicinage.plans.reference import QUERIES, SQL, _FEAT, _GENOME, _HIT, _PROT, _RBH, _REC, _SHARE, _WIN, _bare, _rbh, _tree_nodes, _trim, _windows, dom, feat, genomes, hit, prot, query, rec
 from vicinage.session import cut
 
 __all__ = ["QUERIES", "SQL"]
@@ -183,6 +183,20 @@ def agg05_domain_spans(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def run_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole run over the tables: number of features and families of each neighbourhood."""
-    done = pipeline.run(rec(spark, sf), feat(spark, sf), table(spark, sf, "proteins").withColumn("id", label("id")), hit(spark, sf), config.load(window=900))
-    return done.proteins.groupBy("uid").agg(F.count(F.lit(1)).alias("n_proteins"), F.countDistinct("fam_cluster").alias("n_families"))
+    """The whole run at default settings: a row per record chosen with what each stage has of it, and a row with the tree.
+
+    The taxonomy is nation and region: taxid % 30 + 100, and no lineage where there is no such nation.
+    """
+    n = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select((F.col("n_nationkey") + 100).cast("bigint").alias("taxid"), "n_name", "r_name")
+    ranks = n.select("taxid", F.explode(F.create_map(F.lit("species"), "n_name", F.lit("domain"), "r_name")).alias("rank", "name"))
+    tree_nodes = _tree_nodes(spark, sf).where("taxid < 1000000000")
+    r = rec(spark, sf).withColumn("taxid", F.col("taxid") % 30 + 100)
+    done = pipeline.run(r, feat(spark, sf), table(spark, sf, "proteins").withColumn("id", label("id")), hit(spark, sf), config.load(), ranks, taxonomy.lineages(tree_nodes))
+    features = done.gff.groupBy("uid").agg(F.count(F.lit(1)).alias("n_features"))
+    prots = done.proteins.groupBy("uid").agg(F.count(F.lit(1)).alias("n_proteins"), F.countDistinct("fam_cluster").alias("n_families"))
+    similar = done.similarity.groupBy(F.col("q_genome").alias("uid")).agg(F.count(F.lit(1)).alias("n_similar"), F.sum("n_rbh").alias("n_rbh"), F.round(F.max("wgrr") + 1e-9, 6).alias("max_wgrr"))
+    meta = done.tree_metadata.select(F.col("unique_id").alias("uid"), "taxid", "superkingdom", "species")
+    out = done.records.select("uid").join(done.neighbourhoods.select("uid", "start_win", "end_win", "failed"), "uid", "left")
+    for part in (features, prots, similar, meta):
+        out = out.join(part, "uid", "left")
+    return out.unionByName(spark.createDataFrame([(done.tree,)], "newick string"), allowMissingColumns=True)
