@@ -97,3 +97,12 @@ def test_pipeline_query_reads_every_stage(spark, sf):
     assert {x.uid: (x.start_win, x.end_win) for x in whole if x.end_win} == want
     assert tree.newick.count(",") == sum(x.end_win is not None and x.failed is None for x in whole) - 1 and sum(x.n_similar or 0 for x in whole) > 0
     assert {x.species is None for x in whole if x.end_win} == {False}
+
+
+def test_pairs_by_position_of_all_proteins(spark, sf):
+    from vicinage.plans import more
+    from vicinage.plans.reference import hit, prot
+
+    ids = {r.id for r in prot(spark, sf).collect()}
+    want = {tuple(sorted((r.qseqid, r.sseqid))) for r in hit(spark, sf).collect() if {r.qseqid, r.sseqid} <= ids and r.qseqid != r.sseqid}
+    assert want and rows(more.QUERIES["flt12_all_pairs_by_position"](spark, sf)) == sorted(want)

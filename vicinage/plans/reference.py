@@ -150,7 +150,17 @@ def flt11_hit_thresholds(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""with {_HIT}, pos as (select id, row_number() over (order by id) as p from seed_proteins) select distinct least(q.id, s.id) as a, greatest(q.id, s.id) as b from hit join pos q on q.id = qseqid join pos s on s.id = sseqid where q.p <> s.p""")
 def flt12_pairs_by_position(spark: SparkSession, sf: str) -> DataFrame:
-    pos = stats.global_rank(table(spark, sf, "seed_proteins").select("id"), [F.col("id")], "p")
+    return _pairs_by_position(spark, sf, table(spark, sf, "seed_proteins").select("id"))
+
+
+@query(f"""with {_HIT}, {_PROT}, pos as (select id, row_number() over (order by id) as p from (select distinct id from prot where id is not null)) select distinct least(q.id, s.id) as a, greatest(q.id, s.id) as b from hit join pos q on q.id = qseqid join pos s on s.id = sseqid where q.p <> s.p""")
+def flt12_all_pairs_by_position(spark: SparkSession, sf: str) -> DataFrame:
+    return _pairs_by_position(spark, sf, prot(spark, sf).where("id is not null").select("id").distinct())
+
+
+def _pairs_by_position(spark: SparkSession, sf: str, named: DataFrame) -> DataFrame:
+    """Each unordered pair of hits between the named ids once, the one with the smaller position first."""
+    pos = stats.global_rank(named, [F.col("id")], "p")
     q, s = pos.select(F.col("id").alias("qseqid"), F.col("p").alias("qp")), pos.select(F.col("id").alias("sseqid"), F.col("p").alias("sp"))
     h = hit(spark, sf).join(q, "qseqid").join(s, "sseqid").where("qp <> sp")
     first = F.col("qp") < F.col("sp")
