@@ -106,3 +106,25 @@ def test_pairs_by_position_of_all_proteins(spark, sf):
     ids = {r.id for r in prot(spark, sf).collect()}
     want = {tuple(sorted((r.qseqid, r.sseqid))) for r in hit(spark, sf).collect() if {r.qseqid, r.sseqid} <= ids and r.qseqid != r.sseqid}
     assert want and rows(more.QUERIES["flt12_all_pairs_by_position"](spark, sf)) == sorted(want)
+
+
+def test_neighbourhood_tree_has_every_contig(spark, sf, monkeypatch):
+    from vicinage.operators import trees
+    from vicinage.plans import more
+    from vicinage.plans.reference import prot
+
+    sets: dict = {}
+    for r in prot(spark, sf).where("genome is not null and family is not null").collect():
+        sets.setdefault(r.genome, set()).add(r.family)
+    far = sorted((1 - len(sets[a] & sets[b]) / len(sets[a] | sets[b]), a, b) for a in sets for b in sets if a < b)
+    at, want = {x: x for x in sets}, []
+    for d, a, b in far:
+        if at[a] != at[b]:
+            want.append(round(d, 9))
+            at = {x: at[a] if v == at[b] else v for x, v in at.items()}
+    members = prot(spark, sf).where("genome is not null and family is not null").selectExpr("genome as id", "family as item")
+    for block in (4096, 7):  # one block, and pairs of several
+        monkeypatch.setattr(trees, "BLOCK", block)
+        assert [round(d, 9) for _, _, d in trees.jaccard_forest(members)] == want
+    (tree,) = more.QUERIES["alg26_neighbourhood_tree"](spark, sf).collect()
+    assert tree.n == len(sets) and tree.newick.count(",") == len(sets) - 1
