@@ -128,3 +128,11 @@ def test_neighbourhood_tree_has_every_contig(spark, sf, monkeypatch):
         assert [round(d, 9) for _, _, d in trees.jaccard_forest(members)] == want
     (tree,) = more.QUERIES["alg26_neighbourhood_tree"](spark, sf).collect()
     assert tree.n == len(sets) and tree.newick.count(",") == len(sets) - 1
+
+
+def test_operon_blocks_list_every_feature(spark, sf):
+    from vicinage.plans import more
+    from vicinage.plans.reference import feat
+
+    got = more.QUERIES["jn19_operon_blocks"](spark, sf).select("contig", "gene", "protein_id")
+    assert rows(got) == rows(feat(spark, sf).select("seqid", "id", "protein_id"))

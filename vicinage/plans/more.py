@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -64,9 +64,20 @@ def jn16_annotations(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""with {_FEAT}, g as (select seqid, id, protein_id, row_number() over (partition by seqid order by start, "end", id) as pos from feat) select a.seqid || '_op' as operon, a.seqid as contig, a.pos as position, a.id as gene, b.protein_id from g a left join g b on b.seqid = a.seqid and b.pos = a.pos where a.pos <= 4""")
 def jn19_operon_members(spark: SparkSession, sf: str) -> DataFrame:
     g = windows.gene_index(feat(spark, sf), name="i").select("seqid", "id", "protein_id", (F.col("i") + 1).alias("position"))
-    listed = g.where("position <= 4").groupBy("seqid").agg(F.array_sort(F.collect_list(F.struct("position", "id"))).alias("m"))
+    return _operons(g.where("position <= 4"), g, ["seqid"], F.concat("seqid", F.lit("_op")))
+
+
+@query(f"""with {_FEAT}, g as (select seqid, id, protein_id, row_number() over (partition by seqid order by start, "end", id) as pos from feat) select seqid || '_op' || ((pos - 1) // 4) as operon, seqid as contig, pos as position, id as gene, protein_id from g""")
+def jn19_operon_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    g = windows.gene_index(feat(spark, sf), name="i").select("seqid", "id", "protein_id", (F.col("i") + 1).alias("position"), F.expr("i div 4").alias("block"))
+    return _operons(g, g, ["seqid", "block"], F.concat("seqid", F.lit("_op"), F.col("block").cast("string")))
+
+
+def _operons(members: DataFrame, g: DataFrame, keys: list[str], name: Column) -> DataFrame:
+    """Operons that the keys make of members, as lists in text, looked up in the features g (seqid, id, protein_id, position)."""
+    listed = members.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("position", "id"))).alias("m"))
     as_text = lambda f: F.concat(F.lit("["), F.array_join(F.transform("m", f), ", "), F.lit("]"))
-    ops = listed.select(F.concat("seqid", F.lit("_op")).alias("operon"), F.col("seqid").alias("contig"), as_text(lambda x: x["position"].cast("string")).alias("positions"), as_text(lambda x: F.concat(F.lit("'"), x["id"], F.lit("'"))).alias("genes"))
+    ops = listed.select(name.alias("operon"), F.col("seqid").alias("contig"), as_text(lambda x: x["position"].cast("string")).alias("positions"), as_text(lambda x: F.concat(F.lit("'"), x["id"], F.lit("'"))).alias("genes"))
     return annotate.operon_members(ops, g.select(F.col("seqid").alias("contig"), "position", "protein_id"))
 
 
