@@ -3,7 +3,7 @@
 The positions are cut into shards of SHARD. An interval leaves a piece in the shard of its start and one in the shard
 of its end; the whole shards between are one bridge and never spelled out. Level 1 merges within (entity, shard), where
 at most SHARD rows are left once each start keeps its largest end. Level 2 sees only the first and last stretch of each
-shard and the bridges, and coalesces what touches a shard boundary. Gaps come from the same two levels.
+shard and the bridges (one a shard at most), and coalesces what touches a shard boundary. Gaps come from the same two levels.
 """
 
 from __future__ import annotations
@@ -76,8 +76,13 @@ def coverage(df: DataFrame, keys: list[str], start: Column | str, end: Column |
     inner = F.when((F.col("n") > 1) & F.col("next").isNotNull(), F.struct(period, F.col("s").alias("first_pos"), F.col("e").alias("last_pos")))
     after = F.when(F.col("next").isNotNull(), F.struct(gap, (F.col("e") + 1).alias("first_pos"), (F.col("next") - 1).alias("last_pos")))
     inside = parts.where("not bridge and next is not null").select(*keys, rows_of(inner, after))
-    if not (over := parts.where("bridge")).isEmpty():  # a bridge swallows what lies in its shards
-        swallowed = merged(over.select(*[F.col(k).alias(f"_b{k}") for k in keys], "s", "e"), [f"_b{k}" for k in keys])
-        inside = inside.join(swallowed, [F.col(k) == F.col(f"_b{k}") for k in keys] + [F.col("r.first_pos") >= F.col("s"), F.col("r.last_pos") <= F.col("e")], "left_anti")
-    out = stitched.unionByName(inside).select(*keys, "r.*")
+    inside = inside.withColumn("k", shard_of("r.first_pos"))
+    over = parts.where("bridge")
+    if not over.isEmpty():  # a bridge swallows what lies in its shards; a bridge is known by its first one
+        v = W.partitionBy(*keys).orderBy("k").rowsBetween(W.unboundedPreceding, 0)
+        spanned = parts.groupBy(*keys, "k").agg(F.max(F.when(F.col("bridge"), F.col("e"))).alias("e")).withColumn("reach", F.max("e").over(v))
+        swallowed = spanned.where(F.col("reach") >= lo(F.col("k") + 1) - 1).select(*keys, "k")
+        # a piece of the shard lies in the bridge as a whole, so entity and shard decide and no range has to be compared
+        inside = inside.join(swallowed, [*keys, "k"], "left_anti")
+    out = stitched.unionByName(inside.drop("k")).select(*keys, "r.*")
     return out.select(*[F.col(k).alias(n) for n, k in zip(names, keys, strict=True)], "kind", "first_pos", "last_pos")

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vicinage.operators.windows import covered_length
+from vicinage.operators.sweep import islands
+from vicinage.operators.windows import BIN, covered_length
 
 
 class Apart:
@@ -44,14 +45,13 @@ def greedy(df: DataFrame, keys: list[str], order: list[tuple[str, bool]], start:
     """Rows of df kept greedily per key: in the order (column, ascending), if they share at most slack positions with
     every row kept before.
 
-    Rows first fall into stretches of overlapping intervals, which can't influence each other, so a task gets one
-    stretch and never a whole key. Within stretches of one row nothing has to be decided and Python sees none of it.
+    Rows first fall into stretches of overlapping intervals, which can't influence each other; islands() finds them by
+    shards of a key. A stretch is the unit of a task, however many a key has. Within stretches of one row nothing has to
+    be decided and Python sees none of it.
     """
-    w = W.partitionBy(*keys).orderBy(start, end)
-    reach = F.max(end).over(w.rowsBetween(W.unboundedPreceding, -1))
-    marked = df.withColumn("_new", F.when(reach.isNull() | (F.col(start) > reach), 1).otherwise(0)).withColumn("_stretch", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    marked = marked.withColumn("_size", F.count(F.lit(1)).over(W.partitionBy(*keys, "_stretch"))).drop("_new")
-    many = marked.where("_size > 1").drop("_size").withColumn("_group", F.concat_ws("\x01", *[F.coalesce(F.col(k).cast("string"), F.lit("\x02")) for k in keys], F.col("_stretch")))
+    marked = islands(df, keys, start, end, 0, "_stretch")
+    marked = marked.withColumn("_size", F.count(F.lit(1)).over(W.partitionBy(*keys, "_stretch")))
+    many = marked.where("_size > 1").drop("_size").withColumn("_group", F.concat_ws("\x01", *[F.coalesce(F.col(k).cast("string"), F.lit("\x02")) for k in keys], F.coalesce(F.col("_stretch").cast("string"), F.lit("\x02"))))
     by = [F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_last() for c, up in order]
     lo, hi, group = (many.columns.index(c) for c in (start, end, "_group"))
 
@@ -65,27 +65,24 @@ def greedy(df: DataFrame, keys: list[str], order: list[tuple[str, bool]], start:
                 mask.append(chosen.take(s, e))
             yield batch.filter(pa.array(mask, pa.bool_()))
 
-    # the window has brought each key together already; only the order within is new
+    # the window has brought each stretch together already; only the order within is new
     kept = many.sortWithinPartitions("_group", *by).mapInArrow(choose, many.schema)
     return marked.where("_size = 1").drop("_size", "_stretch").unionByName(kept.drop("_stretch", "_group"))
 
 
-def merge_domains(df: DataFrame, gap: int = 10) -> DataFrame:
-    """Neighbouring hits of one domain on one protein with at most gap positions between become one: span from first to
-    last, summed length, length-weighted mean score, least e-value."""
-    keys = ["protein_id", "database", "domain_id"]
-    w = W.partitionBy(*keys).orderBy("start", "end", "bit_score", "alignment_length")
-    reach = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
-    isl = df.withColumn("_new", F.when(reach.isNull() | (F.col("start") - reach - 1 > gap), 1).otherwise(0)).withColumn("_island", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    out = isl.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("alignment_length").alias("alignment_length"), F.sum(F.col("bit_score") * F.col("alignment_length")).alias("weight"), F.min("e_value").alias("e_value"))
-    return out.withColumn("bit_score", F.col("weight") / F.col("alignment_length")).drop("_island")
+def merge_domains(df: DataFrame, gap: int = 10, keys: tuple[str, ...] = ("protein_id", "database", "domain_id")) -> DataFrame:
+    """Neighbouring hits of one domain on one protein whose start is at most gap beyond the end before become one: span
+    from first to last, summed length, length-weighted mean score, least e-value. Hits without any length keep the
+    score of the first."""
+    isl = islands(df, list(keys), "start", "end", gap)
+    out = isl.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("alignment_length").alias("alignment_length"), F.sum(F.col("bit_score") * F.col("alignment_length")).alias("weight"), F.min_by("bit_score", F.struct("start", "end", "bit_score", "alignment_length")).alias("_first"), F.min("e_value").alias("e_value"))
+    return out.withColumn("bit_score", F.coalesce(F.try_divide("weight", "alignment_length"), F.col("_first"))).drop("_island", "_first")
 
 
-def deduplicate_domains(df: DataFrame, gap: int = 10, max_overlap: int = 5, per_database: bool = False) -> DataFrame:
+def deduplicate_domains(df: DataFrame, gap: int = 10, max_overlap: int = 5, group_cols: tuple[str, ...] = ("protein_id", "database")) -> DataFrame:
     """merge_domains, then the best hits by score times length that share at most max_overlap positions with a better
-    one, per protein or per protein and database."""
-    keys = ["protein_id", "database"] if per_database else ["protein_id"]
-    return greedy(merge_domains(df, gap), keys, [("weight", False), ("domain_id", True), ("database", True), ("start", True)], "start", "end", max_overlap)
+    one, within group_cols: by default the hits of one protein and database."""
+    return greedy(merge_domains(df, gap), list(group_cols), [("weight", False), ("domain_id", True), ("database", True), ("start", True)], "start", "end", max_overlap)
 
 
 def ani_from_hsps(hsps: DataFrame, lengths: DataFrame, slack: int = 0) -> DataFrame:
@@ -102,11 +99,21 @@ def ani_from_hsps(hsps: DataFrame, lengths: DataFrame, slack: int = 0) -> DataFr
     return out.select("query", "ref", F.bround(100 * F.col("same") / F.col("aligned"), 3).alias("ani"), F.bround(100 * F.col("covered") / F.col("q_len"), 3).alias("align_fraction"))
 
 
-def accept_predicted(features: DataFrame, predicted: DataFrame, max_share: float) -> DataFrame:
-    """Predicted ORFs (seqid, id, start, end) that overlap no known feature by more than max_share of their own length,
-    and no prediction accepted before them (by start, end, id)."""
-    f = features.select(F.col("seqid").alias("_s"), F.col("start").alias("_a"), F.col("end").alias("_b"))
+def accept_predicted(features: DataFrame, predicted: DataFrame, max_share: float, min_len: int | None = None, max_len: int | None = None) -> DataFrame:
+    """Predicted ORFs (seqid, id, start, end) of min_len to max_len positions that overlap no known feature by more than
+    max_share per cent of their own length, and no prediction accepted before them (by start, end, id)."""
     p = predicted.withColumn("_len", F.col("end") - F.col("start") + 1)
+    bins = lambda a, b: F.explode(F.sequence(F.expr(f"`{a}` div {BIN}"), F.expr(f"`{b}` div {BIN}")))
+    # predictions and features meet in each bin both lie in
+    f = features.where("start <= end").select(F.col("seqid").alias("_s"), F.col("start").alias("_a"), F.col("end").alias("_b"), bins("start", "end").alias("_fbin"))
+    spread = p.where("start <= end").select("seqid", "id", "start", "end", "_len", bins("start", "end").alias("_bin"))
     shared = F.least("end", "_b") - F.greatest("start", "_a") + 1
-    free = p.join(f, (F.col("seqid") == F.col("_s")) & (F.col("_a") <= F.col("end")) & (F.col("_b") >= F.col("start")) & (shared * 100 > max_share * F.col("_len")), "left_anti").drop("_len")
+    meets = (F.col("seqid") == F.col("_s")) & (F.col("_bin") == F.col("_fbin")) & (F.col("_a") <= F.col("end")) & (F.col("_b") >= F.col("start")) & (shared * 100 > max_share * F.col("_len"))
+    taken = spread.join(f, meets, "left_semi").select("seqid", "id", "start", "end").distinct()
+    fits = F.lit(True)
+    if min_len is not None:
+        fits &= F.col("_len") >= min_len
+    if max_len is not None:
+        fits &= F.col("_len") <= max_len
+    free = p.where(fits).join(taken, ["seqid", "id", "start", "end"], "left_anti").drop("_len").select(*predicted.columns)
     return greedy(free, ["seqid"], [("start", True), ("end", True), ("id", True)], "start", "end", 0)

@@ -6,24 +6,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vicinage.operators import trees
-from vicinage.session import cut
+from vicinage.session import cut, drop_table
 
 #: Ranks of the leaf metadata, highest first (fixed values).
 RANKS = ("superkingdom", "kingdom", "phylum", "class", "order", "family", "genus", "species")
 
 
-def lineages(nodes: DataFrame, depth: int = 64) -> DataFrame:
+def lineages(nodes: DataFrame) -> DataFrame:
     """(taxid, lineage): ids from the root down to each node. nodes: (taxid, parent); the root's parent is itself or null.
 
-    Paths double in length each round, so a tree of depth d takes log2(d) joins.
+    Paths double in length each round, so a tree of depth d takes log2(d) joins, whatever d is. A parent that isn't in
+    nodes ends the lineage. A cycle raises an error: each round takes the shortest open paths a step of 2 to the power
+    of the round further, and a path longer than there are nodes can't come from a tree.
     """
     up = F.when(F.col("parent") == F.col("taxid"), None).otherwise(F.col("parent"))
     paths = nodes.select("taxid", up.alias("next"), F.array("taxid").alias("path"))
-    steps = 1
-    while steps < depth and not paths.where("next is not null").isEmpty():
+    steps, n = 1, None
+    while not (open_paths := paths.where("next is not null")).isEmpty():
+        if steps > 64:
+            n = nodes.count() if n is None else n
+            if steps > n or not open_paths.where(F.array_contains("path", F.col("next"))).isEmpty():
+                raise ValueError("the parents of some nodes form a cycle")
         above = paths.select(F.col("taxid").alias("next"), F.col("next").alias("_n"), F.col("path").alias("_p"))
-        paths = paths.join(above, "next", "left").select("taxid", F.col("_n").alias("next"), F.concat("path", F.coalesce("_p", F.array().cast("array<bigint>"))).alias("path"))
-        steps *= 2
+        longer = paths.join(above, "next", "left").select("taxid", F.col("_n").alias("next"), F.concat("path", F.coalesce("_p", F.array().cast("array<bigint>"))).alias("path"))
+        done = cut(longer, "lineages")
+        if steps > 1:
+            drop_table(paths)
+        paths, steps = done, steps * 2
     return paths.select("taxid", F.reverse("path").alias("lineage"))
 
 

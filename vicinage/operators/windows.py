@@ -6,15 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vicinage.operators.coverage import merged
-
-#: Width of the bins that a containment join shuffles by.
-BIN = 65_536
-
+from vicinage.operators.coverage import coverage
+from vicinage.operators.sweep import BIN, numbered
 
 def gene_index(df: DataFrame, seqid: str = "seqid", order: list[str] | None = None, name: str = "gene_index") -> DataFrame:
-    """Place of each feature on its contig, from 0, in a total order."""
-    return df.withColumn(name, F.row_number().over(W.partitionBy(seqid).orderBy(*(order or ["start", "end", "id"]))) - 1)
+    """Place of each feature on its contig, from 0, in a total order that begins with a position; a whole chromosome is
+    numbered bin by bin."""
+    return numbered(df, [seqid], order or ["start", "end", "id"], name)
 
 
 def windows_by_distance(targets: DataFrame, width: int) -> DataFrame:
@@ -27,12 +25,15 @@ def windows_by_distance(targets: DataFrame, width: int) -> DataFrame:
 def windows_by_rows(features: DataFrame, targets: DataFrame, n: int, order: list[str] | None = None) -> DataFrame:
     """(uid, seqid, start_win, end_win, n_features): the span of the n features before to n after the target feature.
 
-    targets: (uid, seqid, target_id). Every feature gets the span of its own neighbourhood in one pass over the contig,
-    and targets then look theirs up.
+    targets: (uid, seqid, target_id). Features are numbered along the contig, and a target meets those of the blocks of
+    numbers its span touches, so a chromosome is spread over its blocks.
     """
-    w = W.partitionBy("seqid").orderBy(*(order or ["start", "end", "id"])).rowsBetween(-n, n)
-    spans = features.select("seqid", F.col("id").alias("target_id"), F.min("start").over(w).alias("start_win"), F.max("end").over(w).alias("end_win"), F.count(F.lit(1)).over(w).alias("n_features"))
-    return targets.join(spans, ["seqid", "target_id"]).select("uid", "seqid", "start_win", "end_win", "n_features")
+    block = max(1024, n)
+    g = gene_index(features.select("seqid", "id", "start", "end", *[c for c in order or [] if c not in ("seqid", "id", "start", "end")]), order=order, name="_i").select("seqid", "id", "start", "end", "_i")
+    placed = targets.join(g.select("seqid", F.col("id").alias("target_id"), F.col("_i").alias("_at")), ["seqid", "target_id"])
+    spread = placed.withColumn("_block", F.explode(F.sequence(F.expr(f"greatest(0, _at - {n}) div {block}"), F.expr(f"(_at + {n}) div {block}"))))
+    near = spread.join(g.select(F.col("seqid").alias("_seqid"), "start", "end", "_i"), (F.col("seqid") == F.col("_seqid")) & (F.col("_block") == F.expr(f"_i div {block}")) & (F.abs(F.col("_i") - F.col("_at")) <= n))
+    return near.groupBy("uid", "seqid", "_at").agg(F.min("start").alias("start_win"), F.max("end").alias("end_win"), F.count(F.lit(1)).alias("n_features")).drop("_at")
 
 
 def contained(features: DataFrame, windows: DataFrame, bin_width: int = BIN) -> DataFrame:
@@ -80,19 +81,18 @@ def fill_full_contigs(df: DataFrame) -> DataFrame:
 
 def gaps_within(df: DataFrame, keys: list[str], lengths: DataFrame) -> DataFrame:
     """(keys, s, e): what the intervals (s, e) leave free of 1..length; a key without intervals is free as a whole."""
-    islands = merged(df, keys)
-    w = W.partitionBy(*keys).orderBy("s")
-    spans = islands.join(lengths, keys)
-    before = spans.select(*keys, (F.coalesce(F.lag("e").over(w), F.lit(0)) + 1).alias("s"), (F.col("s") - 1).alias("e"))
-    tail = spans.groupBy(*keys, "length").agg((F.max("e") + 1).alias("s")).select(*keys, "s", F.col("length").alias("e"))
-    whole = lengths.join(islands.select(*keys).distinct(), keys, "left_anti").select(*keys, F.lit(1).cast("bigint").alias("s"), F.col("length").alias("e"))
-    return before.unionByName(tail).unionByName(whole).where("s <= e")
+    found = coverage(df, keys, "s", "e").select(*keys, "kind", F.col("first_pos").alias("s"), F.col("last_pos").alias("e"))
+    inner = found.where("kind = 'gap'").join(lengths, keys).select(*keys, F.greatest(F.lit(1), "s").alias("s"), F.least("e", "length").alias("e"))
+    ends = found.where("kind = 'period'").groupBy(*keys).agg(F.min("s").alias("first"), F.max("e").alias("last")).join(lengths, keys)
+    outer = ends.select(*keys, F.explode(F.array(F.struct(F.lit(1).cast("bigint").alias("s"), F.least(F.col("first") - 1, "length").alias("e")), F.struct(F.greatest(F.lit(0), "last") + 1, F.col("length")))).alias("p")).select(*keys, "p.*")
+    whole = lengths.join(found.select(*keys).distinct(), keys, "left_anti").select(*keys, F.lit(1).cast("bigint").alias("s"), F.col("length").alias("e"))
+    return inner.unionByName(outer).unionByName(whole).where("s <= e")
 
 
 def covered_length(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
     """(keys, covered): positions in the union of half-open intervals."""
     closed = df.select(*keys, F.col(start).alias("s"), (F.col(end) - 1).alias("e")).where("s <= e")
-    return merged(closed, keys).groupBy(*keys).agg(F.sum(F.col("e") - F.col("s") + 1).alias("covered"))
+    return coverage(closed, keys, "s", "e").where("kind = 'period'").groupBy(*keys).agg(F.sum(F.col("last_pos") - F.col("first_pos") + 1).alias("covered"))
 
 
 def forward_fill(df: DataFrame, keys: list[str], order: list[str], cols: list[str]) -> DataFrame:

@@ -12,6 +12,10 @@ from vicinage.operators.coverage import coverage
 from vicinage.operators.packed import split_packed
 
 
+#: Positions of a protein that one shard holds; proteins of more are merged in several and stitched.
+DOMAIN_SHARD = 128
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -29,7 +33,7 @@ def domain_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    return coverage(domain_hits(spark, sf), ["protein_id", "domain_id_clean"], "start", "end")
+    return coverage(domain_hits(spark, sf), ["protein_id", "domain_id_clean"], "start", "end", DOMAIN_SHARD)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -12,7 +12,7 @@ from vicinage import schemas
 from vicinage.functions import ids, links, stats, text
 from vicinage.functions.clean import bare_id, label, whole_number
 from vicinage.operators import annotate, enrich, families, greedy, similarity, taxonomy, trees, windows
-from vicinage.operators.coverage import merged
+from vicinage.operators.coverage import coverage
 from vicinage.plans.queries import table
 from vicinage.session import cut, table_path
 from vicinage.sources import readers, sinks
@@ -561,7 +561,7 @@ def _coding(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{_CODING} select seqid, s, e from island")
 def alg05_islands(spark: SparkSession, sf: str) -> DataFrame:
-    return merged(_coding(spark, sf), ["seqid"])
+    return coverage(_coding(spark, sf), ["seqid"], "s", "e").where("kind = 'period'").select("seqid", F.col("first_pos").alias("s"), F.col("last_pos").alias("e"))
 
 
 @query(f"""{_CODING}, b as (select seqid, coalesce(lag(e) over (partition by seqid order by s), 0) + 1 as s, s - 1 as e from island), t as (select i.seqid, max(e) + 1 as s, max(length) as e from island i join len using (seqid) group by i.seqid)
