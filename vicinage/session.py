@@ -41,7 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared storage, if it is there."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)  # noqa: SLF001
 
@@ -54,7 +55,7 @@ def _folder(spark: SparkSession) -> str:
 
         def remove() -> None:
             with contextlib.suppress(Exception):
-                _delete(spark, folder)
+                delete(spark, folder)
 
         atexit.register(remove)
     return folder
@@ -75,4 +76,4 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 def drop_table(df: DataFrame) -> None:
     """Deletes the files of a table made by cut(), once nothing reads it any more."""
     for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        _delete(df.sparkSession, folder)
+        delete(df.sparkSession, folder)
