@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from vicinage.llm.consensus import align, profile_text, text_consensus, word_distance
+from vicinage.llm.consensus import CHUNK, align, consensus, profile_text, sequence, survivors, text_consensus, token, word_distance, words_of
 from vicinage.llm.records import record_survivors
 
 SCHEMA = "ipg_id bigint, unique_id string, assembly_id string, assembly_level string, is_refseq_query boolean, sequence_length bigint, failed boolean"
@@ -39,8 +39,8 @@ def test_huge_group(spark):
 def test_alignment():
     p = []
     for s in ("a b c", "a x c", "b c"):
-        p = align(p, s.split(), 1.0)
-    assert [max(c, key=c.get) for c in p if c.get(None, 0) < 2][-1] == "c"
+        p = align(p, words_of(s), 1)
+    assert [max(c, key=c.get) for c in p if c.get(None, 0) < 2][-1] == (0, "c", 0)
     assert profile_text([("alpha beta gamma", 3), ("alpha gamma", 1), ("alpha beta delta", 1)]) == "alpha beta gamma"
     assert word_distance("a b c".split(), "a c d".split()) == 2 and word_distance([], ["x"]) == 1
 
@@ -51,3 +51,42 @@ def test_text_consensus(spark):
     for chunk in (2, 256):
         assert rows(text_consensus(df, "fam", "t", chunk).select("fam", "value", "n_rows")) == [("g", "kinase subunit D", 3), ("h", "one", 1)]
     assert text_consensus(df.where("false"), "fam", "t").count() == 0
+
+
+def test_kinds_keep_their_order():
+    """Values of one field share a column, and columns stand in the order of kinds whatever came first."""
+    seqs = [((1, "finished", 1), (4, "7", 7)), ((2, "any", 1), (4, "9", 9)), ((3, "query", 1),), ((1, "finished", 1), (2, "GCF", 2))]
+    for turn in range(4):
+        agreed = consensus([(s, 1) for s in seqs[turn:] + seqs[:turn]], -1)
+        assert agreed == [(1, "finished", 1), (2, "GCF", 2), (3, "query", 1), (4, "9", 9)]
+
+
+def test_alignment_decides_who_survives(spark):
+    """Compared place by place the first record would agree with nobody; aligned, it holds what the others hold."""
+    data = [(1, 1, "new kinase subunit D"), (1, 2, "kinase subunit D"), (1, 3, "kinase subunit"), (1, 4, "kinase chain D"), (1, 5, "subunit kinase D")]
+    df = spark.createDataFrame(data, "g int, k bigint, t string")
+    words = F.transform(F.split("t", " "), lambda w: F.struct(F.lit(0).alias("kind"), w.alias("tok"), F.lit(0).cast("bigint").alias("trust")))
+    assert profile_text([(t, 1) for *_, t in data]) == "kinase subunit D"
+    assert rows(survivors(df, "g", F.col("k"), words, gap_trust=0)) == [(1, 2)]
+
+
+def test_more_votes_decide_among_equal_trust(spark):
+    data = [(1, k, t) for k, t in enumerate(["red", "blue", "blue", "green"])] + [(2, 1, None), (2, 2, None), (3, 5, "x"), (3, 5, "x")]
+    df = spark.createDataFrame(data, "g int, k bigint, t string").withColumn("seq", F.lit(1)).withColumn("grp", F.lit(2))
+    assert rows(survivors(df, "g", F.col("k"), sequence(token(1, F.col("t"), F.lit(1))))) == [(1, 1), (2, 1)]
+
+
+def test_a_huge_group_changes_no_other(spark):
+    small = [("s", t) for t in ["alpha beta gamma"] * 3 + ["alpha beta gamma delta", "alpha beta", "theta beta gamma delta", "alpha gamma"]]
+    alone = rows(text_consensus(spark.createDataFrame(small, "fam string, t string"), "fam", "t"))
+    huge = spark.range(CHUNK * 5).select(F.lit("h").alias("fam"), F.concat(F.lit("kinase w"), F.col("id").cast("string")).alias("t"))
+    both = text_consensus(spark.createDataFrame(small, "fam string, t string").unionByName(huge), "fam", "t")
+    assert rows(both.where("fam = 's'")) == alone == [("s", "alpha beta gamma", "alpha beta gamma", 3)]
+    assert both.where("fam = 'h'").first().value.startswith("kinase")
+
+
+def test_parts_and_levels_of_a_huge_group(spark):
+    df = spark.range(3000).select(F.lit(1).alias("ipg_id"), F.col("id").alias("k"), F.concat(F.lit("n"), F.col("id") % 700).alias("t"), (F.col("id") % 700).alias("w"))
+    for chunk in (4, 64):
+        got = rows(survivors(df, "ipg_id", F.col("k"), sequence(token(1, F.col("t"), F.col("w"))), chunk))
+        assert got == [(1, 699)]

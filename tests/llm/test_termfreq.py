@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,9 +19,9 @@ def test_deltas_equal_one_count(spark):
     left = list(all_rows)
     for g in gone:
         left.remove(g)
-    one = TermCounts(spark, buckets=3)
+    one = TermCounts(spark, rows=20)
     one.apply(signed(added=frame(spark, left)))
-    more = TermCounts(spark, buckets=3)
+    more = TermCounts(spark, rows=20)
     more.apply(signed(added=frame(spark, all_rows[:30])))
     more.apply(signed(added=frame(spark, [])))
     more.apply(signed(added=frame(spark, all_rows[30:]), deleted=frame(spark, gone)))
@@ -27,12 +29,33 @@ def test_deltas_equal_one_count(spark):
     assert rows(again.counts()) == rows(one.counts()) and again.n_records() == one.n_records()
 
 
-def test_only_touched_buckets_are_written(spark):
-    c = TermCounts(spark, buckets=64)
+def test_a_delta_writes_its_changes_only(spark):
+    c = TermCounts(spark, rows=50)
     c.apply(signed(added=frame(spark, [(f"r{i}", i) for i in range(200)])))
-    before = dict(c.live["term"])
+    assert c.buckets["pair"] == 4
+    before = {k: list(v) for k, v in c.live.items()}
     c.apply(signed(added=frame(spark, [("new", 7)])))
-    assert sum(before[b] != f for b, f in c.live["term"].items()) == 1
+    assert all(c.live[k][:-1] == before[k] for k in before) and c.sizes["pair"] == [200, 1]
+    assert c._read("term", c.live["term"][-1:]).count() == 1
+
+
+def test_log_is_summed_up_and_old_folders_go(spark):
+    c = TermCounts(spark, rows=50)
+    for g in range(4):
+        c.apply(signed(added=frame(spark, [(f"r{i}", i + 10 * g) for i in range(60)])))
+    want = rows(c.counts())
+    folders = [f for fs in c.live.values() for f in fs]
+    root = c.path.removeprefix("file://")
+    assert {f"{c.path}/{k}/{d}" for k in os.listdir(root) if k.startswith("kind=") for d in os.listdir(f"{root}/{k}")} == set(folders)
+    assert rows(TermCounts.load(spark, c.path).counts()) == want
+
+
+def test_a_delta_that_fails_changes_nothing(spark):
+    c = TermCounts(spark)
+    c.apply(signed(added=frame(spark, [("a", 1), ("b", 2)])))
+    with pytest.raises(Exception, match="more deleted"):
+        c.apply(signed(added=frame(spark, [("x", 9)]), deleted=frame(spark, [("a", 1), ("a", 1)])))
+    assert rows(c.counts()) == rows(TermCounts.load(spark, c.path).counts()) == [(1, 1, 1), (2, 1, 1)]
 
 
 def test_term_goes_and_comes_back(spark):

@@ -44,9 +44,21 @@ def p3_lift(spark: SparkSession, sf: str) -> DataFrame:
     return cooccurrence(families(spark, sf), "rec", "term", min_pairs=3).select(F.col("item_a").alias("fam_a"), F.col("item_b").alias("fam_b"), "n_a", "n_b", "n_ab", F.round("lift", 6).alias("lift"))
 
 
+def first_reading(spark: SparkSession, sf: str) -> DataFrame:
+    """(rec, term) as a load before any cleaning reads them: the contig as it is written, the family if it is plain digits."""
+    return _table(spark, sf, "proteins").select(F.col("target_nuc").alias("rec"), F.col("fam_cluster").try_cast("bigint").alias("term"))
+
+
 def _counts(spark: SparkSession, sf: str) -> TermCounts:
+    """The first reading of the whole table is loaded; the rows that were read otherwise than they should be are
+    corrected by a delta: their old form is deleted, their new one added."""
     counts = TermCounts(spark)
-    counts.apply(signed(added=families(spark, sf)))
+    counts.apply(signed(added=first_reading(spark, sf)))
+    own = _table(spark, sf, "proteins")
+    both = own.select(F.col("target_nuc").alias("rec0"), F.col("fam_cluster").try_cast("bigint").alias("term0"), label("target_nuc").alias("rec"), whole_number("fam_cluster").alias("term"))
+    changed = both.where(~(F.col("rec0").eqNullSafe(F.col("rec")) & F.col("term0").eqNullSafe(F.col("term"))))
+    forms = F.array(F.struct(F.col("rec0").alias("rec"), F.col("term0").alias("term"), F.lit(-1).alias("sign")), F.struct("rec", "term", F.lit(1).alias("sign")))
+    counts.apply(changed.select(F.explode(forms).alias("f")).select("f.*"))
     return counts
 
 
