@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from vicinage.llm.leakage import WuManber, leaks, words
+from vicinage.llm.leakage import PER_WORDS, Tables, WuManber, code_points, leaks, words
 
 ITEM = "item_id bigint, lang string, text string"
 DOC = "doc_id bigint, text string, lang string"
@@ -14,12 +14,12 @@ DOC = "doc_id bigint, text string, lang string"
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("abc", min_size=0, max_size=12), max_size=6), st.text("abc", max_size=60))
 def test_search_finds_every_window(patterns, text):
-    m = WuManber(5, 2)
+    m = WuManber(5, 2, [(i, code_points(p)) for i, p in enumerate(patterns)])
     want = set()
     for i, p in enumerate(patterns):
-        m.add(p, i)
         want |= {(at, i) for k in range(len(p) - 4) for at in range(len(text) - 4) if text[at : at + 5] == p[k : k + 5]}
-    assert set(m.search(text)) == want
+    places, ids = m.search(code_points(text))
+    assert set(zip(places.tolist(), ids.tolist())) == want
 
 
 def found(spark, docs, items, **kw):
@@ -56,8 +56,18 @@ def test_passes_over_parts(spark):
     items = [(i, "en", " ".join(f"w{rnd.randrange(400)}" for _ in range(30))) for i in range(40)]
     docs = [(i, "x " + " ".join(t.split()[5:25]), None) for i, _, t in items]
     one = found(spark, docs, items)
-    assert one == found(spark, docs, items, part=300) and {(i, i) for i in range(40)} <= set(one)
+    assert one == found(spark, docs, items, part=1500) and {(i, i) for i in range(40)} <= set(one)
 
 
 def test_empty_tables(spark):
     assert found(spark, [], [(7, "en", TEXT)]) == [] and found(spark, [(1, TEXT, None)], []) == []
+
+
+def test_tables_are_small():
+    rnd = random.Random(4)
+    words_ = [f"w{i}" for i in range(30_000)]
+    items = [(i, "en", " ".join(rnd.choice(words_) for _ in range(1000))) for i in range(200)]
+    t = Tables(items)
+    held = sum(x.nbytes for x in (t.by_word.symbols, t.by_word.suffix, t.by_word.prefix, t.by_word.end, t.by_word.ids)) + len(t.by_word.shift)
+    assert held <= PER_WORDS * sum(len(x) for *_, x in items) * 1.5
+    assert [i for i, *_ in t.search(" ".join(items[7][2].split()[100:113]))] == [7]

@@ -46,3 +46,11 @@ def test_fixed_count_of_a_class():
     for i in range(9):
         b.put(i, 30)  # class 3
     assert [len(t) for _, t in b.fill()] == [3, 3, 3] and b.held == 0
+
+
+def test_many_leftovers_never_gather(spark):
+    """More leftovers than a closing task takes: each class packs its own."""
+    data = [(i, " ".join(["w"] * (1 + i % 9))) for i in range(6000)]
+    p = pack(spark.createDataFrame(data, SCHEMA).repartition(300), capacity=10, left=1).toPandas()
+    check(p, 10)
+    assert len(p) == 6000 and p.groupby("bin_id").n_tokens.sum().mean() > 7

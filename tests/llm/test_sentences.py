@@ -24,6 +24,12 @@ CASES = {
     "blocks": ("Steps\n\nOne line\nwraps here. Two.\n\n- a. B\n- b\n\n1. x\n2. y\r\n\r\nEnd", 8),
     "wrapped number": ("As shown in Tab.\n11. The flank ends.", 2),
     "open bracket": ("A ( is left open. The rest goes on.", 2),
+    "nested lists": ("Plan:\n1. one\n   - a. B\n   - c\n   1. deep\n   2. deeper\n2. two\n3. three\n\nEnd", 9),
+    "a list goes on past 999": ("\n".join(f"{i}. x" for i in range(998, 1003)), 5),
+    "a year begins a line": ("It was late.\n\n1998. It was cold. So it stayed.", 4),
+    "quote in bracket": ("He left (and said “Stop. Now.” twice.) quickly. Then came (she wrote “Yes.”) No more.", 3),
+    "mark left open before a pair": ("A “quote left (open. Here.) Next one. Last.", 3),
+    "long word before a stop": ("A" + "b" * 300 + " and Dr. " + "c" * 300 + ". New one.", 2),
     "nothing": (" \n\t", 0),
 }
 

@@ -15,9 +15,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vicinage.functions.clean import bare_id
+from vicinage.operators.sweep import lookup
 from vicinage.session import cut, drop_table
 
 #: Edges that one union-find holds in memory; more are worked off in several forests.
@@ -88,25 +90,29 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", bound: in
     levels: list[DataFrame] = []
     while True:
         trees = level.mapInArrow(split, "node string, root string")
-        joined = trees.groupBy("node").agg(F.min("root").alias("parent"), F.collect_set("root").alias("roots"))
-        levels.append(cut(joined, f"forest{len(levels)}"))
-        level = levels[-1].select(F.col("parent").alias("a"), F.explode("roots").alias("b")).where("a <> b")
-        left = levels[-1].agg(F.sum(F.size("roots") - 1)).first()[0] or 0
+        # a hub has a row from each split; they meet in a sort that may spill, and no row lists them
+        w = W.partitionBy("node").orderBy("root")
+        met = trees.select("node", "root", F.first("root").over(w).alias("parent"), F.lag("root").over(w).alias("last"))
+        met = met.where("last is null or last <> root").select("node", "root", "parent", F.col("last").isNull().alias("first"))
+        levels.append(cut(met, f"forest{len(levels)}"))
+        level = levels[-1].where("not first").select(F.col("parent").alias("a"), F.col("root").alias("b"))
+        left = level.count()
         if not left:
             break
         if left <= bound:
             level = level.repartition(1)  # not coalesce: the wide table is still read by many tasks
-    label = levels[-1].select("node", F.col("parent").alias("top"))
+    label = levels[-1].where("first").select("node", F.col("parent").alias("top"))
     for lower in reversed(levels[:-1]):
-        upper = label.select(F.col("node").alias("parent"), "top")
-        label = lower.select("node", "parent").join(upper, "parent", "left").select("node", F.coalesce("top", "parent").alias("top"))
-    members = label.select(F.substring("node", 17, 1 << 30).alias("member_id"), "top")
-    if len(levels) > 1:
-        members = cut(members, "members")
-        for t in levels:
-            drop_table(t)
-    least = members.groupBy("top").agg(F.min("member_id").alias("group_id"))
-    return members.join(least, "top").select("member_id", "group_id")
+        lower = lower.where("first").select("node", "parent")
+        n = lower.groupBy("parent").agg(F.count(F.lit(1)).alias("n"))
+        upper = n.join(label.select(F.col("node").alias("parent"), "top"), "parent")
+        label = lookup(lower, upper, ["parent"], "n", "left").select("node", F.coalesce("top", "parent").alias("top"))
+    members = label.select(F.expr("substring(node, 17)").alias("member_id"), "top")
+    members = cut(members, "members")
+    for t in levels:
+        drop_table(t)
+    least = members.groupBy("top").agg(F.min("member_id").alias("group_id"), F.count(F.lit(1)).alias("n"))
+    return lookup(members, cut(least, "groups"), ["top"], "n").select("member_id", "group_id")
 
 
 def hit_edges(hits: DataFrame, max_evalue: float = 1e-5, min_pident: float = 30.0) -> DataFrame:

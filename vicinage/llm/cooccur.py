@@ -5,8 +5,10 @@ of them, however large the data. Records are worked off in blocks: pairs of two
 the block's bit matrix, pairs of two light items from hash counts, mixed pairs from probing the records of a light item
 in the bit matrix. Only sums per block are shuffled.
 
-Records with more than WIDE light items would give too many light pairs. They are left out of the hash counts and
-handled exactly on their own: see wide_pairs.
+A record with more than WIDE light items would give one task too many light pairs. Its items are dealt out to groups by
+their hash, about WIDE in each, and a pair of groups is a unit of work of its own, as is a group with the record's heavy
+items: a record of m items is copied m / WIDE times and no more, against the m * m / 2 pairs it holds. Units of the same
+groups come together, so that their pairs are summed before the shuffle.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vicinage.operators.sweep import lookup
 from vicinage.session import cut
 
 DENSITY = 64
@@ -26,22 +29,36 @@ WIDE = 256
 BLOCK = 500_000
 #: Records whose bits are held at once, and pairs.
 SLAB, AT_ONCE = 16_384, 4_000_000
+#: Columns of a tile of counts.
+TILE = 1024
 PAIR = "item_a bigint, item_b bigint, n_ab bigint"
 
 
-def popcount_pairs(rec: np.ndarray, col: np.ndarray, n_rec: int, n_col: int) -> np.ndarray:
-    """How many of the records 0..n_rec-1 hold both columns, as an n_col x n_col matrix; (rec, col) are distinct and rec
-    is sorted. Records are taken in slabs, so the dense bits stay small."""
-    out = np.zeros((n_col, n_col), dtype=np.int64)
-    for low in range(0, n_rec, SLAB):
-        a, b = np.searchsorted(rec, [low, low + SLAB])
-        dense = np.zeros((n_col, min(SLAB, n_rec - low)), dtype=np.uint8)
-        dense[col[a:b], rec[a:b] - low] = 1
-        packed = np.packbits(dense, axis=1)
-        packed = np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8))).view(np.uint64)
-        for i in range(n_col):
-            out[i, i:] += np.bitwise_count(packed[i] & packed[i:]).sum(axis=1).astype(np.int64)
-    return out
+def popcount_pairs(rec: np.ndarray, col: np.ndarray, n_rec: int, n_col: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, n) with i < j: how many of the records 0..n_rec-1 hold both columns; (rec, col) are distinct and rec is
+    sorted. Records are taken in slabs and columns in tiles, so neither the dense bits nor the counts grow with them."""
+    for ti in range(0, n_col, TILE):
+        for tj in range(ti, n_col, TILE):
+            wi, wj = min(TILE, n_col - ti), min(TILE, n_col - tj)
+            out = np.zeros((wi, wj), dtype=np.int64)
+            for low in range(0, n_rec, SLAB):
+                a, b = np.searchsorted(rec, [low, low + SLAB])
+                left = _bits(rec[a:b] - low, col[a:b] - ti, min(SLAB, n_rec - low), wi)
+                right = left if ti == tj else _bits(rec[a:b] - low, col[a:b] - tj, min(SLAB, n_rec - low), wj)
+                for i in range(wi):
+                    first = i if ti == tj else 0
+                    out[i, first:] += np.bitwise_count(left[i] & right[first:]).sum(axis=1).astype(np.int64)
+            i, j = np.nonzero(np.triu(out, 1) if ti == tj else out)
+            yield i + ti, j + tj, out[i, j]
+
+
+def _bits(rec: np.ndarray, col: np.ndarray, n_rec: int, n_col: int) -> np.ndarray:
+    """A row of bits a column, a bit a record, for the columns 0..n_col-1."""
+    dense = np.zeros((n_col, n_rec), dtype=np.uint8)
+    own = (col >= 0) & (col < n_col)
+    dense[col[own], rec[own]] = 1
+    packed = np.packbits(dense, axis=1)
+    return np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8))).view(np.uint64)
 
 
 def light_pairs(rec: np.ndarray, item: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -77,9 +94,8 @@ def block_pairs(rec: np.ndarray, item: np.ndarray, heavy: np.ndarray) -> Iterato
     names, col = np.unique(item[heavy], return_inverse=True)
     hrec, lrec, litem = rec[heavy], rec[~heavy], item[~heavy]
     if len(names):
-        m = popcount_pairs(hrec, col, n_rec, len(names))
-        i, j = np.nonzero(np.triu(m, 1))
-        yield counted(names[i], names[j], m[i, j])
+        for i, j, n in popcount_pairs(hrec, col, n_rec, len(names)):
+            yield counted(names[i], names[j], n)
         # mixed: each light item's records are looked up in the heavy lists of the block
         begin = np.searchsorted(hrec, np.arange(n_rec + 1))
         width = (begin[1:] - begin[:-1])[lrec]
@@ -113,38 +129,69 @@ def partition_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield from filter(None, block_pairs(*(np.concatenate(x) for x in zip(*held, strict=True))))
 
 
-def wide_pairs(wide: DataFrame, seen: DataFrame, min_pairs: int, n_wide: int) -> DataFrame:
-    """(item_a, item_b, n_ab): in how many wide records both items are, for the pairs in seen and for all pairs that
-    are in at least min_pairs of them. wide: (rec, item), the light items of wide records, all distinct.
+def unit_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of pairs of the units (unit, rec, side, item), which stand together by unit and record: pairs of sides 0
+    and 1 if there is a 1, else pairs within side 0. Some AT_ONCE pairs are held and summed."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size, last = 0, None
+    sides: tuple[list, list] = ([], [])
+
+    def close() -> None:
+        nonlocal size
+        a, b = (np.array(s, dtype=np.int64) for s in sides)
+        if len(b):
+            # a unit of many heavy items is worked off in parts
+            step = max(1, AT_ONCE // len(b))
+            for k in range(0, len(a), step):
+                part = a[k : k + step]
+                held.append((np.repeat(part, len(b)), np.tile(b, len(part))))
+        elif len(a) > 1 and last[0]["a"] == last[0]["b"]:
+            i, j = np.triu_indices(len(a), 1)
+            held.append((a[i], a[j]))
+        size = sum(len(x) for x, _ in held)
+
+    def flush() -> pa.RecordBatch | None:
+        nonlocal size
+        out = counted(np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])) if held else None
+        held.clear()
+        size = 0
+        return out
 
-    Pairs seen elsewhere are looked up by two joins. Pairs only of wide records need at least min_pairs of these, so
-    items in fewer are dropped first; the rest is cut into tiles of two item groups, each counted on its own.
+    for batch in batches:
+        for unit, rec, side, item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (unit, rec) != last:
+                if last is not None:
+                    close()
+                    if size >= AT_ONCE and (out := flush()) is not None:
+                        yield out
+                sides, last = ([], []), (unit, rec)
+            sides[side].append(item)
+    if last is not None:
+        close()
+    if (out := flush()) is not None:
+        yield out
+
+
+def wide_pairs(items: DataFrame, wide: int) -> DataFrame:
+    """(item_a, item_b, n_ab): the light and mixed pairs of wide records, summed a partition.
+
+    items: (rec, item, heavy, m) of wide records, all distinct, m being a record's light items. A record has the power of
+    two groups that leaves about `wide` light items in each, so records of like size share their units.
     """
-    lists = wide.groupBy("item").agg(F.collect_set("rec").alias("recs"))
-    both = (
-        seen.join(lists.select(F.col("item").alias("item_a"), F.col("recs").alias("ra")), "item_a")
-        .join(lists.select(F.col("item").alias("item_b"), F.col("recs").alias("rb")), "item_b")
-        .select("item_a", "item_b", F.size(F.array_intersect("ra", "rb")).cast("bigint").alias("n_ab"))
-    )
-    often = cut(lists.where(F.size("recs") >= min_pairs), "often")
-    groups, slabs = max(1, -(-often.count() // 2000)), max(1, -(-n_wide // SLAB))
-    tiled = often.select("item", F.explode("recs").alias("rec"), F.pmod(F.xxhash64("item"), F.lit(groups)).alias("g"))
-    tiled = tiled.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    tiled = tiled.select("rec", "item", F.least("g", "o").alias("ga"), F.greatest("g", "o").alias("gb"), F.pmod(F.xxhash64("rec"), F.lit(slabs)).alias("slab"))
-
-    def tile(key: tuple, t: pa.Table) -> pa.Table:
-        _, rec = np.unique(t["rec"].to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
-        order = np.argsort(rec, kind="stable")
-        rec, item, group = rec[order], t["item"].to_numpy()[order], t["g"].to_numpy()[order]
-        names, first, col = np.unique(item, return_index=True, return_inverse=True)
-        m = np.triu(popcount_pairs(rec, col, int(rec[-1]) + 1, len(names)), 1)
-        g = group[first]
-        i, j = np.nonzero((m > 0) & ((key[0].as_py() == key[1].as_py()) | (g[:, None] != g[None, :])))
-        return pa.table({"item_a": names[i], "item_b": names[j], "n_ab": m[i, j]})
-
-    tiled = tiled.withColumn("g", F.pmod(F.xxhash64("item"), F.lit(groups)))
-    alone = tiled.groupBy("ga", "gb", "slab").applyInArrow(tile, PAIR).groupBy("item_a", "item_b").agg(F.sum("n_ab").alias("n_ab")).where(F.col("n_ab") >= min_pairs)
-    return both.unionByName(alone.join(seen.select("item_a", "item_b"), ["item_a", "item_b"], "left_anti"))
+    groups = F.expr(f"cast(pow(2, ceil(log2(m / {wide}))) as int)")
+    known = items.withColumn("groups", groups).withColumn("g", F.pmod(F.xxhash64("item"), F.col("groups")).cast("int"))
+    o = F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("o")
+    light = known.where("not heavy").select("rec", "item", "groups", "g", o)
+    unit = lambda a, b: F.struct(F.col("groups"), a.cast("int").alias("a"), b.cast("int").alias("b"))
+    # group g meets each group, itself included: as side 0 if it is the smaller one
+    light_units = light.select(unit(F.least("g", "o"), F.greatest("g", "o")).alias("unit"), "rec", F.when(F.col("g") > F.col("o"), 1).otherwise(0).alias("side"), "item")
+    # the heavy items meet each group: -1 stands for them
+    with_heavy = known.where("heavy").select("groups", "rec", o, "item").select(unit(F.col("o"), F.lit(-1)).alias("unit"), "rec", F.lit(1).alias("side"), "item")
+    own = known.where("not heavy").select(unit(F.col("g"), F.lit(-1)).alias("unit"), "rec", F.lit(0).alias("side"), "item")
+    mixed = own.unionByName(with_heavy)
+    # a unit of groups whose other side is empty has no pairs; within one group it has, so the two are told apart by b
+    units = light_units.unionByName(mixed).withColumn("slab", F.pmod(F.xxhash64("rec"), F.lit(64)))
+    return units.repartition("unit", "slab").sortWithinPartitions("unit", "rec").select("unit", "rec", "side", "item").mapInArrow(unit_pairs, PAIR)
 
 
 def cooccurrence(rows: DataFrame, rec: str, item: str, min_pairs: int = 1, min_lift: float = 0.0, wide: int = WIDE) -> DataFrame:
@@ -160,25 +207,18 @@ def cooccurrence(rows: DataFrame, rec: str, item: str, min_pairs: int = 1, min_l
     n_rec = once.select("rec").distinct().count()
     n = once.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     n = cut(n.where((F.col("n") >= min_pairs) & (F.col("n") * min_lift <= n_rec * (1 + 1e-9))).withColumn("heavy", F.col("n") * DENSITY >= n_rec), "items")
-    known = once.join(n.select("item", "heavy"), "item")
-    light = known.where("not heavy")
-    broad = light.groupBy("rec").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > wide)
+    known = lookup(once, n.select("item", "n", "heavy"), ["item"], "n")
+    broad = known.where("not heavy").groupBy("rec").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > wide)
     broad = cut(broad, "wide")
-    n_wide = broad.count()
     narrow = known
-    if n_wide:
-        tagged = known.join(broad.select("rec", F.lit(True).alias("is_wide")), "rec", "left")
-        narrow = tagged.where(F.col("heavy") | F.col("is_wide").isNull()).select("rec", "item", "heavy")
+    if any_wide := not broad.isEmpty():
+        known = cut(known, "known")
+        of_wide = lookup(known, broad.withColumn("w", F.col("m")), ["rec"], "w")
+        narrow = lookup(known, broad.select("rec", "m", F.lit(True).alias("is_wide")), ["rec"], "m", "left").where(F.col("heavy") | F.col("is_wide").isNull())
     parts = narrow.select("rec", "item", "heavy").repartition("rec").sortWithinPartitions("rec").mapInArrow(partition_pairs, PAIR)
-    if n_wide:
-        far = cut(light.join(broad.select("rec"), "rec").select("rec", "item"), "widerows")
-        heavies = known.where("heavy").join(broad.select("rec"), "rec").groupBy("rec").agg(F.collect_set("item").alias("hs"))
-        mixed = far.join(heavies, "rec").select("item", F.explode("hs").alias("h")).groupBy(F.least("item", "h").alias("item_a"), F.greatest("item", "h").alias("item_b")).agg(F.count(F.lit(1)).alias("n_ab"))
-        parts = parts.unionByName(mixed)
+    if any_wide:
+        parts = parts.unionByName(wide_pairs(of_wide, wide))
     pairs = parts.groupBy("item_a", "item_b").agg(F.sum("n_ab").alias("n_ab"))
-    if n_wide:
-        pairs = cut(pairs.where(F.col("n_ab") >= min_pairs - n_wide), "pairs")
-        pairs = pairs.unionByName(wide_pairs(far, pairs, min_pairs, n_wide)).groupBy("item_a", "item_b").agg(F.sum("n_ab").alias("n_ab"))
     pairs = pairs.where(F.col("n_ab") >= min_pairs)
     na, nb = (n.select(F.col("item").alias(f"item_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
     out = pairs.join(na, "item_a").join(nb, "item_b").withColumn("n_rec", F.lit(n_rec).cast("bigint"))

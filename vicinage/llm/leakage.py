@@ -5,8 +5,10 @@ without blanks. All windows have one length, so the search looks at the block of
 shift table says how far the nearest window's end can be at least, and most positions of a text are never looked at. A
 block that may end a window leads to the bucket of windows with this suffix, and these are compared in full.
 
-The tables hold the test texts only. They are sent to the executors in parts of at most PART characters of text, and
-the texts are read once per part, so a test collection of any size works in bounded memory.
+Words are numbered by a vocabulary of the test texts, characters by their code points; all tables are arrays of numbers,
+some 24 bytes a symbol. They hold the test texts only, are sent to the executors in parts of at most PART bytes and freed
+when the texts have been searched; the texts are read once per part (a part holds about 10 million characters of test
+texts, or 2 million of Chinese or Japanese).
 """
 
 from __future__ import annotations
@@ -15,12 +17,16 @@ import re
 import unicodedata
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of test text searched for in one pass.
-PART = 8_000_000
+from vicinage.session import cut
+
+#: Bytes of tables searched for in one pass, and bytes a character of test text takes in them: of words, and counted by itself.
+PART = 64_000_000
+PER_WORDS, PER_CHAR = 6, 28
 WORDS, CHARS = 13, 20
 #: Languages counted in letters and digits (fixed values).
 UNSPACED = ("zh", "ja")
@@ -39,56 +45,119 @@ def words(text: str) -> list[str]:
 
 
 class WuManber:
-    """Windows of one length over symbols (words or characters) and the ids they stand for."""
+    """Windows of one length over numbered symbols, and the ids they stand for.
+
+    shift[h] is how far the nearest window's end can be at least from a block of hash h; blocks of one hash share the
+    smaller shift. Windows are sorted by the hash of their suffix block and carry that of their prefix block; what agrees
+    in both is compared in full.
+    """
 
-    def __init__(self, length: int, block: int) -> None:
+    def __init__(self, length: int, block: int, texts: Sequence[tuple[int, np.ndarray]]) -> None:
         self.length, self.block = length, block
-        self.far = length - block + 1
-        self.shift: dict = {}
-        #: suffix block -> prefix block -> window -> ids
-        self.bucket: dict = {}
-
-    def add(self, symbols: Sequence, ident: int) -> None:
-        m, b = self.length, self.block
-        for i in range(len(symbols) - m + 1):
-            window = symbols[i : i + m]
-            ids = self.bucket.setdefault(tuple(window[m - b :]), {}).setdefault(tuple(window[:b]), {}).setdefault(tuple(window), [])
-            if ident not in ids:
-                ids.append(ident)
-            for q in range(b, m + 1):
-                key = tuple(window[q - b : q])
-                if m - q < self.shift.get(key, self.far):
-                    self.shift[key] = m - q
-
-    def search(self, symbols: Sequence) -> Iterator[tuple[int, int]]:
-        """(place, id) of each window found."""
-        m, b, far, shift = self.length, self.block, self.far, self.shift
-        i, n = m, len(symbols)
-        while i <= n:
-            key = tuple(symbols[i - b : i])
-            s = shift.get(key, far)
+        texts = [(i, s) for i, s in texts if len(s) >= length]
+        self.symbols = np.concatenate([s for _, s in texts]).astype(np.int32) if texts else np.zeros(0, np.int32)
+        size = np.array([len(s) for _, s in texts], dtype=np.int64)
+        first = np.cumsum(size) - size
+        of = np.repeat(np.arange(len(texts)), size)
+        place = np.arange(len(self.symbols)) - first[of]
+        bits = max(10, int(np.ceil(np.log2(4 * len(self.symbols) + 1))))
+        self.mask = (1 << bits) - 1
+        far = length - block + 1
+        shift = np.full(1 << bits, min(far, 255), dtype=np.uint8)
+        hashes = self.hashes(self.symbols)
+        whole = np.nonzero(place >= block - 1)[0]  # blocks that lie in one text, by their last symbol
+        np.minimum.at(shift, hashes[whole - block + 1] & self.mask, np.maximum(0, length - 1 - place[whole]).astype(np.uint8))
+        self.shift = shift.tobytes()
+        ends = np.nonzero(place >= length - 1)[0]
+        suffix = hashes[ends - block + 1].astype(np.uint32)
+        order = np.argsort(suffix, kind="stable")
+        self.suffix, self.end = suffix[order], ends[order].astype(np.int32)
+        self.prefix = hashes[self.end - length + 1].astype(np.uint32)
+        self.ids = np.array([i for i, _ in texts], dtype=np.int64)[of[self.end]] if texts else np.zeros(0, np.int64)
+
+    def __bool__(self) -> bool:
+        return len(self.end) > 0
+
+    def hashes(self, symbols: np.ndarray) -> np.ndarray:
+        """The hash of the block that begins at each symbol."""
+        n = len(symbols) - self.block + 1
+        h = np.zeros(max(0, n), dtype=np.uint64)
+        for k in range(self.block if n > 0 else 0):
+            h = (h + symbols[k : k + n].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        return (h >> np.uint64(16)).astype(np.int64) & 0xFFFFFFFF
+
+    def search(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, ids) of the windows found, in order of place; each window of an id once a place."""
+        m, b, shift, mask = self.length, self.block, self.shift, self.mask
+        n = len(symbols)
+        if n < m or not self:
+            return _NONE
+        hashes = self.hashes(symbols)
+        slots = (hashes & mask).tolist()
+        at, last, maybe = m - b, n - b, []
+        while at <= last:
+            s = shift[slots[at]]
             if s:
-                i += s
-                continue
-            at = i - m
-            found = self.bucket[key].get(tuple(symbols[at : at + b]))
-            if found:
-                for ident in found.get(tuple(symbols[at:i]), ()):
-                    yield at, ident
-            i += 1
-
-
-def tables(items: Iterable[tuple[int, str | None, str | None]], n_words: int = WORDS, n_chars: int = CHARS) -> tuple[WuManber, WuManber]:
-    """The two automata for (id, lang, text): words, and characters for the languages in UNSPACED."""
-    by_word, by_char = WuManber(n_words, 2), WuManber(n_chars, 3)
-    for ident, lang, text in items:
-        if text:
-            found = words(text)
-            if re.split(r"[-_]", (lang or "").strip().lower())[0] in UNSPACED:
-                by_char.add("".join(found), ident)
+                at += s
             else:
-                by_word.add(found, ident)
-    return by_word, by_char
+                maybe.append(at)
+                at += 1
+        if not maybe:
+            return _NONE
+        block = np.array(maybe)
+        lo, hi = (np.searchsorted(self.suffix, hashes[block].astype(np.uint32), side) for side in ("left", "right"))
+        n_each = hi - lo
+        start = np.repeat(block + b - m, n_each)
+        window = np.repeat(lo - np.cumsum(n_each) + n_each, n_each) + np.arange(n_each.sum())
+        own = self.prefix[window] == hashes[start].astype(np.uint32)
+        start, window = start[own], window[own]
+        for k in range(m):
+            own = self.symbols[self.end[window] - m + 1 + k] == symbols[start + k]
+            start, window = start[own], window[own]
+            if not len(start):
+                return _NONE
+        found = np.unique(np.stack([start, self.ids[window]], axis=1), axis=0)
+        return found[:, 0], found[:, 1]
+
+
+_NONE = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def code_points(found: Sequence[str]) -> np.ndarray:
+    return np.frombuffer("".join(found).encode("utf-32-le", "surrogatepass"), dtype=np.int32)
+
+
+class Tables:
+    """The two automata for (id, lang, text): words, and characters for the languages in UNSPACED."""
+
+    def __init__(self, items: Iterable[tuple[int, str | None, str | None]], n_words: int = WORDS, n_chars: int = CHARS) -> None:
+        self.vocabulary: dict[str, int] = {}
+        by_word, by_char = [], []
+        for ident, lang, text in items:
+            if text:
+                found = words(text)
+                if re.split(r"[-_]", (lang or "").strip().lower())[0] in UNSPACED:
+                    by_char.append((ident, code_points(found)))
+                else:
+                    by_word.append((ident, np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in found], dtype=np.int32)))
+        self.by_word, self.by_char = WuManber(n_words, 2, by_word), WuManber(n_chars, 3, by_char)
+
+    def search(self, text: str) -> list[tuple[int, int, int]]:
+        """(id, first place, windows found) of each test text in a text."""
+        found = words(text)
+        out: list[tuple[int, int, int]] = []
+        get = self.vocabulary.get
+        if self.by_word:
+            out += _summed(*self.by_word.search(np.array([get(w, -1) for w in found], dtype=np.int32)))
+        if self.by_char:
+            out += _summed(*self.by_char.search(code_points(found)))
+        return out
+
+
+def _summed(places: np.ndarray, ids: np.ndarray) -> list[tuple[int, int, int]]:
+    which, first, n = np.unique(ids, return_index=True, return_counts=True)
+    return list(zip(which.tolist(), places[first].tolist(), n.tolist(), strict=True))
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", lang: str = "lang", n_words: int = WORDS, n_chars: int = CHARS, part: int = PART) -> DataFrame:
@@ -102,35 +171,27 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     """
     spark = docs.sparkSession
     wanted = items.select(F.col(item).cast("bigint").alias("i"), F.col(lang).alias("l"), F.col(item_text).alias("t")).where("i is not null and t is not null")
-    chars = wanted.agg(F.sum(F.length("t"))).first()[0] or 0
-    parts = -(-chars // part) or 1
+    unspaced = F.split(F.lower(F.trim("l")), "[-_]")[0].isin(*UNSPACED)
+    size = wanted.agg(F.sum(F.length("t") * F.when(unspaced, PER_CHAR).otherwise(PER_WORDS))).first()[0] or 0
+    parts = -(-size // part) or 1
     kind = dict(docs.dtypes)[key]
     out = None
     for p in range(parts):
         rows = wanted.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == p) if parts > 1 else wanted
-        held = spark.sparkContext.broadcast(tables([tuple(r) for r in rows.collect()], n_words, n_chars))
+        held = spark.sparkContext.broadcast(Tables([tuple(r) for r in rows.collect()], n_words, n_chars))
 
         def scan(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            by_word, by_char = held.value
             for batch in batches:
-                at, ids, first, count = [], [], [], []
+                at, hits = [], []
                 for row, body in enumerate(batch.column(1).to_pylist()):
-                    if not body:
-                        continue
-                    found = words(body)
-                    hits: dict[int, list[int]] = {}
-                    for place, ident in by_word.search(found):
-                        hits.setdefault(ident, []).append(place)
-                    if by_char.shift:
-                        for place, ident in by_char.search("".join(found)):
-                            hits.setdefault(ident, []).append(place)
-                    for ident, places in hits.items():
-                        at.append(row)
-                        ids.append(ident)
-                        first.append(places[0])
-                        count.append(len(places))
+                    if body and (found := held.value.search(body)):
+                        hits += found
+                        at += [row] * len(found)
+                ids, first, count = zip(*hits, strict=True) if hits else ((), (), ())
                 yield pa.record_batch({"key": batch.column(0).take(pa.array(at, pa.int32())), "item": pa.array(ids, pa.int64()), "first_at": pa.array(first, pa.int32()), "n_found": pa.array(count, pa.int32())})
 
         one = docs.select(F.col(key).alias("key"), F.col(text).alias("t")).where("t is not null").mapInArrow(scan, f"key {kind}, item bigint, first_at int, n_found int")
+        one = cut(one, "leaks")  # what was found is written, so the tables can go
+        held.destroy()
         out = one if out is None else out.unionByName(one)
     return out.select(F.col("key").alias(key), F.col("item").alias(item), "first_at", "n_found")

@@ -4,7 +4,8 @@ Lengths fall into reciprocal classes: class j holds lengths in (C/(j+1), C/j], a
 Each worker fills the containers of a class with a fixed count of j texts, whatever other workers do; texts up to
 C/CLASSES make up the last class and are filled in turn. What room a full container of class j has left goes to texts of
 the smallest class that fits for certain. Texts a worker can't complete a container with, fewer than j of each class,
-go up a level, where the leftovers of many workers meet; the last level closes what is open.
+go up a level, where the leftovers of a class meet in tasks of LEFT texts and again leave fewer than j each; the last level
+has LEFT texts at most and closes what is open.
 
 A text longer than a container is cut into whole containers and a rest that is packed like any other text.
 """
@@ -26,7 +27,7 @@ CAPACITY, CLASSES = 2048, 32
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the public byte-level vocabularies part texts before merging (a fixed value).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Texts a worker holds before it fills containers, and leftovers one task of a higher level takes.
+#: Texts a worker holds before it fills containers, and leftovers one task of a higher level takes (more if a container takes more).
 HELD, LEFT = 20_000, 500_000
 PIECE = "piece_no int, tok_from int, tok_to int, n_tokens int, bin_id bigint"
 
@@ -149,44 +150,56 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int
         if head is not None:
             yield from _packed((x for y in ([head], rows) for x in y), capacity, 0, False, of, classes)
 
+    def again(batches: Iterator[pa.RecordBatch], level: int, close: bool) -> Iterator[pa.RecordBatch]:
+        of = None
+
+        def stream() -> Iterator[list[tuple]]:
+            nonlocal of
+            for batch in batches:
+                of = of or batch.schema.field(0).type
+                yield list(zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True))
+
+        rows = stream()
+        head = next(rows, None)
+        if head is not None:
+            yield from _packed((x for y in ([head], rows) for x in y), capacity, level, close, of, classes)
+
     done = cut(docs.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInArrow(first, schema), "packed")
     out, level = done.where("bin_id is not null"), 1
     open_rows = done.where("bin_id is null")
-    before = None
-    while True:
-        n = open_rows.count()
-        if before is not None and n > before // 2:  # too few rows a task to complete containers
-            left *= 4
-        before = n
-        tasks = max(1, -(-n // left))
-
-        def again(batches: Iterator[pa.RecordBatch], level: int = level, close: bool = tasks == 1) -> Iterator[pa.RecordBatch]:
-            of = None
-
-            def stream() -> Iterator[list[tuple]]:
-                nonlocal of
-                for batch in batches:
-                    of = of or batch.schema.field(0).type
-                    yield list(zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True))
-
-            rows = stream()
-            head = next(rows, None)
-            if head is not None:
-                yield from _packed((x for y in ([head], rows) for x in y), capacity, level, close, of, classes)
-
-        # the same task must get the same rows if it runs again: by hash, not in turn
-        moved = (open_rows.repartition(tasks, "key", "piece_no") if tasks > 1 else open_rows.repartition(1)).sortWithinPartitions("key", "piece_no", "n_tokens")
-        packed = moved.mapInArrow(again, schema)
-        if tasks == 1:
-            out = out.unionByName(packed)
-            break
-        packed = cut(packed, "packed")
+    n_classes = max(1, min(classes, capacity))
+    # a task of one class completes containers until fewer texts than one takes are left, so many go in for each left over
+    left = max(left, 4 * max(n_classes, capacity))
+    order = ("key", "piece_no", "n_tokens")
+    while (n := open_rows.count()) > left:
+        # leftovers of a class meet in tasks of their own; the same task must get the same rows if it runs again
+        kind_of = F.least(F.lit(n_classes), F.expr(f"{capacity} div n_tokens"))
+        held = open_rows.withColumn("_class", kind_of)
+        sizes = {r[0]: -(-r[1] // left) for r in held.groupBy("_class").count().collect()}  # one row a class
+        parts = F.create_map(*[F.lit(x) for kv in sizes.items() for x in kv])
+        held = held.withColumn("_part", F.pmod(F.xxhash64(*order), parts[F.col("_class")]))
+        slots = held.repartition("_class", "_part").sortWithinPartitions("_class", "_part", *order).drop("_class", "_part")
+        packed = cut(slots.mapInArrow(lambda bs, at=level: again(bs, at, False), schema), "packed")
         out, open_rows, level = out.unionByName(packed.where("bin_id is not null")), packed.where("bin_id is null"), level + 1
+    closing = open_rows.repartition(1).sortWithinPartitions(*order)
+    out = out.unionByName(closing.mapInArrow(lambda bs, at=level: again(bs, at, True), schema))
     return out.select(F.col("key").alias(key), "piece_no", "tok_from", "tok_to", "n_tokens", "bin_id")
 
 
 def fill_report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """(n_bins, n_tokens, fill, fullest): one row about all containers; fill is the share of capacity in use, fullest
-    the most tokens in a container."""
+    """(n_bins, n_tokens, least_bins, fill, fullest, over): one row about all containers; least_bins is the number that
+    no packing can go below, fill the share of capacity in use, fullest the most tokens in a container and over the
+    containers with more than their capacity."""
     per = packed.groupBy("bin_id").agg(F.sum("n_tokens").alias("n"))
-    return per.agg(F.count(F.lit(1)).alias("n_bins"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_tokens"), (F.sum("n") / (F.count(F.lit(1)) * capacity)).alias("fill"), F.max("n").alias("fullest"))
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    return per.agg(F.count(F.lit(1)).alias("n_bins"), total.alias("n_tokens"), F.ceil(total / capacity).alias("least_bins"), (F.sum("n") / (F.count(F.lit(1)) * capacity)).alias("fill"), F.max("n").alias("fullest"), F.count(F.when(F.col("n") > capacity, 1)).alias("over"))
+
+
+def whole_report(docs: DataFrame, packed: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
+    """(n_texts, n_packed, uneven, cut_needlessly): one row that says whether each text with a letter is packed once:
+    texts, texts packed, texts whose pieces don't follow one another without a gap, and texts cut although they fit."""
+    per = packed.groupBy(key).agg(F.min("tok_from").alias("lo"), F.max("tok_to").alias("hi"), F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("k"))
+    uneven = F.count(F.when((F.col("lo") != 0) | (F.col("hi") != F.col("n")), 1))
+    needless = F.count(F.when(F.col("k") != F.ceil(F.col("n") / capacity), 1))
+    n = docs.where(F.length(text) > 0).select(key).distinct().count()
+    return per.agg(F.lit(n).cast("bigint").alias("n_texts"), F.count(F.lit(1)).alias("n_packed"), uneven.alias("uneven"), needless.alias("cut_needlessly"))

@@ -12,11 +12,12 @@ from vicinage.llm.components import connected_components, hit_edges
 from vicinage.llm.consensus import text_consensus
 from vicinage.llm.cooccur import cooccurrence
 from vicinage.llm.leakage import leaks
-from vicinage.llm.packing import fill_report, pack
+from vicinage.llm.packing import fill_report, pack, whole_report
 from vicinage.llm.records import record_survivors
 from vicinage.llm.sentences import sentences
 from vicinage.llm.setjoin import similar_classes, similar_pairs
 from vicinage.llm.termfreq import TermCounts, signed
+from vicinage.session import cut
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -109,6 +110,14 @@ def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
     return fill_report(pack(_table(spark, sf, "documents")))
 
 
+def p8_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether every text is packed, once and whole, and no container holds more than its capacity."""
+    docs = _table(spark, sf, "documents")
+    packed = cut(pack(docs), "whole")
+    over = fill_report(packed).first()["over"]
+    return whole_report(docs, packed).withColumn("over", F.lit(over))
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks(_table(spark, sf, "documents"), _table(spark, sf, "eval_items")).select("doc_id", "item_id").distinct()
 
@@ -124,7 +133,7 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (p1_found, p1_sizes, p3_found, p3_lift, p4_found, p4_counts, p4_increments, p5_found, p5_classes, p7_found, p7_products, p8_pack, p8_fill, p9_found, p9_items, p10_found)
+    own = (p1_found, p1_sizes, p3_found, p3_lift, p4_found, p4_counts, p4_increments, p5_found, p5_classes, p7_found, p7_products, p8_pack, p8_fill, p8_whole, p9_found, p9_items, p10_found)
     return {f.__name__: f for f in own}
 
 
@@ -193,5 +202,6 @@ def oracle_sql() -> dict[str, str]:
             link as (select nuc_a as c from alike, class p, class q where p.rec = nuc_a and q.rec = nuc_b and p.class_id = p.rec and q.class_id = q.rec
                      union all select nuc_b from alike, class p, class q where p.rec = nuc_a and q.rec = nuc_b and p.class_id = p.rec and q.class_id = q.rec)
             select rec as nuc, class_id, (select count(*) from link where c = class_id) as n_links from class""",
+        "p8_whole": "select count(*) as n_texts, count(*) as n_packed, 0 as uneven, 0 as cut_needlessly, 0 as over from documents where length(text) > 0",
         "p7_found": f"{_RANKED} select ipg_id, cast(uid as varchar) as unique_id from ranked where place = 1 and ipg_id in (select ipg_id from sound group by ipg_id having count(distinct uid) >= 2)",
     }

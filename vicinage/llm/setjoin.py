@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vicinage.operators.sweep import lookup
 from vicinage.session import cut
 
 INLINE = 512
@@ -31,16 +32,20 @@ def set_classes(rows: DataFrame, rec: str, token: str, min_size: int, inline: in
     df = once.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     sizes = once.groupBy("rec").agg(F.count(F.lit(1)).cast("int").alias("size")).where(F.col("size") >= min_size)
     # the rarity of a token, not its place in a sorted list: equal frequencies are told apart by a hash and the token
-    known = once.join(df, "token").select("rec", F.struct("df", F.xxhash64("token").alias("h"), "token").alias("tok"))
+    known = lookup(once, df.withColumn("n", F.col("df")), ["token"], "n").select("rec", F.struct("df", F.xxhash64("token").alias("h"), "token").alias("tok"))
     big = cut(sizes.where(F.col("size") > inline), "long")
     if big.isEmpty():
         short, long = known, known.where("false").select("rec", "tok", F.lit(0).alias("size"))
     else:
         short = known.join(big.select("rec"), "rec", "left_anti")
         long = cut(known.join(big, "rec").select("rec", "tok", "size"), "longrows")
-    grouped = short.groupBy("rec").agg(F.array_sort(F.collect_list("tok")).alias("toks")).where(F.size("toks") >= min_size)
-    classes = cut(grouped.groupBy(F.col("toks")).agg(F.min("rec").alias("class_id"), F.collect_list("rec").alias("recs")), "classes")
-    return classes.select(F.explode("recs").alias("rec"), "class_id"), classes.select("class_id", "toks"), long
+    grouped = cut(short.groupBy("rec").agg(F.array_sort(F.collect_list("tok")).alias("toks")).where(F.size("toks") >= min_size), "sets")
+    classes = cut(grouped.groupBy("toks").agg(F.min("rec").alias("class_id"), F.count(F.lit(1)).alias("n_recs")), "classes")
+    # a class may be a third of all records: they find it by its set, and no row lists them
+    of_many = classes.where("n_recs > 1")
+    members = lookup(grouped, of_many.select("toks", "class_id", "n_recs"), ["toks"], "n_recs").select("rec", "class_id")
+    alone = classes.where("n_recs = 1").select(F.col("class_id").alias("rec"), "class_id")
+    return members.unionByName(alone), classes.select("class_id", "toks"), long
 
 
 def class_pairs(sets: DataFrame, threshold: float) -> DataFrame:
