@@ -143,7 +143,7 @@ def test_text_functions(spark):
 
 
 def test_tokens_and_structures():
-    assert links.varint(300) == b"\xac\x02" and "=" not in links.token({1: "GCF_1.1", 2: 7})
+    assert links.varint(300) == b"\xac\x02" and "=" not in links.token(links.field(1, b"GCF_1.1"), links.field(2, 7))
     assert links.find_key('{"a": [{"b": 1}, {"c": "x"}]}', "c") == "x" and links.find_key("no json", "c") is None
     model = "[ ROOT 0 ]\n[ MATP 1 ]\n[ MATL 2 ]\n[ MATP 3 ]\n[ MATL 4 ]\n[ END 5 ]"
     assert links.pairs_from_model(model) == "(.(.))"

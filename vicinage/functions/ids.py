@@ -6,10 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Patterns of public accession formats, tried in this order (fixed values).
-UNIPARC = r"^UPI[0-9A-F]{10}$"
+UNIPARC = r"^UPI[0-9A-Fa-f]{10}$"
 UNIPROT = r"^([OPQ][0-9][A-Z0-9]{3}[0-9]|[A-NR-Z][0-9]([A-Z][A-Z0-9]{2}[0-9]){1,2})$"
-NUCLEOTIDE = (r"^(AC|NC|NG|NM|NR|NT|NW|NZ|XM|XR)_[A-Z0-9]+(\.[0-9]+)?$", r"^[A-Z]{4,6}[0-9]{8,10}(\.[0-9]+)?$", r"^([A-Z][0-9]{5}|[A-Z]{2}[0-9]{6,8})(\.[0-9]+)?$")
-PROTEIN = (r"^(AP|NP|WP|XP|YP|ZP)_[0-9]+(\.[0-9]+)?$", r"^[A-Z]{3}[0-9]{5}(\.[0-9]+)?$", r"^[A-Z]{3}[0-9]{7}(\.[0-9]+)?$")
+NUCLEOTIDE = (r"^(NC|NG|NM|NR|NT|NW|NZ|AC|AP|MT|PP|OR|OZ|LR|LN|KX)_[A-Z]*[0-9]+(\.[0-9]+)?$", r"^[A-Z]{1,2}[0-9]{5,8}(\.[0-9]+)?$", r"^[A-Z]{4,6}[0-9]{8,}(\.[0-9]+)?$")
+PROTEIN = (r"^WP_[0-9]{9}(\.[0-9]+)?$", r"^(NP|XP|YP|ZP)_[0-9]{6,9}(\.[0-9]+)?$", r"^[A-Z]{3}[0-9]{5,8}(\.[0-9]+)?$")
 REFSEQ = r"^[A-Z]{2}_"
 
 
@@ -36,7 +36,7 @@ def is_refseq(c: Column) -> Column:
 
 def fit_prefix(assembly: Column, nucleotide: Column) -> Column:
     """The assembly id with the prefix its nucleotide asks for: GCF_ for RefSeq records, GCA_ for others."""
-    core = F.substring(assembly, 5, 1000)
+    core = F.substr(assembly, F.lit(5))
     known = assembly.rlike(r"^GC[AF]_")
     return F.when(known & is_refseq(nucleotide), F.concat(F.lit("GCF_"), core)).when(known & ~is_refseq(nucleotide), F.concat(F.lit("GCA_"), core)).otherwise(assembly)
 

@@ -24,28 +24,60 @@ def varint(n: int) -> bytes:
     return bytes(out + bytes([n]))
 
 
-def token(fields: dict[int, str | int]) -> str:
-    """URL-safe text of numbered fields: each a varint tag with a varint, or with length and bytes; deflated."""
-    out = b""
-    for number, value in sorted(fields.items()):
-        if isinstance(value, int):
-            out += varint(number << 3) + varint(value)
-        else:
-            raw = value.encode()
-            out += varint(number << 3 | 2) + varint(len(raw)) + raw
-    return base64.urlsafe_b64encode(zlib.compress(out, 9)).decode().rstrip("=")
+def field(number: int, value: int | bytes) -> bytes:
+    """A numbered field: its varint tag, then a varint, or the length and the bytes."""
+    if isinstance(value, int):
+        return varint(number << 3) + varint(value)
+    return varint(number << 3 | 2) + varint(len(value)) + value
+
+
+def token(*fields: bytes) -> str:
+    """URL-safe text of a message, deflated, without padding."""
+    return base64.urlsafe_b64encode(zlib.compress(b"".join(fields), 9)).decode().rstrip("=")
+
+
+# Address, methods, file server and names of the public download service (fixed values).
+SERVICE = "https://api.ncbi.nlm.nih.gov/datasets/fetch_h"
+REPORT_METHOD = "QXNzZW1ibHlEYXRhc2V0SW50ZXJuYWwuR2V0U2VxdWVuY2VSZXBvcnQ"
+FILE_METHOD = "R2V0UmVtb3RlRGF0YWZpbGU"
+SERVER = "https://ftp.ncbi.nlm.nih.gov/"
+FILE_ENDS = {"gbff": "genomic.gbff.gz", "gff": "genomic.gff.gz", "fna": "genomic.fna.gz", "faa": "protein.faa.gz"}
+REPORT = "sequence_report"
+
+
+def report_url(accession: str) -> str:
+    """Link to the sequence report of an assembly: its accession is field 1."""
+    return f"{SERVICE}/{REPORT_METHOD}/{token(field(1, accession.encode()))}"
+
+
+def file_url(folder: str, accession: str, kind: str) -> str | None:
+    """Link to a file of an assembly: its address is field 1 of field 3, and fields 6 and 7 are set. folder is the
+    assembly's address on the file server; null if it lies elsewhere."""
+    if not folder.startswith(SERVER):
+        return None
+    inside = folder.removeprefix(SERVER).rstrip("/")
+    last = inside.rsplit("/", 1)[-1]
+    name = last.removeprefix(f"{accession}_")
+    address = f"ncbi+ftp://{inside}/{accession}_{name}_{FILE_ENDS[kind]}"
+    return f"{SERVICE}/{FILE_METHOD}/{token(field(3, field(1, address.encode())), field(6, 1), field(7, 1))}"
 
 
-def link_table(assemblies: DataFrame, kinds: dict[str, int], base: str, key: str = "assembly_id") -> DataFrame:
-    """(key, kind, url): a link per assembly and kind."""
+def link_table(assemblies: DataFrame, kinds: tuple[str, ...] = (*FILE_ENDS, REPORT), key: str = "assembly_id", folder: str = "ftp_path") -> DataFrame:
+    """(key, filetype, url): a link per assembly and kind. Reports need the accession only; files need the folder, and an
+    assembly whose folder is null, `na` or on another server has none. Blank accessions are left out, repeated rows
+    count once."""
+    unknown = [k for k in kinds if k != REPORT and k not in FILE_ENDS]
+    if unknown:
+        raise ValueError(f"unsupported filetype: {', '.join(unknown)}")
 
     @F.pandas_udf("string")
-    def encode(ids: pd.Series, codes: pd.Series) -> pd.Series:
-        return pd.Series([base + token({1: i, 2: int(c)}) for i, c in zip(ids, codes, strict=True)])
+    def encode(ids: pd.Series, folders: pd.Series, types: pd.Series) -> pd.Series:
+        return pd.Series([report_url(i) if k == REPORT else file_url(f, i, k) if f else None for i, f, k in zip(ids, folders, types, strict=True)])
 
-    listed = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(c).alias("code")) for k, c in kinds.items()]))
-    rows = assemblies.select(key).where(F.col(key).isNotNull()).distinct().withColumn("k", listed)
-    return rows.select(key, F.col("k.kind").alias("kind"), encode(key, F.col("k.code")).alias("url"))
+    place = F.nullif(F.trim(F.col(folder)), F.lit("")) if folder in assemblies.columns else F.lit(None).cast("string")
+    rows = assemblies.select(F.trim(F.col(key)).alias(key), F.when(F.lower(place) != "na", place).alias("_folder")).where(F.length(key) > 0).distinct()
+    listed = rows.withColumn("filetype", F.explode(F.array(*[F.lit(k) for k in kinds])))
+    return listed.select(key, "filetype", encode(key, "_folder", "filetype").alias("url")).where("url is not null")
 
 
 def find_key(text: str | None, key: str) -> str | None:

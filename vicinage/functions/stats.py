@@ -9,7 +9,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vicinage.session import cut
+
 LEAST = 1e-300
+#: Terms of sums worked out at once, and ranks a task of the running minimum holds.
+TERMS, RANKS = 2_000_000, 262_144
 
 
 def _log_factorial(n: np.ndarray) -> np.ndarray:
@@ -22,21 +26,29 @@ def _log_factorial(n: np.ndarray) -> np.ndarray:
 
 
 def tail(m: np.ndarray, a: np.ndarray, b: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """P(X >= k) for X shared among draws of a and b of m, at least LEAST and at most 1."""
-    out = np.ones(len(m))
-    for i in range(len(m)):
-        lo, hi = max(k[i], 0, a[i] + b[i] - m[i]), min(a[i], b[i])
-        if k[i] <= max(0, a[i] + b[i] - m[i]):
-            continue
-        if lo > hi:
-            out[i] = LEAST
+    """P(X >= k) for X shared among draws of a and b of m, at least LEAST and at most 1. Equal rows are worked out once, all
+    rows at a time."""
+    if not len(m):
+        return np.ones(0)
+    (m, a, b, k), at = (x := np.unique(np.stack([m, a, b, k]), axis=1, return_inverse=True))[0], x[1].ravel()
+    floor = np.maximum(0, a + b - m)
+    lo, hi = np.maximum(k, floor), np.minimum(a, b)
+    out = np.where(k <= floor, 1.0, LEAST)
+    some = np.nonzero((k > floor) & (lo <= hi))[0]
+    # rows of the sums one after another, a bounded number of terms at a time
+    n = (hi - lo + 1)[some]
+    for part in np.split(some, np.searchsorted(np.cumsum(n), np.arange(TERMS, n.sum() + 1, TERMS))) if len(some) else []:
+        if not len(part):
             continue
-        x = np.arange(lo, hi + 1)
-        choose = lambda n, r: _log_factorial(np.asarray(n)) - _log_factorial(np.asarray(r)) - _log_factorial(np.asarray(n) - np.asarray(r))
-        log = choose(a[i], x) + choose(m[i] - a[i], b[i] - x) - choose(m[i], b[i])
-        top = log.max()
-        out[i] = min(1.0, max(LEAST, float(np.exp(top) * np.exp(log - top).sum())))
-    return out
+        n = (hi - lo + 1)[part]
+        first = np.cumsum(n) - n
+        row = np.repeat(part, n)
+        x = lo[row] + np.arange(n.sum()) - np.repeat(first, n)
+        choose = lambda p, r: _log_factorial(p) - _log_factorial(r) - _log_factorial(p - r)
+        log = choose(a[row], x) + choose(m[row] - a[row], b[row] - x) - choose(m[row], b[row])
+        top = np.maximum.reduceat(log, first)
+        out[part] = np.clip(np.exp(top) * np.add.reduceat(np.exp(log - np.repeat(top, n)), first), LEAST, 1.0)
+    return out[at]
 
 
 @F.pandas_udf(T.DoubleType())
@@ -47,23 +59,29 @@ def hypergeometric_tail(m: pd.Series, a: pd.Series, b: pd.Series, k: pd.Series)
 def adjusted(df: DataFrame, p: str, tie: list[str], method: str = "BH") -> DataFrame:
     """df with p_adj: BH as p * m / rank without a running minimum, BH_MONOTONE with it, or BONFERRONI; at most 1.
 
-    Ranks come from a global order: each range partition counts its rows, so no task sorts all of them.
+    Rows without p are no tests: they don't count and their p_adj is null. Ranks come from a global order: each range partition counts its rows, so no task sorts all of them.
     """
+    every = cut(df, "tests")
+    untested = every.where(F.col(p).isNull()).withColumn("p_adj", F.lit(None).cast("double"))
+    df = every.where(F.col(p).isNotNull())
     m = df.count()
     if method.upper() == "BONFERRONI":
-        return df.withColumn("p_adj", F.least(F.lit(1.0), F.col(p) * m))
+        return df.withColumn("p_adj", F.least(F.lit(1.0), F.col(p) * m)).unionByName(untested)
     ranked = global_rank(df, [F.col(p), *[F.col(t) for t in tie]], "_rank")
     out = ranked.withColumn("p_adj", F.least(F.lit(1.0), F.col(p) * m / F.col("_rank")))
     if method.upper() == "BH_MONOTONE":
-        out = out.withColumn("p_adj", F.min("p_adj").over(W.partitionBy(F.lit(0)).orderBy("_rank").rowsBetween(0, W.unboundedFollowing)))
-    return out.drop("_rank")
+        # the least of all later ranks: within blocks of ranks, and carried from block to block
+        out = out.withColumn("_block", F.expr(f"_rank div {RANKS}"))
+        later = out.groupBy("_block").agg(F.min("p_adj").alias("_least"))
+        later = later.select("_block", F.min("_least").over(W.orderBy("_block").rowsBetween(1, W.unboundedFollowing)).alias("_after"))  # one row a block
+        inside = F.min("p_adj").over(W.partitionBy("_block").orderBy("_rank").rowsBetween(0, W.unboundedFollowing))
+        out = out.withColumn("_inside", inside).join(later, "_block").withColumn("p_adj", F.least("_inside", "_after")).drop("_block", "_inside", "_after")
+    return out.drop("_rank").unionByName(untested)
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """df with its place from 1 in a total order, by range partitions and their offsets."""
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
-    from vicinage.session import cut
-
     placed = cut(placed, "ranked")
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # one row per partition
@@ -71,4 +89,4 @@ def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
 
 
 def score(p_adj: Column) -> Column:
-    return 0 - F.log10(F.greatest(F.lit(LEAST), p_adj))  # not -0.0 for 1
+    return F.when(p_adj.isNotNull(), 0 - F.log10(F.greatest(F.lit(LEAST), p_adj)))  # not -0.0 for 1

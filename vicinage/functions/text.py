@@ -35,7 +35,7 @@ def wrapped(c: Column, width: int = 80) -> Column:
 
 
 def scientific(c: Column) -> Column:
-    return F.format_string("%.2e", c)
+    return F.when(c.isNotNull(), F.format_string("%.2e", c))
 
 
 def map_text(c: Column) -> Column:
@@ -44,6 +44,11 @@ def map_text(c: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(kept), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
 
 
+def map_columns(df: DataFrame, c: str, names: Sequence[str]) -> DataFrame:
+    """df with a column for each of the names, from the entries of a map."""
+    return df.withColumns({n: F.col(c)[n] for n in names})
+
+
 def reverse_complement(c: Column) -> Column:
     return F.reverse(F.translate(c, "ACGTUNacgtun", "TGCAANtgcaan"))
 

@@ -115,3 +115,21 @@ def shared_union(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of both over the columns both have."""
     cols = [c for c in a.columns if c in b.columns]
     return a.select(*cols).unionByName(b.select(*cols))
+
+
+def by_index(a: DataFrame, b: DataFrame, keys: list[str], index: str, ahead: int = 0, how: str = "inner") -> DataFrame:
+    """a joined with the rows of b that lie `ahead` places further within the keys."""
+    return a.join(b.withColumn(index, F.col(index) - ahead), [*keys, index], how)
+
+
+def best_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
+    """The first n rows of each key; a limit of the rank lets each task drop the rest before the shuffle."""
+    return df.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("_rank") <= n).drop("_rank")
+
+
+def ordered_distinct(df: DataFrame, key: str, item: str, order: list[str]) -> DataFrame:
+    """(key, id, place): per key the key itself, then its different items in the order they first come; nulls
+    of the order's columns come last."""
+    first = df.where(F.col(item) != F.col(key)).groupBy(key, item).agg(F.min(F.struct(*[F.struct(F.col(c).isNull().alias("missing"), F.col(c).alias("value")) for c in order])).alias("o"))
+    listed = first.select(key, F.col(item).alias("id"), (F.row_number().over(W.partitionBy(key).orderBy("o")) + 1).alias("place"))
+    return listed.unionByName(df.select(key, F.col(key).alias("id"), F.lit(1).alias("place")).distinct())

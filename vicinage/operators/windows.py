@@ -84,7 +84,7 @@ def gaps_within(df: DataFrame, keys: list[str], lengths: DataFrame) -> DataFrame
     found = coverage(df, keys, "s", "e").select(*keys, "kind", F.col("first_pos").alias("s"), F.col("last_pos").alias("e"))
     inner = found.where("kind = 'gap'").join(lengths, keys).select(*keys, F.greatest(F.lit(1), "s").alias("s"), F.least("e", "length").alias("e"))
     ends = found.where("kind = 'period'").groupBy(*keys).agg(F.min("s").alias("first"), F.max("e").alias("last")).join(lengths, keys)
-    outer = ends.select(*keys, F.explode(F.array(F.struct(F.lit(1).cast("bigint").alias("s"), F.least(F.col("first") - 1, "length").alias("e")), F.struct(F.greatest(F.lit(0), "last") + 1, F.col("length")))).alias("p")).select(*keys, "p.*")
+    outer = ends.select(*keys, F.explode(F.array(F.struct(F.lit(1).cast("bigint").alias("s"), F.least(F.col("first") - 1, "length").alias("e")), F.struct((F.greatest(F.lit(0), "last") + 1).alias("s"), F.col("length").alias("e")))).alias("p")).select(*keys, "p.*")
     whole = lengths.join(found.select(*keys).distinct(), keys, "left_anti").select(*keys, F.lit(1).cast("bigint").alias("s"), F.col("length").alias("e"))
     return inner.unionByName(outer).unionByName(whole).where("s <= e")
 

@@ -14,7 +14,7 @@ CHOICES = {
     "tree_mode": ("taxonomy", "neighborhood", "neighborhood_phylo", "aai_tree", "ani_tree", "use_input_tree"),
     "aai_mode": ("wgrr", "aai", "hyper"),
     "aai_subset_mode": ("target_prot", "target_region", "window"),
-    "tree_method": ("nj", "upgma"),
+    "tree_method": ("nj", "bionj", "unj", "upgma"),
 }
 
 

@@ -11,7 +11,7 @@ from vicinage.functions.clean import bare_id, label
 from vicinage.operators import annotate, enrich, families, greedy, similarity, taxonomy, trees, windows
 from vicinage.plans import config, pipeline
 from vicinage.plans.queries import table
-from vicinage.plans.reference import QUERIES, SQL, _FEAT, _GENOME, _HIT, _PROT, _RBH, _REC, _SHARE, _WIN, _bare, _rbh, _tree_nodes, _trim, _windows, dom, feat, genomes, hit, prot, query, rec
+from vicinage.plans.reference import QUERIES, SQL, _FEAT, _GENOME, _HIT, _PROT, _RBH, _REC, _SHARE, _WIN, _bare, _chosen, _rbh, _tree_nodes, _trim, _windows, dom, feat, genomes, hit, prot, query, rec
 from vicinage.session import cut
 
 __all__ = ["QUERIES", "SQL"]
@@ -39,9 +39,9 @@ def agg12_distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "gff").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("seqid").alias("contigs"), F.countDistinct(F.col("start").cast("string")).alias("starts"))
 
 
-@query("select qseqid, sseqid, round(least(1.0, greatest(0.0, length / 200.0)) + 1e-10, 6) as share from hits where length is not null")
+@query("select qseqid, sseqid, case when length is not null then round(least(1.0, greatest(0.0, length / 200.0)) + 1e-10, 6) end as share from hits")
 def agg14_clipped_share(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "hits").where("length is not null").select("qseqid", "sseqid", F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("length") / 200)) + 1e-10, 6).alias("share"))
+    return table(spark, sf, "hits").select("qseqid", "sseqid", F.when(F.col("length").isNotNull(), F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("length") / 200)) + 1e-10, 6)).alias("share"))
 
 
 @query(f"with {_HIT}, {_GENOME}, b as (select qseqid, sseqid, max(pident) as pident from hit where qseqid <> sseqid and pident is not null group by 1, 2) select b.*, q.genome as q_genome, s.genome as s_genome from b join genomes q on q.id = qseqid join genomes s on s.id = sseqid where q.genome <> s.genome")
@@ -61,12 +61,6 @@ def jn16_annotations(spark: SparkSession, sf: str) -> DataFrame:
     return prot(spark, sf).select("id").distinct().join(e, "id", "left").join(b, "id", "left")
 
 
-@query(f"""with {_FEAT}, g as (select seqid, id, protein_id, row_number() over (partition by seqid order by start, "end", id) as pos from feat) select a.seqid || '_op' as operon, a.seqid as contig, a.pos as position, a.id as gene, b.protein_id from g a left join g b on b.seqid = a.seqid and b.pos = a.pos where a.pos <= 4""")
-def jn19_operon_members(spark: SparkSession, sf: str) -> DataFrame:
-    g = windows.gene_index(feat(spark, sf), name="i").select("seqid", "id", "protein_id", (F.col("i") + 1).alias("position"))
-    return _operons(g.where("position <= 4"), g, ["seqid"], F.concat("seqid", F.lit("_op")))
-
-
 @query(f"""with {_FEAT}, g as (select seqid, id, protein_id, row_number() over (partition by seqid order by start, "end", id) as pos from feat) select seqid || '_op' || ((pos - 1) // 4) as operon, seqid as contig, pos as position, id as gene, protein_id from g""")
 def jn19_operon_blocks(spark: SparkSession, sf: str) -> DataFrame:
     g = windows.gene_index(feat(spark, sf), name="i").select("seqid", "id", "protein_id", (F.col("i") + 1).alias("position"), F.expr("i div 4").alias("block"))
@@ -105,11 +99,16 @@ def alg02_features_in_window(spark: SparkSession, sf: str) -> DataFrame:
     return windows.contained(feat(spark, sf).where("type = 'CDS'"), w).select("uid", "id", F.coalesce("protein_id", "id").alias("name"))
 
 
-@query()
+_FREE = f"""{_FEAT}, f as (select distinct seqid, start as s, "end" as e from feat where type = 'CDS' and start <= "end"), p as (select distinct seqid, id, start as s, "end" as e from feat where type <> 'CDS' and start <= "end" and "end" - start + 1 between 30 and 5000),
+    free as (select * from p where not exists (select 1 from f where f.seqid = p.seqid and f.s <= p.e and f.e >= p.s and (least(p.e, f.e) - greatest(p.s, f.s) + 1) * 100 > 10 * (p.e - p.s + 1)))"""
+
+
+@query(f"""with recursive {_FREE}, {_chosen("free", "seqid", "s, e, id", 0)} select seqid, id, s as start, e as "end" from taken""")
 def alg04_accept_predicted(spark: SparkSession, sf: str) -> DataFrame:
+    """Features that aren't coding, of 30 to 5,000 positions, as if they were predicted, beside the coding ones."""
     f = feat(spark, sf).where("start <= end")
-    small = F.coalesce(F.col("protein_id").rlike("orfipy|sORF"), F.lit(False))
-    return greedy.accept_predicted(f.where(~small).select("seqid", "id", "start", "end"), f.where(small).select("seqid", "id", "start", "end"), 10)
+    coding, other = f.where("type = 'CDS'").select("seqid", "start", "end"), f.where("type <> 'CDS'").select("seqid", "id", "start", "end")
+    return greedy.accept_predicted(coding.distinct(), other.distinct(), 10, 30, 5000)
 
 
 @query(f"""with {_HIT}, {_GENOME}, m as (select q.genome as a, s.genome as b, pident from hit join genomes q on q.id = qseqid join genomes s on s.id = sseqid where q.genome <> s.genome and pident is not null)

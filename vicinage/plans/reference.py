@@ -74,29 +74,26 @@ def rec(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- identifiers, predicates, projections -------------------------------------------------------------------------
 
-_CLASS = " ".join(
-    [
-        "case when t is null then null",
-        f"when regexp_matches(t, '{ids.UNIPARC}') then 'uniparc' when regexp_matches(t, '{ids.UNIPROT}') then 'uniprot'",
-        *[f"when regexp_matches(t, '{p}') then 'nucleotide'" for p in ids.NUCLEOTIDE],
-        *[f"when regexp_matches(t, '{p}') then 'protein'" for p in ids.PROTEIN],
-        "else 'unmatched' end",
-    ]
-)
+_CLASS = r"""case when t is null then null when regexp_matches(t, '^UPI[0-9A-Fa-f]{10}$') then 'uniparc'
+    when regexp_matches(t, '^[OPQ][0-9][A-Z0-9][A-Z0-9][A-Z0-9][0-9]$') or regexp_matches(t, '^[A-NR-Z][0-9][A-Z][A-Z0-9][A-Z0-9][0-9]([A-Z][A-Z0-9][A-Z0-9][0-9])?$') then 'uniprot'
+    when split_part(t, '_', 1) in ('NC', 'NG', 'NM', 'NR', 'NT', 'NW', 'NZ', 'AC', 'AP', 'MT', 'PP', 'OR', 'OZ', 'LR', 'LN', 'KX') and regexp_matches(t, '^[A-Z]{2}_[A-Z]*[0-9]+(\.[0-9]+)?$') then 'nucleotide'
+    when regexp_matches(t, '^[A-Z][A-Z]?[0-9]{5,8}(\.[0-9]+)?$') or regexp_matches(t, '^[A-Z]{4,6}[0-9]{8,}(\.[0-9]+)?$') then 'nucleotide'
+    when regexp_matches(t, '^WP_[0-9]{9}(\.[0-9]+)?$') or regexp_matches(t, '^(NP|XP|YP|ZP)_[0-9]{6,9}(\.[0-9]+)?$') or regexp_matches(t, '^[A-Z]{3}[0-9]{5,8}(\.[0-9]+)?$') then 'protein'
+    else 'unmatched' end"""
 
 
 @query(f"""with {_REC}, all_ids as (select substr(protein_id, 2) as t from rec union all select substr(nucleotide_id, 2) from rec union all select replace(uniprot_id, 'ZZ', 'P') from rec)
     select {_CLASS} as kind, count(*) as n from all_ids group by 1""")
 def flt01_id_class(spark: SparkSession, sf: str) -> DataFrame:
     r = rec(spark, sf)
-    parts = [F.substring("protein_id", 2, 100), F.substring("nucleotide_id", 2, 100), F.replace("uniprot_id", F.lit("ZZ"), F.lit("P"))]
+    parts = [F.substr("protein_id", F.lit(2)), F.substr("nucleotide_id", F.lit(2)), F.replace("uniprot_id", F.lit("ZZ"), F.lit("P"))]
     return r.select(F.explode(F.array(*parts)).alias("t")).groupBy(ids.id_class(F.col("t")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""with {_REC}, x as (select uid, assembly_id as a, substr(nucleotide_id, 2) as n from rec where assembly_id is not null)
     select uid, case when regexp_matches(n, '^[A-Z]{{2}}_') then 'GCF_' else 'GCA_' end || substr(a, 5) as fixed, regexp_replace(a, '^GC[AF]_', '') as core, regexp_replace(n, '\\.[0-9]+$', '') as bare from x""")
 def flt02_prefix_fix(spark: SparkSession, sf: str) -> DataFrame:
-    n = F.substring("nucleotide_id", 2, 100)
+    n = F.substr("nucleotide_id", F.lit(2))
     return rec(spark, sf).where("assembly_id is not null").select("uid", ids.fit_prefix(F.col("assembly_id"), n).alias("fixed"), ids.assembly_core(F.col("assembly_id")).alias("core"), ids.unversioned(n).alias("bare"))
 
 
@@ -148,11 +145,6 @@ def flt11_hit_thresholds(spark: SparkSession, sf: str) -> DataFrame:
     return families.filtered_hits(hit(spark, sf)).select("qseqid", "sseqid", "pident", "bitscore")
 
 
-@query(f"""with {_HIT}, pos as (select id, row_number() over (order by id) as p from seed_proteins) select distinct least(q.id, s.id) as a, greatest(q.id, s.id) as b from hit join pos q on q.id = qseqid join pos s on s.id = sseqid where q.p <> s.p""")
-def flt12_pairs_by_position(spark: SparkSession, sf: str) -> DataFrame:
-    return _pairs_by_position(spark, sf, table(spark, sf, "seed_proteins").select("id"))
-
-
 @query(f"""with {_HIT}, {_PROT}, pos as (select id, row_number() over (order by id) as p from (select distinct id from prot where id is not null)) select distinct least(q.id, s.id) as a, greatest(q.id, s.id) as b from hit join pos q on q.id = qseqid join pos s on s.id = sseqid where q.p <> s.p""")
 def flt12_all_pairs_by_position(spark: SparkSession, sf: str) -> DataFrame:
     return _pairs_by_position(spark, sf, prot(spark, sf).where("id is not null").select("id").distinct())
@@ -448,7 +440,7 @@ def dom(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""with {_DOM}, r as (select *, max(e) over (partition by protein_id, database, domain_id order by s, e, bit_score, alignment_length rows between unbounded preceding and 1 preceding) as reach from dom),
-    k as (select *, sum(case when reach is null or s - reach - 1 > 10 then 1 else 0 end) over (partition by protein_id, database, domain_id order by s, e, bit_score, alignment_length rows unbounded preceding) as k from r)
+    k as (select *, sum(case when reach is null or s - reach > 10 then 1 else 0 end) over (partition by protein_id, database, domain_id order by s, e, bit_score, alignment_length rows unbounded preceding) as k from r)
     select protein_id, database, domain_id, min(s) as start, max(e) as "end", sum(alignment_length) as alignment_length, round(sum(bit_score * alignment_length) / sum(alignment_length) + 1e-9, 4) as bit_score from k group by protein_id, database, domain_id, k""")
 def win08_merge_domains(spark: SparkSession, sf: str) -> DataFrame:
     return greedy.merge_domains(dom(spark, sf)).select("protein_id", "database", "domain_id", "start", "end", "alignment_length", F.round(F.col("bit_score") + 1e-9, 4).alias("bit_score"))
@@ -488,15 +480,15 @@ def str08_sequence_functions(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "proteins").select("id", F.length(s).alias("n"), F.length(text.wrapped(s)).alias("wrapped_length"), plain.alias("turned")).distinct()
 
 
-@query("select distinct domain_id, printf('%.2e', e_value) as shown from domain_hits where e_value > 0")
+@query("select distinct domain_id, printf('%.2e', e_value) as shown from domain_hits")
 def str09_scientific(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "domain_hits").where("e_value > 0").select("domain_id", text.scientific(F.col("e_value")).alias("shown")).distinct()
+    return table(spark, sf, "domain_hits").select("domain_id", text.scientific(F.col("e_value")).alias("shown")).distinct()
 
 
-@query("select id, 'kegg=' || coalesce(kegg_ko, '') as shown from eggnog_prots where kegg_ko is not null and pname is null union all select id, 'kegg=' || kegg_ko || ';name=' || pname from eggnog_prots where kegg_ko is not null and pname is not null")
+@query("select id, concat_ws(';', 'kegg=' || kegg_ko, 'name=' || pname) as shown from eggnog_prots")
 def str10_map_text(spark: SparkSession, sf: str) -> DataFrame:
     m = F.create_map(F.lit("name"), F.col("pname"), F.lit("kegg"), F.col("kegg_ko"))
-    return table(spark, sf, "eggnog_prots").where("kegg_ko is not null").select("id", text.map_text(m).alias("shown"))
+    return table(spark, sf, "eggnog_prots").select("id", text.map_text(m).alias("shown"))
 
 
 @query(f"""with {_DOM} select a.protein_id, a.domain_id as da, b.domain_id as db, a.s as sa, b.s as sb, greatest(0, least(a.e, b.e) - greatest(a.s, b.s) + 1) as shared, round(100.0 * greatest(0, least(a.e, b.e) - greatest(a.s, b.s) + 1) / (b.e - b.s + 1) + 1e-9, 4) as pct
@@ -576,12 +568,25 @@ def alg08_covered_length(spark: SparkSession, sf: str) -> DataFrame:
     return windows.covered_length(_coding(spark, sf).select("seqid", (F.col("s") - 1).alias("s"), "e"), ["seqid"], "s", "e")
 
 
-@query()
+def _chosen(rows: str, key: str, order: str, slack: int) -> str:
+    """SQL of a greedy choice, a row of each key at a time: o is rows in order, st says which are taken."""
+    return f"""o as (select *, row_number() over (partition by {key} order by {order}) as k from {rows}),
+    st(key, k, kept, got) as (select distinct hash({key}), cast(0 as bigint), cast([] as struct(s bigint, e bigint)[]), false from {rows}
+      union all select st.key, o.k, case when len(list_filter(kept, lambda x: least(x.e, o.e) - greatest(x.s, o.s) + 1 > {slack})) = 0 then list_append(kept, {{'s': o.s, 'e': o.e}}) else kept end,
+        len(list_filter(kept, lambda x: least(x.e, o.e) - greatest(x.s, o.s) + 1 > {slack})) = 0
+      from st join o on hash({", ".join("o." + k for k in key.split(", "))}) = st.key and o.k = st.k + 1),
+    taken as (select o.* from o join st on hash({", ".join("o." + k for k in key.split(", "))}) = st.key and o.k = st.k where st.got)"""
+
+
+@query(f"""with recursive {_DOM}, {_chosen("dom", "protein_id", "bit_score desc nulls last, alignment_length desc nulls last, s, e, domain_id, e_value nulls last, database", 3)} select protein_id, database, domain_id, s as start, e as "end", bit_score from taken""")
 def alg07_greedy(spark: SparkSession, sf: str) -> DataFrame:
-    return greedy.greedy(dom(spark, sf), ["protein_id"], [("bit_score", False), ("alignment_length", False), ("start", True), ("end", True), ("domain_id", True), ("e_value", True)], "start", "end", 3)
+    best = [("bit_score", False), ("alignment_length", False), ("start", True), ("end", True), ("domain_id", True), ("e_value", True), ("database", True)]
+    return greedy.greedy(dom(spark, sf), ["protein_id"], best, "start", "end", 3).select("protein_id", "database", "domain_id", "start", "end", "bit_score")
 
 
-@query()
+@query(f"""with recursive {_DOM}, h as (select protein_id as query, domain_id as ref, least(bit_score, 100.0) as pident, alignment_length as length, bit_score as bitscore, s, e from dom),
+    {_chosen("h", "query, ref", "bitscore desc nulls last, length desc nulls last, pident desc nulls last, s, e", 0)}, len as (select {_trim("id")} as query, max(length(sequence)) as n from proteins group by 1)
+    select query, ref, round_even(100 * sum(round_even(pident / 100 * length, 0)) / sum(length), 3) as ani, round_even(100.0 * sum(e - s + 1) / max(n), 3) as align_fraction from taken join len using (query) group by query, ref""")
 def alg09_ani(spark: SparkSession, sf: str) -> DataFrame:
     d = dom(spark, sf)
     hsps = d.select(F.col("protein_id").alias("query"), F.col("domain_id").alias("ref"), F.least(F.col("bit_score"), F.lit(100.0)).alias("pident"), "alignment_length", F.col("bit_score").alias("bitscore"), F.col("start").alias("q_start"), F.col("end").alias("q_end")).withColumnRenamed("alignment_length", "length")
@@ -595,9 +600,12 @@ def alg12_canonical_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return h.select(F.least("qseqid", "sseqid").alias("query"), F.greatest("qseqid", "sseqid").alias("ref"), F.when(F.col("qseqid") > F.col("sseqid"), F.col("length")).otherwise(0).alias("swapped_length")).distinct()
 
 
-@query()
+@query(f"""with recursive {_DOM}, r as (select *, max(e) over (partition by protein_id, database, domain_id order by s, e, bit_score, alignment_length rows between unbounded preceding and 1 preceding) as reach from dom),
+    i as (select *, sum(case when reach is null or s - reach > 10 then 1 else 0 end) over (partition by protein_id, database, domain_id order by s, e, bit_score, alignment_length rows unbounded preceding) as island from r),
+    merged as (select protein_id, database, domain_id, min(s) as s, max(e) as e, sum(alignment_length) as al, round(sum(bit_score * alignment_length) + 1e-9, 6) as weight, sum(bit_score * alignment_length) / sum(alignment_length) as score from i group by protein_id, database, domain_id, island),
+    {_chosen("merged", "protein_id, database", "weight desc nulls last, domain_id, s", 5)} select protein_id, database, domain_id, s as start, e as "end", al as alignment_length, round(score + 1e-9, 4) as bit_score from taken""")
 def alg13_deduplicate_domains(spark: SparkSession, sf: str) -> DataFrame:
-    return greedy.deduplicate_domains(dom(spark, sf))
+    return greedy.deduplicate_domains(dom(spark, sf)).select("protein_id", "database", "domain_id", "start", "end", "alignment_length", F.round(F.col("bit_score") + 1e-9, 4).alias("bit_score"))
 
 
 _RBH = f"""with {_HIT}, {_GENOME}, b as (select qseqid, sseqid, max(pident) as pident from hit where qseqid <> sseqid and pident is not null group by 1, 2),
@@ -645,13 +653,21 @@ def mth03_hypergeometric(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("a", "b", F.round(0 - F.log10("pval"), 5).alias("log_p"), F.round("score", 5).alias("score"))
 
 
-@query(f"""with {_HIT}, t as (select qseqid, sseqid, evalue, row_number() over (order by evalue, qseqid, sseqid, coalesce(bitscore, -1), coalesce(pident, -1)) as r, count(*) over () as m from (select distinct qseqid, sseqid, evalue, bitscore, pident from hit where evalue is not null))
-    select qseqid, sseqid, r, round(0 - log10(greatest(1e-300, least(1.0, evalue * m / r))), 5) as score from t""")
+@query(f"""with {_HIT}, h as (select distinct qseqid, sseqid, evalue, bitscore, pident from hit), t as (select *, row_number() over (order by evalue nulls last, qseqid, sseqid, coalesce(bitscore, -1), coalesce(pident, -1)) as r, count(evalue) over () as m from h)
+    select qseqid, sseqid, case when evalue is not null then round(0 - log10(greatest(1e-300, least(1.0, evalue * m / r))), 5) end as score from t""")
 def mth04_bh(spark: SparkSession, sf: str) -> DataFrame:
-    h = hit(spark, sf).where("evalue is not null").select("qseqid", "sseqid", "evalue", "bitscore", "pident").distinct().withColumn("bs", F.coalesce("bitscore", F.lit(-1.0))).withColumn("pi", F.coalesce("pident", F.lit(-1.0)))
-    ranked = cut(stats.global_rank(h, [F.col(c) for c in ("evalue", "qseqid", "sseqid", "bs", "pi")], "r"), "bh")
-    adj = stats.adjusted(ranked, "evalue", ["qseqid", "sseqid", "bs", "pi"])
-    return adj.select("qseqid", "sseqid", "r", F.round(stats.score(F.col("p_adj")), 5).alias("score"))
+    h = hit(spark, sf).select("qseqid", "sseqid", "evalue", "bitscore", "pident").distinct().withColumn("bs", F.coalesce("bitscore", F.lit(-1.0))).withColumn("pi", F.coalesce("pident", F.lit(-1.0)))
+    adj = stats.adjusted(h, "evalue", ["qseqid", "sseqid", "bs", "pi"])
+    return adj.select("qseqid", "sseqid", F.round(stats.score(F.col("p_adj")), 5).alias("score"))
+
+
+@query(f"""with {_HIT}, h as (select distinct qseqid, sseqid, evalue, bitscore, pident from hit), t as (select *, row_number() over (order by evalue nulls last, qseqid, sseqid, coalesce(bitscore, -1), coalesce(pident, -1)) as r, count(evalue) over () as m from h),
+    p as (select *, min(least(1.0, evalue * m / r)) over (order by r desc rows unbounded preceding) as adj from t where evalue is not null)
+    select qseqid, sseqid, round(0 - log10(greatest(1e-300, adj)), 5) as score from p union all select qseqid, sseqid, null from t where evalue is null""")
+def mth04_bh_monotone(spark: SparkSession, sf: str) -> DataFrame:
+    h = hit(spark, sf).select("qseqid", "sseqid", "evalue", "bitscore", "pident").distinct().withColumn("bs", F.coalesce("bitscore", F.lit(-1.0))).withColumn("pi", F.coalesce("pident", F.lit(-1.0)))
+    adj = stats.adjusted(h, "evalue", ["qseqid", "sseqid", "bs", "pi"], "BH_MONOTONE")
+    return adj.select("qseqid", "sseqid", F.round(stats.score(F.col("p_adj")), 5).alias("score"))
 
 
 @query(f"""with {_FEAT}, {_REC}, g as (select seqid, coalesce(protein_id, id) as id, start, "end", row_number() over (partition by seqid order by start, "end", id) - 1 as gi from feat),
@@ -693,11 +709,15 @@ def arr03_lineages(spark: SparkSession, sf: str) -> DataFrame:
     return lin.select((F.col("taxid") - 1_000_000_000).alias("cust"), *[F.col("lineage")[i].alias(f"l{i + 1}") for i in range(4)])
 
 
-@query(f"""with {_LINEAGE} select a.cust, cast(case when a.cust = b.cust then 0 when a.nation = b.nation then 2 when a.region = b.region then 4 else 6 end as double) as dist from lineage a join lineage b on b.cust = a.cust % 10 + 1""")
+@query(f"""with {_LINEAGE} select a.cust, b.cust as other, cast(case when a.cust = b.cust then 0 when a.nation = b.nation then 2 when a.region = b.region then 4 else 6 end as double) as dist from lineage a, lineage b where a.cust % 100 = 0""")
 def alg24_lca_distance(spark: SparkSession, sf: str) -> DataFrame:
     lin = cut(taxonomy.lineages(_tree_nodes(spark, sf)).where("taxid >= 1000000000").select((F.col("taxid") - 1_000_000_000).alias("cust"), "lineage"), "lineages")
-    other = lin.select(F.col("cust").alias("other"), F.col("lineage").alias("to"))
-    return lin.withColumn("other", F.col("cust") % 10 + 1).join(other, "other").select("cust", taxonomy.lca_distance(F.col("lineage"), F.col("to")).alias("dist"))
+    # the stated query set, ids divisible by 100, against all rows
+    asked = lin.where("cust % 100 = 0").select("cust", F.col("lineage").alias("to"))
+    blocks = lambda df, own, other: df.withColumn(own, F.pmod(F.xxhash64("cust"), F.lit(8))).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(7))))
+    every = blocks(lin, "i", "j").withColumnRenamed("cust", "other").withColumn("i", F.col("i").cast("int"))
+    met = every.join(blocks(asked, "j", "i").withColumn("j", F.col("j").cast("int")), ["i", "j"])
+    return met.select("cust", "other", taxonomy.lca_distance(F.col("to"), F.col("lineage")).alias("dist"))
 
 
 @query(f"""with {_REC}, ranks as (select n_nationkey as taxid, n_name as name, r_name as top from nation join region on r_regionkey = n_regionkey) select uid as unique_id, cast(coalesce(taxid % 30, 32644) as varchar) as taxid, coalesce(top, 'unclassified') as superkingdom, coalesce(name, 'unclassified') as species, 'unclassified' as genus
@@ -752,17 +772,64 @@ def _seed_tree(spark: SparkSession, sf: str) -> tuple[list[str], DataFrame]:
     return sorted(r[0] for r in seeds.select("id").collect()), cut(trees.fill_distances(d, seeds), "filled")
 
 
-@query()
-def alg25_single_linkage(spark: SparkSession, sf: str) -> DataFrame:
-    leaves, d = _seed_tree(spark, sf)
-    return spark.createDataFrame([(trees.single_linkage(leaves, trees.minimum_forest(d)),)], "newick string")
+def _nation_lineages(spark: SparkSession, sf: str) -> DataFrame:
+    n = table(spark, sf, "nation")
+    return n.select(F.col("n_name").alias("id"), F.array(F.lit(1).cast("bigint"), (F.col("n_regionkey") + 10).cast("bigint"), (F.col("n_nationkey") + 100).cast("bigint")).alias("lineage"), (F.col("n_nationkey") + 100).cast("bigint").alias("taxid"))
+
+
+_NATION_PAIRS = "p as (select x.n_name as a, y.n_name as b, case when x.n_regionkey = y.n_regionkey then cast(2 as double) else cast(4 as double) end as d from nation x join nation y on x.n_name < y.n_name)"
+
 
+@query(f"with {_NATION_PAIRS} select a, b, d as height from p")
+def alg25_taxonomy_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """The height at which two leaves of the taxonomy tree meet."""
+    lin = _nation_lineages(spark, sf)
+    newick = taxonomy.taxonomy_tree(lin.select("id", "taxid"), lin.select("taxid", "lineage"))
+    return spark.createDataFrame(trees.meetings(newick), "a string, b string, height double, path double").select("a", "b", F.round("height", 5).alias("height"))
 
-@query()
+
+@query(f"with {_NATION_PAIRS} select method, a, b, d as path from p, (select unnest(['nj', 'bionj', 'unj', 'upgma']) as method)")
 def alg29_trees(spark: SparkSession, sf: str) -> DataFrame:
-    leaves, d = _seed_tree(spark, sf)
-    m = trees.matrix(leaves, d)
-    return spark.createDataFrame([(k, trees.tree(k, leaves, m)) for k in ("nj", "upgma")], "method string, newick string")
+    """The way between two leaves in the trees of all methods, from distances that a tree can have: it is the distance."""
+    lin = cut(_nation_lineages(spark, sf), "leaves")
+    a, b = (lin.select(F.col("id").alias(x), F.col("lineage").alias(f"l{x}")) for x in "ab")
+    dist = a.join(b, F.col("a") < F.col("b")).select("a", "b", taxonomy.lca_distance(F.col("la"), F.col("lb")).alias("dist"))
+    leaves = sorted(r[0] for r in lin.select("id").collect())
+    m = trees.matrix(leaves, dist)
+    found = [(k, *row) for k in trees.METHODS for row in trees.meetings(trees.tree(k, leaves, m))]
+    return spark.createDataFrame(found, "method string, a string, b string, height double, path double").select("method", "a", "b", F.round("path", 5).alias("path"))
+
+
+def _least_barrier(pairs: str, rounds: int = 5) -> str:
+    """SQL of the single linkage height of all pairs (a, b, dist): the least barrier between them."""
+    first = f"m0 as (select a, b, dist from {pairs} union all select b, a, dist from {pairs})"
+    step = "m{1} as (select x.a, y.b, min(greatest(x.dist, y.dist)) as dist from (select * from m{0} union all select distinct a, a, 0.0 from m{0}) x join (select * from m{0} union all select distinct a, a, 0.0 from m{0}) y on x.b = y.a where x.a <> y.b group by 1, 2)"
+    return ", ".join([first, *[step.format(i, i + 1) for i in range(rounds)]]) + f" select a, b, round(dist + 1e-10, 5) as height from m{rounds} where a < b"
+
+
+@query(f"with {_NATION}, n as (select id, count(*) as n from m group by id), k as (select x.id as a, y.id as b, count(*) as k from m x join m y on x.item = y.item and x.id < y.id group by 1, 2), d as (select p.id as a, q.id as b, coalesce(1 - k * 1.0 / (p.n + q.n - k), 1.0) as dist from n p join n q on p.id < q.id left join k on a = p.id and b = q.id), {_least_barrier('d')}")
+def alg26_heights(spark: SparkSession, sf: str) -> DataFrame:
+    """The height at which two nations meet in the tree of the parts they supply."""
+    m = _nation_parts(spark, sf).select(F.col("id").cast("string").alias("id"), "item")
+    names = sorted(r[0] for r in m.select("id").distinct().collect())
+    return _heights(spark, trees.single_linkage(names, trees.jaccard_forest(m)))
+
+
+def _heights(spark: SparkSession, newick: str) -> DataFrame:
+    pairs = [(min(int(a), int(b)), max(int(a), int(b)), h, w) for a, b, h, w in trees.meetings(newick)]
+    return spark.createDataFrame(pairs, "a int, b int, height double, path double").select("a", "b", F.round(F.col("height") + 1e-10, 5).alias("height"))
+
+
+@query(f"""with r as (select s_nationkey as id, l_partkey as item, l_linenumber - 4 as rel_pos from lineitem join supplier on s_suppkey = l_suppkey), w as (select id, item, sum(1.0 / (1 + abs(rel_pos))) as w from r group by 1, 2), weights as (select id, item, w / sum(w) over (partition by id) as weight from w),
+    norm as (select id, sqrt(sum(weight * weight)) as norm from weights group by id), dot as (select x.id as a, y.id as b, sum(x.weight * y.weight) as dot from weights x join weights y on x.item = y.item and x.id < y.id group by 1, 2),
+    d as (select p.id as a, q.id as b, coalesce(1 - dot / (p.norm * q.norm), 1.0) as dist from norm p join norm q on p.id < q.id left join dot on a = p.id and b = q.id), {_least_barrier('d')}""")
+def alg27_heights(spark: SparkSession, sf: str) -> DataFrame:
+    """The height at which two nations meet in the tree of parts weighted by their places on order lines."""
+    r = table(spark, sf, "lineitem").join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("s_nationkey").cast("string").alias("id"), F.col("l_partkey").alias("item"), (F.col("l_linenumber") - 4).alias("rel_pos"))
+    weights = cut(trees.position_weights(r), "weights")
+    full = cut(trees.fill_distances(cut(trees.cosine_distance(weights), "distances"), weights.select("id").distinct(), "one"), "filled")
+    names = sorted(x[0] for x in weights.select("id").distinct().collect())
+    return _heights(spark, trees.single_linkage(names, trees.minimum_forest(full)))
 
 
 @query(f"""with {_HIT}, e as (select distinct {_trim("name")} as name, ogs from eggnog_prots), b as (select * from (select qseqid, sseqid, row_number() over (partition by qseqid order by bitscore desc nulls last, sseqid) as k from hit) where k = 1),
@@ -790,9 +857,9 @@ def alg35_domain_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("protein_id", "domain_id", "start", F.round(F.col("cov") + 1e-10, 6).alias("cov"), "hits")
 
 
-@query("""select protein_id, coalesce(domain_id_clean, domain_id) as domain_id, start, "end", round(bit_score + 1e-9, 2) as bit_score, printf('%.2e', e_value) as e_value, round(cov + 1e-9, 2) as cov from domain_hits where protein_id is not null and start is not null and "end" is not null and e_value is not null""")
+@query("""select protein_id, coalesce(domain_id_clean, domain_id) as domain_id, start, "end", round(bit_score + 1e-9, 2) as bit_score, printf('%.2e', e_value) as e_value, round(cov + 1e-9, 2) as cov from domain_hits where protein_id is not null and start is not null and "end" is not null""")
 def alg36_tidy_domains(spark: SparkSession, sf: str) -> DataFrame:
-    return annotate.tidy_domains(table(spark, sf, "domain_hits").where("e_value is not null"))
+    return annotate.tidy_domains(table(spark, sf, "domain_hits"))
 
 
 @query(f"""with {_FEAT} select seqid, id as name, type, start, "end", cast(null as double) as score, cast(null as varchar) as structure from feat where type in ('ncRNA', 'tRNA')""")
@@ -809,9 +876,9 @@ def alg39_tool_ids(spark: SparkSession, sf: str) -> DataFrame:
 # ---- files and streams --------------------------------------------------------------------------------------------
 
 
-@query('select seqid, source, type, start, "end", score, strand, phase from gff where seqid is not null and attributes is not null')
+@query('select seqid, source, type, start, "end", score, strand, phase from gff where seqid is not null')
 def src03_gff(spark: SparkSession, sf: str) -> DataFrame:
-    g = table(spark, sf, "gff").where("seqid is not null and attributes is not null")
+    g = table(spark, sf, "gff")
     path = table_path(spark, "gff")
     nine = g.select("seqid", "source", "type", "start", "end", "score", "strand", "phase", F.translate("attributes", "\t", " ").alias("attributes"))
     nine.select(F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in nine.columns]).alias("value")).write.text(path)
@@ -829,7 +896,8 @@ def src04_fasta(spark: SparkSession, sf: str) -> DataFrame:
 def src07_typed_tsv(spark: SparkSession, sf: str) -> DataFrame:
     path = table_path(spark, "tsv")
     r = table(spark, sf, "records").select(F.concat_ws("\t", F.col("unique_id"), F.coalesce(F.col("taxid").cast("string"), F.lit("na")), F.coalesce("assembly_level", F.lit(""))).alias("value"))
-    spark.createDataFrame([("#unique_id\ttaxid\tassembly_level",)], "value string").unionByName(r).coalesce(1).write.text(path)
+    first = spark.createDataFrame([("#unique_id\ttaxid\tassembly_level",)], "value string").withColumn("at", F.lit(0))
+    first.unionByName(r.withColumn("at", F.lit(1))).repartition(1).sortWithinPartitions("at").select("value").write.text(path)
     return readers.typed_tsv(spark, path, {"taxid": "long", "gc_percent": "double"}, "unique_id", ["unique_id", "taxid", "assembly_level", "gc_percent"])
 
 
@@ -846,11 +914,11 @@ def src08_drift_parquet(spark: SparkSession, sf: str) -> DataFrame:
     return readers.contigs(spark, c, b).select("genbankAccession", "refseqAccession", "assemblyAccession", "length")
 
 
-@query("select qseqid, sseqid, pident, length, evalue, bitscore from hits where pident is not null and length is not null and evalue is not null and bitscore is not null")
+@query("select qseqid, sseqid, pident, length, evalue, bitscore from hits")
 def src11_tabular_hits(spark: SparkSession, sf: str) -> DataFrame:
     path = table_path(spark, "hits")
-    h = table(spark, sf, "hits").dropna()
-    h.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in h.columns]).alias("value")).write.text(path)
+    h = table(spark, sf, "hits")
+    h.select(F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in h.columns]).alias("value")).write.text(path)
     return readers.hits(spark, path, 6)
 
 

@@ -68,5 +68,28 @@ def first_alias(df: DataFrame, aliases: list[str]) -> str | None:
     return next((a for a in aliases if a in df.columns), None)
 
 
+#: Other names of columns in tables that users bring (fixed values).
+ALIASES = {
+    "prot_id": ["prot_id", "protein_id", "id", "gene_id"],
+    "target_nuc": ["target_nuc", "nucleotide_id", "seqid", "contig"],
+    "family": ["family", "fam_cluster", "cluster", "fam"],
+}
+
+
+def by_alias(df: DataFrame, wanted: list[str], first: dict[str, str] | None = None) -> DataFrame:
+    """The wanted columns under their own names, each from the first of its other names that df has; `id` goes before
+    `protein_id` where both are there. ValueError if df has none of them."""
+    out = []
+    for name in wanted:
+        names = ALIASES.get(name, [name])
+        if name == "prot_id" and "id" in df.columns and name not in df.columns:
+            names = ["id", *names]
+        found = (first or {}).get(name) or first_alias(df, names)
+        if found is None:
+            raise ValueError(f"no column for {name}: {', '.join(names)}")
+        out.append(F.col(f"`{found}`").alias(name))
+    return df.select(*out)
+
+
 def extra_columns(df: DataFrame, reserved: set[str]) -> list[str]:
     return [c for c in df.columns if c not in reserved and not c.startswith("_")]

@@ -1,12 +1,12 @@
-"""GenBank flat files as a Spark data source: one row per CDS that has a protein id (survey id SRC-06)."""
+"""GenBank flat files: one row per CDS that has a protein id (survey id SRC-06)."""
 
 from __future__ import annotations
 
-import glob
 import re
 from collections.abc import Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 SCHEMA = "seqid string, type string, start bigint, end bigint, strand string, protein_id string, locus_tag string, product string, qualifiers map<string,string>, translation string"
 _SPAN = re.compile(r"[<>]?(\d+)(?:\.\.[<>]?(\d+))?")
@@ -45,10 +45,11 @@ def features(table: str) -> Iterator[tuple[str, str, dict[str, str]]]:
 
 
 def rows(text: str, wanted: str | None = None) -> Iterator[tuple]:
-    """CDS rows of the record whose version holds `wanted`, else of the first; of all records without `wanted`."""
+    """CDS rows of the record that is `wanted`, with or without its version, else of the first; of all records without
+    `wanted`."""
     recs = list(records(text))
     if wanted:
-        recs = [r for r in recs if wanted in r[0]][:1] or recs[:1]
+        recs = [r for r in recs if wanted in (r[0], r[0].rsplit(".", 1)[0])][:1] or recs[:1]
     for version, table in recs:
         for kind, place, quals in features(table):
             at = location(place)
@@ -56,31 +57,17 @@ def rows(text: str, wanted: str | None = None) -> Iterator[tuple]:
                 yield version, kind, *at, quals["protein_id"], quals.get("locus_tag"), quals.get("product"), {k: v for k, v in quals.items() if k != "translation"}, quals.get("translation")
 
 
-class _File(InputPartition):
-    pass
+def read(spark: SparkSession, path: str, record: str | None = None) -> DataFrame:
+    """A row per CDS with a protein id of the files of a path or glob, on any file system Spark reads; a file is one row of
+    a task. record: see rows()."""
+    arrow = pa.schema([("seqid", pa.string()), ("type", pa.string()), ("start", pa.int64()), ("end", pa.int64()), *[(c, pa.string()) for c in ("strand", "protein_id", "locus_tag", "product")], ("qualifiers", pa.map_(pa.string(), pa.string())), ("translation", pa.string())])
 
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                found = list(rows(content.as_py().decode("utf-8", "replace"), record))
+                cols = list(zip(*found, strict=True)) if found else [[]] * len(arrow)
+                cols[8] = [list(q.items()) for q in cols[8]]
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict) -> None:
-        self.path, self.wanted = options["path"], options.get("record")
-
-    def partitions(self) -> list[InputPartition]:
-        return [_File(p) for p in sorted(glob.glob(self.path)) or [self.path]]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        with open(partition.value, encoding="utf-8", errors="replace") as f:
-            yield from rows(f.read(), self.wanted)
-
-
-class GenBank(DataSource):
-    """spark.dataSource.register(GenBank); spark.read.format("genbank").option("record", id).load(glob)."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "genbank"
-
-    def schema(self) -> str:
-        return SCHEMA
-
-    def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
-        return _Reader(self.options)
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parse, SCHEMA)

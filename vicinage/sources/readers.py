@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vicinage.functions.ids import id_class, region
-from vicinage.functions.text import attribute
+from vicinage.functions.text import attribute, python_list
 from vicinage.schemas import CONTIG, GFF, spark_type
 
 #: Columns of tabular hits by number of fields (fixed values of the tools' output formats).
@@ -42,6 +42,12 @@ def input_sheet(spark: SparkSession, path: str, expected: list[str], reserved: s
     return df.withColumn("input_type", F.coalesce("input_type", derived)), extra
 
 
+def premade(df: DataFrame) -> DataFrame:
+    """df with premade: whether a record brings its own annotation, a GFF file with proteins or a GenBank file."""
+    has = lambda c: F.length(F.trim(F.col(c))) > 0 if c in df.columns else F.lit(False)
+    return df.withColumn("premade", F.coalesce(has("gff_path") & has("faa_path"), F.lit(False)) | F.coalesce(has("gbf_path"), F.lit(False)))
+
+
 def gff(spark: SparkSession, path: str) -> DataFrame:
     """The nine columns of GFF3 files, typed, with the ID attribute as protein_id; comment lines are skipped."""
     cols = GFF.required
@@ -75,10 +81,23 @@ def contigs(spark: SparkSession, *paths: str) -> DataFrame:
     return drift_parquet(spark, list(paths), CONTIG.required | CONTIG.optional, list(CONTIG.required))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, value): the lines of one file with their numbers from 1. The splits of a file come in its order; each
+    counts its own lines, and only these counts reach the driver."""
+    lines = spark.read.text(path).select("value", F.spark_partition_id().alias("_split"), F.monotonically_increasing_id().alias("_at"))
+    before, offsets = 0, []
+    for split, n in sorted(tuple(r) for r in lines.groupBy("_split").count().collect()):
+        offsets += [F.lit(split), F.lit(before)]
+        before += n
+    if not offsets:
+        return lines.select(F.lit(0).cast("bigint").alias("line_no"), "value")
+    return lines.select((F.create_map(*offsets)[F.col("_split")] + F.col("_at") % (1 << 33) + 1).alias("line_no"), "value")
+
+
 def typed_tsv(spark: SparkSession, path: str, types: dict[str, str], key: str, wanted: list[str] | None = None, pattern: str | None = None) -> DataFrame:
     """A TSV with its header in the first line, with or without # before it. Types go by name, unknown columns are text,
     `na` and empty cells are null. Raises ValueError for a missing, doubled or empty header name, a missing key column,
-    and, when read, an error with the row for a wrong number of fields, a value of the wrong type or a bad key.
+    and, when read, an error with the line of the file for a wrong number of fields, a value of the wrong type or a bad key.
     wanted: columns to keep, in order; those the file lacks are typed nulls."""
     head = spark.read.text(path).first()
     if head is None or not head[0].strip():
@@ -88,10 +107,11 @@ def typed_tsv(spark: SparkSession, path: str, types: dict[str, str], key: str, w
         raise ValueError(f"{path}: doubled or empty column name")
     if key not in names:
         raise ValueError(f"{path}: no column {key}")
-    rows = spark.read.text(path).where(~F.col("value").startswith("#")).where(F.col("value") != head[0]).where(F.trim("value") != "")
+    rows = numbered_lines(spark, path).where((F.col("line_no") > 1) & ~F.col("value").startswith("#") & (F.trim("value") != ""))
     cells = F.split("value", "\t", -1)
-    bad = F.raise_error(F.concat(F.lit(f"{path}: wrong number of fields: "), F.col("value")))
-    rows = rows.select(F.when(F.size(cells) == len(names), cells).otherwise(bad.cast("array<string>")).alias("c"))
+    where = F.concat(F.lit(f"{path}, line "), F.col("line_no").cast("string"), F.lit(": "))
+    bad = F.raise_error(F.concat(where, F.lit("wrong number of fields: "), F.col("value")))
+    rows = rows.select("line_no", F.when(F.size(cells) == len(names), cells).otherwise(bad.cast("array<string>")).alias("c"))
 
     def cell(name: str) -> Column:
         if name not in names:
@@ -100,11 +120,11 @@ def typed_tsv(spark: SparkSession, path: str, types: dict[str, str], key: str, w
         text = F.when((raw != "") & (F.lower(raw) != "na"), raw)
         t = spark_type(types.get(name, "string"))
         typed = text.try_cast(t)
-        wrong = F.raise_error(F.concat(F.lit(f"{path}: {name} isn't {t}: "), text))
+        wrong = F.raise_error(F.concat(where, F.lit(f"{name} isn't {t}: "), text))
         out = text if t == "string" else F.when(text.isNotNull() & typed.isNull(), wrong.cast(t)).otherwise(typed)
         if name == key:
             ok = text.rlike(pattern) if pattern else text.isNotNull()
-            out = F.when(~F.coalesce(ok, F.lit(False)), F.raise_error(F.concat(F.lit(f"{path}: bad {name}: "), F.coalesce(raw, F.lit("null")))).cast(t)).otherwise(out)
+            out = F.when(~F.coalesce(ok, F.lit(False)), F.raise_error(F.concat(where, F.lit(f"bad {name}: "), F.coalesce(raw, F.lit("null")))).cast(t)).otherwise(out)
         return out.alias(name)
 
     return rows.select(*[cell(n) for n in (wanted or names)])
@@ -127,6 +147,40 @@ def skani_triangle(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*[(F.col(f"`{at[v]}`") if k in ("query", "ref") else F.col(f"`{at[v]}`").try_cast("double")).alias(k) for k, v in pick.items()])
 
 
+#: Columns of the tools' tables that later steps need, with their types (fixed values of the tools' formats).
+TOOLS = {
+    "padloc": {"system": "string", "target.name": "string", "seqid": "string", "start": "long", "end": "long", "strand": "string", "protein.name": "string", "hmm.accession": "string"},
+    "defensefinder": {"hit_id": "string", "gene_name": "string", "sys_id": "string", "type": "string", "subtype": "string", "hit_pos": "long"},
+    "cctyper": {"Contig": "string", "Operon": "string", "Start": "long", "End": "long", "Prediction": "string", "Positions": "string", "Genes": "string"},
+    "genomad": {"gene": "string", "start": "long", "end": "long", "strand": "string", "marker": "string", "annotation_description": "string"},
+}
+
+
+def tool_hits(spark: SparkSession, path: str, tool: str) -> DataFrame:
+    """A tool's table with the columns of TOOLS, typed by name: NA and what can't be read are null, columns the file lacks
+    are typed nulls, others are left out. Lists in the table of cctyper come as arrays."""
+    wanted = TOOLS[tool]
+    df = tool_table(spark, path, "," if tool == "padloc" else "\t")
+    cols = [(F.col(f"`{c}`").try_cast(spark_type(t)) if c in df.columns else F.lit(None).cast(spark_type(t))).alias(c.replace(".", "_")) for c, t in wanted.items()]
+    out = df.select(*cols)
+    if tool == "cctyper":
+        out = out.withColumns({c: python_list(F.col(c)) for c in ("Positions", "Genes")})
+    return out
+
+
+#: The first columns of a PAF line (fixed values of the format).
+PAF = "query string, query_len bigint, query_start bigint, query_end bigint, strand string, ref string, ref_len bigint, ref_start bigint, ref_end bigint, matches bigint, block_len bigint, mapq int"
+
+
+def paf_hits(spark: SparkSession, path: str) -> DataFrame:
+    """Alignments of PAF lines: the twelve columns, edit distance (NM) and whether it is a primary one (tp:A:P, or no tag)."""
+    cells = F.split("value", "\t", -1)
+    names = [x.split() for x in PAF.split(", ")]
+    tag = lambda k: F.nullif(F.regexp_extract("value", rf"\t{k}:[A-Za-z]:([^\t]*)", 1), F.lit(""))
+    rows = spark.read.text(path).where(F.trim("value") != "")
+    return rows.select(*[F.try_element_at(cells, F.lit(i + 1)).try_cast(t).alias(n) for i, (n, t) in enumerate(names)], tag("NM").try_cast("bigint").alias("edits"), F.coalesce(tag("tp") == "P", F.lit(True)).alias("is_primary"))
+
+
 def tool_table(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     """A headed table of a tool, all text, NA as null."""
     return spark.read.option("sep", sep).option("header", True).option("nullValue", "NA").csv(path)
@@ -148,6 +202,40 @@ def ipg_report(spark: SparkSession, path: str) -> DataFrame:
     return c.select("ipg_id", "protein_id", "source", F.col("c._accver").alias("nucleotide_id"), F.col("c._start").alias("start"), F.col("c._stop").alias("end"), F.col("c._strand").alias("strand"), F.col("c._assembly").alias("assembly_id"), F.col("c._taxid").alias("taxid"))
 
 
+ASSEMBLY_OF = "_uid string, AssemblyAccession string, SpeciesTaxid bigint, Organism string, AssemblyStatus string, FtpPath_RefSeq string, FtpPath_GenBank string"
+NUCLEOTIDE_OF = "Caption string, AccessionVersion string, Title string, Slen bigint, TaxId bigint, Biomol string"
+LINKS_OF = "DbFrom string, IdList struct<Id: array<string>>, LinkSetDb array<struct<DbTo: string, LinkName: string, Link: array<struct<Id: string>>>>"
+
+
+def assembly_summaries(spark: SparkSession, path: str) -> DataFrame:
+    """One row per assembly of document summaries in XML, with its address on the file server, RefSeq first."""
+    df = xml_rows(spark, path, "DocumentSummary", ASSEMBLY_OF)
+    return df.select(F.col("_uid").alias("uid"), F.col("AssemblyAccession").alias("assembly_id"), F.col("SpeciesTaxid").alias("taxid"), F.col("Organism").alias("organism"), F.col("AssemblyStatus").alias("assembly_level"), F.coalesce(F.nullif(F.col("FtpPath_RefSeq"), F.lit("")), F.nullif(F.col("FtpPath_GenBank"), F.lit(""))).alias("ftp_path"))
+
+
+def nucleotide_summaries(spark: SparkSession, path: str) -> DataFrame:
+    """One row per nucleotide record of document summaries in XML."""
+    df = xml_rows(spark, path, "DocumentSummary", NUCLEOTIDE_OF)
+    return df.select(F.coalesce("AccessionVersion", "Caption").alias("nucleotide_id"), F.col("Title").alias("title"), F.col("Slen").alias("length"), F.col("TaxId").alias("taxid"), F.col("Biomol").alias("molecule"))
+
+
+def nucleotide_links(spark: SparkSession, path: str) -> DataFrame:
+    """(from_id, link_name, to_id) of link sets in XML, a row per linked pair."""
+    df = xml_rows(spark, path, "LinkSet", LINKS_OF)
+    one = df.select(F.explode_outer("IdList.Id").alias("from_id"), "LinkSetDb").select("from_id", F.explode_outer("LinkSetDb").alias("l"))
+    return one.select("from_id", F.col("l.LinkName").alias("link_name"), F.explode_outer("l.Link").alias("t")).select("from_id", "link_name", F.col("t.Id").alias("to_id"))
+
+
+def ipg_chunks(ids: DataFrame, key: str = "id", size: int = 100) -> DataFrame:
+    """(chunk, ids): a list of at most size ids per request, in their order by text; blank ids are left out and repeated
+    ones asked for once."""
+    from vicinage.functions.stats import global_rank
+
+    once = ids.select(F.trim(F.col(key)).alias("id")).where(F.length("id") > 0).distinct()
+    placed = global_rank(once, [F.col("id")], "at").withColumn("chunk", F.expr(f"(at - 1) div {size}"))
+    return placed.groupBy("chunk").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+
+
 def ipg_text(spark: SparkSession, path: str) -> DataFrame:
     """Identical-protein tables in text, names in lower case with underscores; all text."""
     df = spark.read.option("sep", "\t").option("header", True).csv(path)

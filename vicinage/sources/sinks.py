@@ -6,7 +6,7 @@ import base64
 import gzip
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vicinage.functions.text import wrapped
@@ -32,8 +32,8 @@ def _files(df: DataFrame):  # noqa: ANN202
 
 
 def write_tsv(df: DataFrame, path: str, header: bool, always_quote: bool = False) -> None:
-    """TSV parts; nulls are empty; quotes only where needed."""
-    df.write.mode("overwrite").option("sep", "\t").option("header", header).option("quoteAll", always_quote).option("emptyValue", "").csv(path)
+    """TSV parts; nulls are empty; quotes only where needed; outer blanks are kept."""
+    df.write.mode("overwrite").option("sep", "\t").option("header", header).option("quoteAll", always_quote).option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
@@ -77,6 +77,22 @@ def write_fasta(df: DataFrame, path: str, ident: str = "id", sequence: str = "se
     df.where(F.col(sequence).isNotNull()).select(F.concat(F.lit(">"), F.col(ident), F.lit("\n"), body).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_run_table(df: DataFrame, path: str) -> None:
+    """A table of a run as headed TSV without its sequence column, cells quoted only where needed."""
+    write_tsv(df.drop("sequence"), path, True)
+
+
+def clean_up(spark: SparkSession, folder: str, keep: tuple[str, ...]) -> list[str]:
+    """Deletes what lies in a run's folder but for the names to keep; the names that are left, in order."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    where = jvm.org.apache.hadoop.fs.Path(folder)
+    files = where.getFileSystem(conf)
+    for status in files.listStatus(where):
+        if status.getPath().getName() not in keep:
+            files.delete(status.getPath(), True)
+    return sorted(status.getPath().getName() for status in files.listStatus(where))
+
+
 def append_trace(df: DataFrame, path: str, stage: str) -> None:
     """Rows added to a debug log with the stage they come from."""
     df.select(F.lit(stage).alias("stage"), *[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]).write.mode("append").option("header", True).csv(path)

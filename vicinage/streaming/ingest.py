@@ -19,19 +19,30 @@ def append_parts(stream: DataFrame, out: str, checkpoint: str, rows_per_file: in
     return stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).trigger(availableNow=True).start()
 
 
-def upsert_stream(stream: DataFrame, keys: list[str], order: str, table: str, checkpoint: str) -> StreamingQuery:
-    """Each batch replaces the rows of its keys in a table of numbered generations, and the last row of a key wins. A
-    batch that runs again after a failure writes the same generation again."""
-    spark = stream.sparkSession
+#: Buckets of an upserted table.
+BUCKETS = 64
 
-    def merge(batch: DataFrame, epoch: int) -> None:
+
+def upsert_stream(stream: DataFrame, keys: list[str], order: str, table: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
+    """Each batch adds the last row of its keys to a table of numbered batches; nothing that was written is written again.
+    A batch that runs again after a failure replaces its own rows. upserted() reads the last row of each key."""
+
+    def add(batch: DataFrame, epoch: int) -> None:
         new = first_by(batch, keys, [F.col(order).desc_nulls_last(), *[F.col(c) for c in keys]])
-        old = f"{table}/gen={epoch - 1}"
-        if epoch:
-            new = new.unionByName(spark.read.schema(batch.schema).parquet(old).join(new.select(*keys), keys, "left_anti"))
-        new.write.mode("overwrite").parquet(f"{table}/gen={epoch}")
+        new.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets))).write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/batch={epoch}")
+
+    return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def upserted(spark: SparkSession, table: str, keys: tuple[str, ...] = ("uid",)) -> DataFrame:
+    """The rows of an upserted table: the latest batch of a key wins."""
+    rows = spark.read.parquet(table)
+    return first_by(rows, list(keys), [F.col("batch").desc()]).drop("batch", "bucket")
+
 
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def compact(spark: SparkSession, table: str, target: str, keys: tuple[str, ...] = ("uid",)) -> None:
+    """Writes the rows of an upserted table as one batch of a new table, between runs of the stream."""
+    upserted(spark, table, keys).write.mode("overwrite").parquet(f"{target}/batch=0")
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
