@@ -117,6 +117,6 @@ def match_tables(left: DataFrame, right: DataFrame, rec: str, token: str, thresh
     """(rec_a, rec_b, jaccard): the similar pairs between two tables, rec_a of left and rec_b of right."""
     both = left.select(F.concat(F.lit("l"), F.col(rec).cast("string")).alias("rec"), F.col(token).alias("token")).unionByName(right.select(F.concat(F.lit("r"), F.col(rec).cast("string")).alias("rec"), F.col(token).alias("token")))
     found = similar_pairs(both, "rec", "token", threshold, min_size).where(F.col("rec_a").startswith("l") & F.col("rec_b").startswith("r"))
-    cut_first = lambda c: F.substring(c, 2, 1 << 30)
+    cut_first = lambda c: F.substr(c, F.lit(2))
     return found.select(cut_first("rec_a").alias("rec_a"), cut_first("rec_b").alias("rec_b"), "jaccard")
 
