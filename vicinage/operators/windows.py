@@ -30,7 +30,7 @@ def windows_by_rows(features: DataFrame, targets: DataFrame, n: int, order: list
     """
     block = max(1024, n)
     g = gene_index(features.select("seqid", "id", "start", "end", *[c for c in order or [] if c not in ("seqid", "id", "start", "end")]), order=order, name="_i").select("seqid", "id", "start", "end", "_i")
-    placed = targets.join(g.select("seqid", F.col("id").alias("target_id"), F.col("_i").alias("_at")), ["seqid", "target_id"])
+    placed = targets.select("uid", "seqid", "target_id").join(g.select("seqid", F.col("id").alias("target_id"), F.col("_i").alias("_at")), ["seqid", "target_id"])
     spread = placed.withColumn("_block", F.explode(F.sequence(F.expr(f"greatest(0, _at - {n}) div {block}"), F.expr(f"(_at + {n}) div {block}"))))
     near = spread.join(g.select(F.col("seqid").alias("_seqid"), "start", "end", "_i"), (F.col("seqid") == F.col("_seqid")) & (F.col("_block") == F.expr(f"_i div {block}")) & (F.abs(F.col("_i") - F.col("_at")) <= n))
     return near.groupBy("uid", "seqid", "_at").agg(F.min("start").alias("start_win"), F.max("end").alias("end_win"), F.count(F.lit(1)).alias("n_features")).drop("_at")

@@ -811,13 +811,12 @@ def _least_barrier(pairs: str, rounds: int = 5) -> str:
 def alg26_heights(spark: SparkSession, sf: str) -> DataFrame:
     """The height at which two nations meet in the tree of the parts they supply."""
     m = _nation_parts(spark, sf).select(F.col("id").cast("string").alias("id"), "item")
-    names = sorted(r[0] for r in m.select("id").distinct().collect())
-    return _heights(spark, trees.single_linkage(names, trees.jaccard_forest(m)))
+    return _heights(spark, trees.jaccard_forest(m))
 
 
-def _heights(spark: SparkSession, newick: str) -> DataFrame:
-    pairs = [(min(int(a), int(b)), max(int(a), int(b)), h, w) for a, b, h, w in trees.meetings(newick)]
-    return spark.createDataFrame(pairs, "a int, b int, height double, path double").select("a", "b", F.round(F.col("height") + 1e-10, 5).alias("height"))
+def _heights(spark: SparkSession, edges: list[tuple[str, str, float]]) -> DataFrame:
+    pairs = [(min(int(a), int(b)), max(int(a), int(b)), h) for a, b, h in trees.barriers(edges)]
+    return spark.createDataFrame(pairs, "a int, b int, height double").select("a", "b", F.round(F.col("height") + 1e-10, 5).alias("height"))
 
 
 @query(f"""with r as (select s_nationkey as id, l_partkey as item, l_linenumber - 4 as rel_pos from lineitem join supplier on s_suppkey = l_suppkey), w as (select id, item, sum(1.0 / (1 + abs(rel_pos))) as w from r group by 1, 2), weights as (select id, item, w / sum(w) over (partition by id) as weight from w),
@@ -828,8 +827,7 @@ def alg27_heights(spark: SparkSession, sf: str) -> DataFrame:
     r = table(spark, sf, "lineitem").join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("s_nationkey").cast("string").alias("id"), F.col("l_partkey").alias("item"), (F.col("l_linenumber") - 4).alias("rel_pos"))
     weights = cut(trees.position_weights(r), "weights")
     full = cut(trees.fill_distances(cut(trees.cosine_distance(weights), "distances"), weights.select("id").distinct(), "one"), "filled")
-    names = sorted(x[0] for x in weights.select("id").distinct().collect())
-    return _heights(spark, trees.single_linkage(names, trees.minimum_forest(full)))
+    return _heights(spark, trees.minimum_forest(full))
 
 
 @query(f"""with {_HIT}, e as (select distinct {_trim("name")} as name, ogs from eggnog_prots), b as (select * from (select qseqid, sseqid, row_number() over (partition by qseqid order by bitscore desc nulls last, sseqid) as k from hit) where k = 1),
