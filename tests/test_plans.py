@@ -44,6 +44,23 @@ def pipeline_tables(spark):
     return records, features, proteins, spark.createDataFrame(both, "qseqid string, sseqid string, pident double, evalue double")
 
 
+def test_all_tables_of_a_run(spark, tmp_path):
+    from vicinage.plans import output, pipeline
+    from vicinage.sources import sinks
+
+    tables = pipeline_tables(spark)
+    done = pipeline.run(*tables, config.load(window=500, tree_mode="neighborhood"))
+    out = str(tmp_path / "out")
+    domains = spark.createDataFrame([("p1", "d"), ("p9", "d")], "protein_id string, domain_id string")
+    output.write(done, tables[3], out, {"domains": domains})
+    n = {t: spark.read.parquet(f"{out}/{t}.parquet").count() for t in sinks.BUNDLE}
+    assert n == {"gff": 6, "hoods": 3, "protein_metadata": 6, "tree_metadata": 0, "domains": 1, "domains_metadata": 0, "ncrna_metadata": 0, "nucleotide_links": 0, "protein_links": 4}
+    assert spark.read.option("sep", "\t").option("header", True).csv(f"{out}/records.tsv").count() == 3
+    assert spark.read.text(f"{out}/tree.nwk").first()[0] == done.tree
+    with pytest.raises(ValueError):
+        output.bundle(done, tables[3], {"no": domains})
+
+
 def test_shared_proteins_count_in_each_neighbourhood(spark):
     from vicinage.plans import pipeline
 

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from vicinage.functions.clean import bare_id, label
 from vicinage.operators.taxonomy import lineages
-from vicinage.plans import config, pipeline
+from vicinage.plans import config, output, pipeline
 from vicinage.sources import readers, sinks
 
+#: Tables of the bundle that tools make.
+MADE = ("domains", "domains_metadata", "ncrna_metadata")
+
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="vicinage")
@@ -29,6 +32,8 @@ def main(argv: list[str] | None = None) -> None:
     run.add_argument("--ranks", help="table of (taxid, rank, name), for the metadata of the leaves")
     run.add_argument("--ani", help="table of (query, ref, ani), for ani_tree")
     run.add_argument("--tree-file", help="Newick text, for use_input_tree")
+    for name in MADE:
+        run.add_argument("--" + name.replace("_", "-"), help=f"table {name} of the bundle, as a tool's reader gives it")
     lengths = sub.add_parser("lengths", help="assembly and length of nucleotide ids in a file, from contig tables")
     lengths.add_argument("ids")
     lengths.add_argument("out")
@@ -40,7 +45,7 @@ def main(argv: list[str] | None = None) -> None:
         sinks.write_tsv(found.coalesce(1), a.out, True)
         return
     read = lambda t: spark.read.parquet(f"{a.tables}/{t}.parquet")
-    own = ("what", "tables", "out", "config", "taxonomy", "ranks", "ani", "tree_file")
+    own = ("what", "tables", "out", "config", "taxonomy", "ranks", "ani", "tree_file", *MADE)
     given = {k: v for k, v in vars(a).items() if k not in own}
     more = {k: spark.read.parquet(getattr(a, k)) if getattr(a, k) else None for k in ("ranks", "ani")}
     more["lineages"] = lineages(spark.read.parquet(a.taxonomy)) if a.taxonomy else None
@@ -49,12 +54,8 @@ def main(argv: list[str] | None = None) -> None:
     gff = read("gff").where("seqid is not null").withColumn("id", label("id")).withColumn("seqid", label("seqid")).dropDuplicates(["id"])
     hits = read("hits").withColumn("qseqid", bare_id("qseqid")).withColumn("sseqid", bare_id("sseqid"))
     done = pipeline.run(records, gff, read("proteins").withColumn("id", label("id")), hits, config.load(a.config, **given), **more)
-    for name in ("records", "neighbourhoods", "gff", "proteins", "similarity"):
-        sinks.write_parquet(getattr(done, name), f"{a.out}/{name}.parquet")
-    if done.tree_metadata is not None:
-        sinks.write_parquet(done.tree_metadata, f"{a.out}/tree_metadata.parquet")
-    if done.tree:
-        spark.createDataFrame([(done.tree,)], "newick string").coalesce(1).write.mode("overwrite").text(f"{a.out}/tree.nwk")
+    made = {k: spark.read.parquet(getattr(a, k)) for k in MADE if getattr(a, k)}
+    output.write(done, hits, a.out, made | ({"nucleotide_links": more["ani"]} if more["ani"] is not None else {}))
 
 
 def nucleotide_lengths(ids, contigs):  # noqa: ANN001, ANN201

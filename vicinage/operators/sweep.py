@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vicinage.session import cut
+
 #: Positions a bin of a key holds.
 BIN = 65_536
 #: A key of more than one in HOT rows is hot; there are fewer than HOT such keys, so they can be broadcast.
@@ -29,7 +31,9 @@ def running_max(df: DataFrame, keys: list[str], order: list[str], at: str, value
     """df with the largest value among the rows before, or up to (inclusive), each row of its key in the order, whose
     first column is `at`. Null positions come first."""
     binned = df.withColumn("_bin", F.expr(f"`{at}` div {width} - if(`{at}` < 0 and `{at}` % {width} <> 0, 1, 0)")).withColumn("_value", value)
-    w = W.partitionBy(*keys, "_bin").orderBy(*order).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
+    w = W.partitionBy(*keys, "_bin").orderBy(*order)
+    # rows that are alike in the order count for each other if the row itself counts, whichever of them comes first
+    w = w.rangeBetween(W.unboundedPreceding, W.currentRow) if inclusive else w.rowsBetween(W.unboundedPreceding, -1)
     v = W.partitionBy(*keys).orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
     bins = binned.groupBy(*keys, "_bin").agg(F.max("_value").alias("_m")).withColumn("_before", F.max("_m").over(v)).drop("_m")
     placed = carried(binned.withColumn("_within", F.max("_value").over(w)), keys, bins, "_before")
@@ -38,15 +42,15 @@ def running_max(df: DataFrame, keys: list[str], order: list[str], at: str, value
 
 def islands(df: DataFrame, keys: list[str], start: str, end: str, beyond: int = 0, name: str = "_island", width: int = BIN) -> DataFrame:
     """df with the start of the stretch each row belongs to: a row opens one if it starts more than `beyond` behind the
-    furthest end before it."""
-    reached = running_max(df, keys, [start, end], start, F.col(end), "_reach", False, width)
+    furthest end before it. Each step reads its input twice, so the steps before are written."""
+    reached = running_max(cut(df, "sweep"), keys, [start, end], start, F.col(end), "_reach", False, width)
     opens = F.when(F.col("_reach").isNull() | (F.col(start) - F.col("_reach") > beyond), F.col(start))
-    return running_max(reached.withColumn("_opens", opens), keys, [start, end], start, F.col("_opens"), name, True, width).drop("_reach", "_opens")
+    return running_max(cut(reached.withColumn("_opens", opens), "sweep"), keys, [start, end], start, F.col("_opens"), name, True, width).drop("_reach", "_opens")
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[str], name: str, width: int = BIN) -> DataFrame:
     """df with the place of each row in its key, from 0, in a total order whose first column is a position."""
-    binned = df.withColumn("_bin", F.expr(f"`{order[0]}` div {width} - if(`{order[0]}` < 0 and `{order[0]}` % {width} <> 0, 1, 0)"))
+    binned = cut(df, "sweep").withColumn("_bin", F.expr(f"`{order[0]}` div {width} - if(`{order[0]}` < 0 and `{order[0]}` % {width} <> 0, 1, 0)"))
     w = W.partitionBy(*keys, "_bin").orderBy(*order)
     v = W.partitionBy(*keys).orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
     bins = binned.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(v), F.lit(0))).drop("_n")
