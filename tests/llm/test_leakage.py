@@ -18,7 +18,7 @@ def test_search_finds_every_window(patterns, text):
     want = set()
     for i, p in enumerate(patterns):
         want |= {(at, i) for k in range(len(p) - 4) for at in range(len(text) - 4) if text[at : at + 5] == p[k : k + 5]}
-    places, ids = m.search(code_points(text))
+    places, ids = m.search(code_points(text).tolist())
     assert set(zip(places.tolist(), ids.tolist())) == want
 
 

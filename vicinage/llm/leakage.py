@@ -83,21 +83,22 @@ class WuManber:
         n = len(symbols) - self.block + 1
         h = np.zeros(max(0, n), dtype=np.uint64)
         for k in range(self.block if n > 0 else 0):
-            h = (h + symbols[k : k + n].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        return (h >> np.uint64(16)).astype(np.int64) & 0xFFFFFFFF
+            h = (h * np.uint64(FACTOR) + (symbols[k : k + n].astype(np.int64) + 1).astype(np.uint64)) & np.uint64(LOW)
+        return (h ^ (h >> np.uint64(15))).astype(np.int64)
 
-    def search(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places, ids) of the windows found, in order of place; each window of an id once a place."""
+    def search(self, symbols: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """(places, ids) of the windows found, in order of place; each window of an id once a place. Blocks are hashed
+        where the shifts lead only."""
         m, b, shift, mask = self.length, self.block, self.shift, self.mask
-        n = len(symbols)
-        if n < m or not self:
+        last = len(symbols) - b
+        if last < m - b or not self:
             return _NONE
-        hashes = self.hashes(symbols)
-        slots = (hashes & mask).tolist()
-        at, last, maybe = m - b, n - b, []
+        at, maybe = m - b, []
         while at <= last:
-            s = shift[slots[at]]
+            h = 0
+            for x in symbols[at : at + b]:
+                h = (h * FACTOR + x + 1) & LOW
+            s = shift[(h ^ h >> 15) & mask]
             if s:
                 at += s
             else:
@@ -105,12 +106,15 @@ class WuManber:
                 at += 1
         if not maybe:
             return _NONE
+        symbols = np.array(symbols, dtype=np.int32)
         block = np.array(maybe)
-        lo, hi = (np.searchsorted(self.suffix, hashes[block].astype(np.uint32), side) for side in ("left", "right"))
+        own_blocks = lambda at: self.hashes(symbols[(at[:, None] + np.arange(b)).ravel()])[::b].astype(np.uint32)
+        suffix, prefix = own_blocks(block), own_blocks(block + b - m)
+        lo, hi = (np.searchsorted(self.suffix, suffix, side) for side in ("left", "right"))
         n_each = hi - lo
-        start = np.repeat(block + b - m, n_each)
+        start, prefix = np.repeat(block + b - m, n_each), np.repeat(prefix, n_each)
         window = np.repeat(lo - np.cumsum(n_each) + n_each, n_each) + np.arange(n_each.sum())
-        own = self.prefix[window] == hashes[start].astype(np.uint32)
+        own = self.prefix[window] == prefix
         start, window = start[own], window[own]
         for k in range(m):
             own = self.symbols[self.end[window] - m + 1 + k] == symbols[start + k]
@@ -121,6 +125,8 @@ class WuManber:
         return found[:, 0], found[:, 1]
 
 
+#: Constants of the block hash.
+FACTOR, LOW = 0x9E3779B1, 0xFFFFFFFF
 _NONE = (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
@@ -149,9 +155,9 @@ class Tables:
         out: list[tuple[int, int, int]] = []
         get = self.vocabulary.get
         if self.by_word:
-            out += _summed(*self.by_word.search(np.array([get(w, -1) for w in found], dtype=np.int32)))
+            out += _summed(*self.by_word.search([get(w, -1) for w in found]))
         if self.by_char:
-            out += _summed(*self.by_char.search(code_points(found)))
+            out += _summed(*self.by_char.search(code_points(found).tolist()))
         return out
 
 
