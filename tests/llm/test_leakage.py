@@ -18,7 +18,7 @@ def test_search_finds_every_window(patterns, text):
     want = set()
     for i, p in enumerate(patterns):
         want |= {(at, i) for k in range(len(p) - 4) for at in range(len(text) - 4) if text[at : at + 5] == p[k : k + 5]}
-    places, ids = m.search(code_points(text).tolist())
+    places, ids = m.search(code_points(text))
     assert set(zip(places.tolist(), ids.tolist())) == want
 
 
@@ -70,4 +70,5 @@ def test_tables_are_small():
     t = Tables(items)
     held = sum(x.nbytes for x in (t.by_word.symbols, t.by_word.suffix, t.by_word.prefix, t.by_word.end, t.by_word.ids)) + len(t.by_word.shift)
     assert held <= PER_WORDS * sum(len(x) for *_, x in items) * 1.5
-    assert [i for i, *_ in t.search(" ".join(items[7][2].split()[100:113]))] == [7]
+    part = " ".join(items[7][2].split()[100:113])
+    assert t.search(["x y", "so " + part, part[:-9], part]) == [(1, 7, 1, 1), (3, 7, 0, 1)]

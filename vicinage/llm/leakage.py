@@ -28,6 +28,8 @@ from vicinage.session import cut
 PART = 64_000_000
 PER_WORDS, PER_CHAR = 6, 28
 WORDS, CHARS = 13, 20
+#: Characters of text searched as one run.
+AT_ONCE = 1_000_000
 #: Languages counted in letters and digits (fixed values).
 UNSPACED = ("zh", "ja")
 
@@ -86,19 +88,17 @@ class WuManber:
             h = (h * np.uint64(FACTOR) + (symbols[k : k + n].astype(np.int64) + 1).astype(np.uint64)) & np.uint64(LOW)
         return (h ^ (h >> np.uint64(15))).astype(np.int64)
 
-    def search(self, symbols: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """(places, ids) of the windows found, in order of place; each window of an id once a place. Blocks are hashed
-        where the shifts lead only."""
-        m, b, shift, mask = self.length, self.block, self.shift, self.mask
+    def search(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, ids) of the windows found, in order of place; each window of an id once a place."""
+        m, b, shift = self.length, self.block, self.shift
         last = len(symbols) - b
         if last < m - b or not self:
             return _NONE
+        hashes = self.hashes(symbols)
+        slots = (hashes & self.mask).tolist()
         at, maybe = m - b, []
         while at <= last:
-            h = 0
-            for x in symbols[at : at + b]:
-                h = (h * FACTOR + x + 1) & LOW
-            s = shift[(h ^ h >> 15) & mask]
+            s = shift[slots[at]]
             if s:
                 at += s
             else:
@@ -106,15 +106,13 @@ class WuManber:
                 at += 1
         if not maybe:
             return _NONE
-        symbols = np.array(symbols, dtype=np.int32)
         block = np.array(maybe)
-        own_blocks = lambda at: self.hashes(symbols[(at[:, None] + np.arange(b)).ravel()])[::b].astype(np.uint32)
-        suffix, prefix = own_blocks(block), own_blocks(block + b - m)
+        suffix = hashes[block].astype(np.uint32)
         lo, hi = (np.searchsorted(self.suffix, suffix, side) for side in ("left", "right"))
         n_each = hi - lo
-        start, prefix = np.repeat(block + b - m, n_each), np.repeat(prefix, n_each)
+        start = np.repeat(block + b - m, n_each)
         window = np.repeat(lo - np.cumsum(n_each) + n_each, n_each) + np.arange(n_each.sum())
-        own = self.prefix[window] == prefix
+        own = self.prefix[window] == hashes[start].astype(np.uint32)
         start, window = start[own], window[own]
         for k in range(m):
             own = self.symbols[self.end[window] - m + 1 + k] == symbols[start + k]
@@ -149,21 +147,46 @@ class Tables:
                     by_word.append((ident, np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in found], dtype=np.int32)))
         self.by_word, self.by_char = WuManber(n_words, 2, by_word), WuManber(n_chars, 3, by_char)
 
-    def search(self, text: str) -> list[tuple[int, int, int]]:
-        """(id, first place, windows found) of each test text in a text."""
-        found = words(text)
-        out: list[tuple[int, int, int]] = []
-        get = self.vocabulary.get
+    def search(self, texts: Sequence[str]) -> list[tuple[int, int, int, int]]:
+        """(number of the text, id, first place, windows found) of each test text in the texts. They are searched as one
+        run of symbols, with a symbol between them that no window holds."""
+        found = [words(t) for t in texts]
+        out: list[tuple[int, int, int, int]] = []
         if self.by_word:
-            out += _summed(*self.by_word.search([get(w, -1) for w in found]))
+            get = self.vocabulary.get
+            symbols: list[int] = []
+            starts = []
+            for own in found:
+                starts.append(len(symbols))
+                symbols += [get(w, -1) for w in own]
+                symbols.append(-1)
+            out += _summed(np.array(starts), *self.by_word.search(np.array(symbols, dtype=np.int32)))
         if self.by_char:
-            out += _summed(*self.by_char.search(code_points(found).tolist()))
+            joined = ["".join(own) for own in found]
+            size = np.array([len(x) + 1 for x in joined])
+            out += _summed(np.cumsum(size) - size, *self.by_char.search(code_points("\0".join(joined))))
         return out
 
 
-def _summed(places: np.ndarray, ids: np.ndarray) -> list[tuple[int, int, int]]:
-    which, first, n = np.unique(ids, return_index=True, return_counts=True)
-    return list(zip(which.tolist(), places[first].tolist(), n.tolist(), strict=True))
+def _summed(starts: np.ndarray, places: np.ndarray, ids: np.ndarray) -> list[tuple[int, int, int, int]]:
+    text = np.searchsorted(starts, places, "right") - 1
+    which, first, n = np.unique(np.stack([text, ids], axis=1), axis=0, return_index=True, return_counts=True)
+    return list(zip(which[:, 0].tolist(), which[:, 1].tolist(), (places - starts[text])[first].tolist(), n.tolist(), strict=True))
+
+
+def _runs(texts: Iterable[str | None]) -> Iterator[tuple[list[int], list[str]]]:
+    """(rows, texts) of the texts that aren't empty, some AT_ONCE characters at a time and whole texts always."""
+    rows, held, size = [], [], 0
+    for row, t in enumerate(texts):
+        if t:
+            rows.append(row)
+            held.append(t)
+            size += len(t)
+            if size >= AT_ONCE:
+                yield rows, held
+                rows, held, size = [], [], 0
+    if held:
+        yield rows, held
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", lang: str = "lang", n_words: int = WORDS, n_chars: int = CHARS, part: int = PART) -> DataFrame:
@@ -189,10 +212,10 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
         def scan(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             for batch in batches:
                 at, hits = [], []
-                for row, body in enumerate(batch.column(1).to_pylist()):
-                    if body and (found := held.value.search(body)):
-                        hits += found
-                        at += [row] * len(found)
+                for rows_, texts in _runs(batch.column(1).to_pylist()):
+                    for k, *hit in held.value.search(texts):
+                        at.append(rows_[k])
+                        hits.append(hit)
                 ids, first, count = zip(*hits, strict=True) if hits else ((), (), ())
                 yield pa.record_batch({"key": batch.column(0).take(pa.array(at, pa.int32())), "item": pa.array(ids, pa.int64()), "first_at": pa.array(first, pa.int32()), "n_found": pa.array(count, pa.int32())})
 
