@@ -1,8 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from vicinage import cli
-from vicinage.operators import enrich
+from vicinage.operators import enrich, trees
 from vicinage.plans import config
 
 
@@ -153,3 +154,37 @@ def test_operon_blocks_list_every_feature(spark, sf):
 
     got = more.QUERIES["jn19_operon_blocks"](spark, sf).select("contig", "gene", "protein_id")
     assert rows(got) == rows(feat(spark, sf).select("seqid", "id", "protein_id"))
+
+
+def test_neighbourhood_tree_is_made_in_a_task(spark, sf, monkeypatch):
+    """No leaf and no edge comes to the driver, and the tree is that of all leaves' edges merged there."""
+    from vicinage.plans import more
+    from vicinage.plans.reference import prot
+
+    members = prot(spark, sf).where("genome is not null and family is not null").selectExpr("genome as id", "family as item")
+    names = sorted(r[0] for r in members.select("id").distinct().collect())
+    want = trees.single_linkage(names, trees.minimum_forest(trees.fill_distances(trees.presence_jaccard(members), members, "one")))
+    monkeypatch.setattr(trees, "BLOCK", 9)
+    monkeypatch.setattr(trees, "MERGED", 2)
+    with monkeypatch.context() as m:
+        m.setattr(type(members), "collect", lambda _: pytest.fail("rows on the driver"))
+        tree = more.QUERIES["alg26_neighbourhood_tree"](spark, sf)
+    got = tree.collect()
+    assert [r.n for r in got] == [len(names)]
+    heights = lambda text: sorted((a, b, round(h, 4)) for a, b, h, _ in trees.meetings(text))
+    assert heights(got[0].newick) == heights(want)
+    assert trees.jaccard_tree(members.where("id = 'none'")).first()[:] == (0, ";")
+    assert trees.jaccard_tree(members.where(F.col("id") == names[0])).first()[:] == (1, f"{names[0]};")
+
+
+def test_spanning_keeps_the_first_edges():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    a, b, d = rng.integers(0, 60, 900), rng.integers(0, 60, 900), rng.integers(0, 5, 900) / 4
+    at, want = list(range(60)), []
+    for w, x, y in sorted(zip(d.tolist(), a.tolist(), b.tolist(), strict=True)):
+        if at[x] != at[y]:
+            want.append((x, y, w))
+            at = [at[x] if v == at[y] else v for v in at]
+    assert list(zip(*(v.tolist() for v in trees.spanning(a, b, d)), strict=True)) == want

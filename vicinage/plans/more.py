@@ -141,8 +141,7 @@ def alg21_components(spark: SparkSession, sf: str) -> DataFrame:
 def alg26_neighbourhood_tree(spark: SparkSession, sf: str) -> DataFrame:
     """Single linkage of all contigs that hold a protein with a family, by the families they hold."""
     p = prot(spark, sf).where("genome is not null and family is not null").select(F.col("genome").alias("id"), F.col("family").alias("item"))
-    names = sorted(r[0] for r in p.select("id").distinct().collect())
-    return spark.createDataFrame([(len(names), trees.single_linkage(names, trees.jaccard_forest(p)))], "n int, newick string")
+    return trees.jaccard_tree(p)
 
 
 @query(f"""with {_FEAT} select distinct seqid, label, start, "end" from (select regexp_replace(seqid || '|p_' || id, '\\|.*$', '') as seqid, type as label, min(start) as start, max("end") as "end" from feat where type = 'mobile_element' group by 1, 2)""")
