@@ -73,8 +73,9 @@ def adjusted(df: DataFrame, p: str, tie: list[str], method: str = "BH") -> DataF
         # the least of all later ranks: within blocks of ranks, and carried from block to block
         out = out.withColumn("_block", F.expr(f"_rank div {RANKS}"))
         later = out.groupBy("_block").agg(F.min("p_adj").alias("_least"))
-        later = later.select("_block", F.min("_least").over(W.orderBy("_block").rowsBetween(1, W.unboundedFollowing)).alias("_after"))  # one row a block
-        inside = F.min("p_adj").over(W.partitionBy("_block").orderBy("_rank").rowsBetween(0, W.unboundedFollowing))
+        later = later.select("_block", F.min("_least").over(W.orderBy(F.desc("_block")).rowsBetween(W.unboundedPreceding, -1)).alias("_after"))  # one row a block
+        # from the last rank back: a frame that ends with the partition is worked out anew for each row
+        inside = F.min("p_adj").over(W.partitionBy("_block").orderBy(F.desc("_rank")).rowsBetween(W.unboundedPreceding, W.currentRow))
         out = out.withColumn("_inside", inside).join(later, "_block").withColumn("p_adj", F.least("_inside", "_after")).drop("_block", "_inside", "_after")
     return out.drop("_rank").unionByName(untested)
 
