@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vicinage.functions.stats import adjusted, hypergeometric_tail, score
 from vicinage.operators.enrich import unambiguous
+from vicinage.operators.pairs import sharing
+from vicinage.session import cut
 
 
 def annotate_hits(hits: DataFrame, genomes: DataFrame) -> DataFrame:
@@ -53,17 +56,20 @@ def shared_families(members: DataFrame, max_df_frac: float = 0.2, min_shared: in
     """(a, b, k, k_a, k_b, m[, pval, p_adj, score]) per pair of genomes a < b sharing at least min_shared families.
 
     members: (genome, family). Families in more than ceil(max_df_frac * genomes) genomes are left out first, which also
-    bounds the pairs the join can make.
+    bounds the pairs there can be.
     """
-    once = members.where("genome is not null and family is not null").distinct()
+    once = cut(members.where("genome is not null and family is not null").distinct(), "once")
     n = once.select("genome").distinct().count()
     most = -(-round(n * max_df_frac * 10**9) // 10**9)
     df = once.groupBy("family").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= most)
     m = df.count()
     kept = once.join(df.select("family"), "family", "left_semi")
-    k = kept.groupBy("genome").agg(F.count(F.lit(1)).alias("k"))
-    pairs = kept.select("family", F.col("genome").alias("a")).join(kept.select("family", F.col("genome").alias("b")), "family").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= min_shared)
-    out = pairs.join(k.select(F.col("genome").alias("a"), F.col("k").alias("k_a")), "a").join(k.select(F.col("genome").alias("b"), F.col("k").alias("k_b")), "b").withColumn("m", F.lit(m).cast("bigint"))
+
+    def finish(k, _, k_a, k_b):  # noqa: ANN001, ANN202
+        keep = np.nonzero(k >= min_shared)[0]
+        return keep, {"k": k[keep].astype(np.int64), "k_a": k_a[keep].astype(np.int64), "k_b": k_b[keep].astype(np.int64)}
+
+    out = sharing(kept.select(F.col("genome").alias("id"), F.col("family").alias("item")), finish, "k bigint, k_a bigint, k_b bigint").withColumn("m", F.lit(m).cast("bigint"))
     if method is None:
         return out.select("a", "b", "k", "k_a", "k_b", "m")
     out = adjusted(out.withColumn("pval", hypergeometric_tail("m", "k_a", "k_b", "k")), "pval", ["a", "b"], method)
