@@ -122,6 +122,17 @@ def test_lca(spark):
     assert [r[0] for r in df.select(taxonomy.lca_distance(F.col("a"), F.col("b"))).collect()] == [3.0, 0.0, 2.0, 1e6]
 
 
+def test_leaf_distances_once_for_what_leaves_hang_on(spark):
+    above = {1: [1, 2], 2: [1, 2], 3: [1, 2, 5], 4: [7], 5: [], 100: [1, 2], 200: [1], 300: []}
+    df = spark.createDataFrame([(k, [*v, 1000 + k]) for k, v in above.items()], "id bigint, lineage array<bigint>")
+    lin = df.alias("a").where("id % 100 = 0").crossJoin(df.alias("b"))
+    want = lin.select("a.id", F.col("b.id"), taxonomy.lca_distance(F.col("a.lineage"), F.col("b.lineage")))
+    got = taxonomy.leaf_distances(df, F.col("id") % 100 == 0)
+    assert rows(got) == rows(want) and len(rows(got)) == 3 * len(above)
+    assert "array_intersect" not in got.select("other")._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+    assert taxonomy.leaf_distances(df, F.lit(False)).count() == 0
+
+
 def test_rank_precedence(spark):
     ranks = spark.createDataFrame([(1, "domain", "modern"), (1, "superkingdom", "legacy"), (2, "domain", "Archaea"), (3, "acellular root", "Viruses")], "taxid bigint, rank string, name string")
     recs = spark.createDataFrame([("a", 1, None), ("b", 2, None), ("c", 3, None), ("d", None, None), ("e", 1, True)], "unique_id string, taxid bigint, failed boolean")
