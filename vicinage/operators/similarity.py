@@ -66,10 +66,9 @@ def shared_families(members: DataFrame, max_df_frac: float = 0.2, min_shared: in
     kept = once.join(df.select("family"), "family", "left_semi")
 
     def finish(k, _, k_a, k_b):  # noqa: ANN001, ANN202
-        keep = np.nonzero(k >= min_shared)[0]
-        return keep, {"k": k[keep].astype(np.int64), "k_a": k_a[keep].astype(np.int64), "k_b": k_b[keep].astype(np.int64)}
+        return np.arange(len(k)), {"k": k.astype(np.int64), "k_a": k_a.astype(np.int64), "k_b": k_b.astype(np.int64)}
 
-    out = sharing(kept.select(F.col("genome").alias("id"), F.col("family").alias("item")), finish, "k bigint, k_a bigint, k_b bigint").withColumn("m", F.lit(m).cast("bigint"))
+    out = sharing(kept.select(F.col("genome").alias("id"), F.col("family").alias("item")), finish, "k bigint, k_a bigint, k_b bigint", min_shared).withColumn("m", F.lit(m).cast("bigint"))
     if method is None:
         return out.select("a", "b", "k", "k_a", "k_b", "m")
     out = adjusted(out.withColumn("pval", hypergeometric_tail("m", "k_a", "k_b", "k")), "pval", ["a", "b"], method)
