@@ -1,10 +1,12 @@
+import random
 import time
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from vicinage.operators.packed import Frequent, Model, count_pieces, pieces, shape, split_packed, unquoted, viterbi
+from vicinage.operators import packed
+from vicinage.operators.packed import Frequent, Model, count_pieces, fit, pieces, shape, split_packed, unquoted, viterbi
 
 
 def split(spark, data, **kw):
@@ -118,3 +120,58 @@ def test_many_pieces_without_a_stop():
     found = pieces("|".join(f"p{i}" for i in range(100_000)), False)
     assert sum(v.count("|") + 1 for _, v, _ in viterbi(found, m)) == 100_000
     assert time.perf_counter() - began < 20
+
+
+def mixed():
+    """Lists of rare values, names with a comma that recur, quoted or not, titles of six pieces, and rare keys."""
+    r = random.Random(5)
+    names = [f"Smith{chr(97 + i)}, John" for i in range(6)]
+    out = []
+    for i in range(600):
+        n = r.choice(names)
+        v = [r.choice([n, f'"{n}"', f"k{r.randrange(400)}x", f"{r.randrange(90)}@{r.randrange(9)}|Clade", "a, b; c, d; e, f"]) for _ in range(r.randrange(1, 6))]
+        out.append(f"ID=x{i};Note={','.join(v)};rare{i % 90}={','.join(v[:2])}")
+    return out
+
+
+def test_a_model_too_large_for_one_place_gives_the_same(spark, monkeypatch):
+    for keyed in (True, False):
+        monkeypatch.setattr(packed, "LOCAL", 200_000)
+        one = split(spark, mixed(), keyed=keyed)
+        monkeypatch.setattr(packed, "LOCAL", -1)
+        monkeypatch.setattr(packed, "GROUP", 300)
+        assert len(one) > 1000 and split(spark, mixed(), keyed=keyed) == one
+
+
+def test_every_value_that_recurs_is_known(spark):
+    """However rare it is in the column, and however many pieces it has."""
+    data = [f"a{i}x,b{i}y,c{i}z" for i in range(20_000)] + ['"Smith, John",d1', '"Smith, John",d2', "q7x,Smith, John,r8y"]
+    got = split(spark, data, keyed=False, name="v")
+    assert [r[3] for r in got if r[0] == "20002"] == ["q7x", "Smith, John", "r8y"]
+
+
+def test_every_span_that_recurs_is_counted(spark):
+    """Brute force over spans of any length."""
+    data = [t.split(";rare")[0] for t in mixed()] + ["p1, p2, p3, p4, p5, p6, p7"] * 3
+    want = {}
+    for t in data:
+        found = pieces(t, True)
+        for begun, end, key in packed.segments(found):
+            for i in range(begun, end):
+                for j in range(i + 1, end + 1):
+                    at = key, unquoted(packed.written(found, i, j))
+                    want[at] = want.get(at, 0) + 1
+    got = {}
+    for values in packed.count(spark.createDataFrame([(t,) for t in data], "f string"), True)[1]:
+        for r in values.collect():
+            at = r["key"], unquoted(r["text"])
+            got[at] = got.get(at, 0) + r["n"]
+    assert (None, "p1, p2, p3, p4, p5, p6, p7") in got and got == {v: n for v, n in want.items() if n > 1}
+
+
+def test_every_key_has_a_model(spark):
+    """A key of a few fields in many: the bar parts its values, though it belongs to those of other rare keys."""
+    data = [f"ID=x{i};Name=n{i}" for i in range(70_000)]
+    data += [f"one=a{i}|b{i}" if i % 2 else f"one=c{i}" for i in range(2)] + [f"k{k}=A{i}@{i}|Clade" for k in range(30) for i in range(1)]
+    got = split(spark, data)
+    assert [r[3] for r in got if r[2] == "one"] == ["a1", "b1"]

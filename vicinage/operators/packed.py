@@ -21,20 +21,29 @@ shapes otherwise, so it isn't the sum of weights of its pieces: a known value of
 delimiters, looked at alone, would part. Arcs of unknown values are worked off piece by piece, those of known ones are no
 longer than the longest known one, so a field takes time in proportion to its pieces.
 
-All of the column is counted next to the scan. Of the sums the driver gets those with at least one in HEAVY of all pieces
-(HEAVY rows at most, whatever the column); the rest share one model a key, and keys below this share one key. Values come
-as frequent-item summaries (Misra and Gries), which keep every value of more than two in KEPT pieces.
+All of the column is counted next to the scan, every key, shape and value of it. Pieces are counted first; spans of
+several pieces then by fours, each pass only where the spans of the pass before occur twice or more (a span can't recur
+unless its parts do), as far as any recur. A filter of hashes tells the tasks where, which may let more through and never
+less. What occurs once isn't known. Of what recurs all is, but for spans that save less
+than it takes to spell them once, as two lists that happen to be alike do.
+
+If the sums are few the driver has the model. If not, no place holds all of it: EM over shapes works on classes of shapes
+with the same counts, key by key; EM over values on groups of spans, and the lattice on groups of records, to which a join
+brings what their own pieces ask for. Both ways give the same values.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,21 +53,25 @@ from vicinage.session import cut, drop_table
 #: Characters that may part values (fixed values); blanks around them belong to them.
 DELIMITERS = ";|,\t\n\r"
 FIRST, KEYED, LAST = "^", "=", "$"
-#: Sums of at least one in HEAVY pieces get a model of their own; values of more than two in KEPT are known.
-HEAVY, KEPT, ROUNDS = 65_536, 16_384, 8
-#: Pieces of a span that is counted as a possible value; quoted values may have any number.
-SPAN = 3
+#: Rounds of EM, and the size of a frequent-item summary.
+ROUNDS, KEPT = 8, 16_384
+#: Sums, and letters in them, of a model that the driver holds; records or spans of a group beyond.
+LOCAL, LETTERS, GROUP = 200_000, 32_000_000, 20_000
+#: Bits of a filter of hashes, and by how much spans get longer from pass to pass.
+BITS, LONGER = 1 << 20, 4
 #: Sums a task holds before it passes them on.
 HELD = 100_000
 #: Weight of a known value's frequency, and the cost of a letter of a value that isn't known.
 KNOWN, LETTER = 0.5, math.log(50)
-REST = "\x00rest"
 
 _STOP = re.compile(r"[^\S\t\n\r]*(?:([;,|\t\n\r])|$)")
+_STOPS = re.compile(r"[;,|\t\n\r]")
 _BLANKS = re.compile(r"\s*")
 _BRACKET = re.compile(r"[\[\]]")
 _OPEN = re.compile(r"""\s*([A-Za-z_][\w.:-]*)(?:\s*=\s*|\s+(?=["']))""")
 _QUOTED = {q: re.compile(rf"{q}(?:[^{q}]|{q}{q})*{q}(?=\s*(?:[;,|\t\n\r\]]|$))") for q in "\"'"}
+#: Fields with a piece behind a delimiter and without a key of its own, and perhaps some more (Java's).
+_HIDDEN = r"""[;|,\t\n\r]\s*(?![A-Za-z_][A-Za-z0-9_.:-]*(\s*=|\s+["']))[^;|,\s\]]"""
 _RUNS = re.compile(r"w(?:[ _.'/-]?[w9])*|9+| +")
 
 
@@ -122,55 +135,57 @@ def _letters(text: str) -> float:
     return LETTER * len(text)
 
 
+def shape_model(rows: list[tuple[dict[str, int], int]], rounds: int = ROUNDS) -> tuple[dict[str, float], np.ndarray, np.ndarray]:
+    """theta by delimiter, and begin and carry of each row, of one key by EM. rows: (n by delimiter, shapes that have these)."""
+    # the weight of one made-up count keeps unseen shapes possible, and less likely to carry on than to begin
+    floor_begin, floor_carry = 1e-4, 1e-5
+    behind = sorted({d for r, _ in rows for d in r} - {FIRST, KEYED})
+    own = np.array([[r.get(d, 0) for d in behind] for r, _ in rows], float).reshape(len(rows), len(behind))
+    sure = np.array([r.get(FIRST, 0) + r.get(KEYED, 0) for r, _ in rows], float)
+    like = np.array([m for _, m in rows], float)
+    total = (like * sure).sum()
+    theta = np.full(len(behind), 0.5)
+    begin = np.maximum(sure / total if total else np.full(len(rows), 1 / like.sum()), floor_begin)
+    carry = np.full(len(rows), 1 / 512)
+    every, of_delimiter = own.sum(1), like @ own
+    for _ in range(rounds):
+        p, q = theta * begin[:, None], (1 - theta) * carry[:, None]
+        e = own * p / (p + q)
+        b, c = sure + e.sum(1), every - e.sum(1)
+        begin = np.maximum(b / ((like * b).sum() or 1), floor_begin)
+        carry = np.maximum(c / ((like * c).sum() or 1), floor_carry)
+        theta = (like @ e + 0.5) / (of_delimiter + 1)
+    return dict(zip(behind, theta.tolist(), strict=True)), begin, carry
+
+
 class Model:
     """theta, begin, carry and freq of one column, by EM.
 
     counts: (key, delimiter, shape) -> n; values: (key, delimiter before, delimiter behind, text) -> n.
     """
 
-    def __init__(self, counts: dict[tuple, int], values: dict[tuple, int] | None = None, rounds: int = ROUNDS) -> None:
+    def __init__(self, counts: dict[tuple, int] | None = None, values: dict[tuple, int] | None = None, rounds: int = ROUNDS) -> None:
         self._weights: dict[tuple, tuple[float, float]] = {}
-        anchored, hidden = Counter(), Counter()
-        for (key, delimiter, s), n in counts.items():
-            (anchored if delimiter in (FIRST, KEYED) else hidden)[(key, delimiter, s)] += n
-        self.keys = {k for k, _, _ in counts}
         self.theta: dict[tuple, float] = {}
-        self.begin: dict[str | None, dict[str, float]] = {}
-        self.carry: dict[str | None, dict[str, float]] = {}
-        # the weight of one made-up count keeps unseen shapes possible, and less likely to carry on than to begin
-        floor_begin, floor_carry = 1e-4, 1e-5
-        by_key: dict = {k: (Counter(), []) for k in self.keys}
-        for (k, _, s), n in anchored.items():
-            by_key[k][0][s] += n
-        for (k, d, s), n in hidden.items():
-            by_key[k][1].append((d, s, n))
-        for key, (sure, own) in by_key.items():
-            theta = {d: 0.5 for d, _, _ in own}
-            shapes = {s for _, s, _ in own} | set(sure)
-            total = sum(sure.values())
-            begin = {s: max(sure[s] / total if total else 1 / len(shapes), floor_begin) for s in shapes}
-            carry = {s: 1 / 512 for s in shapes}
-            for _ in range(rounds):
-                b, c = Counter({s: float(n) for s, n in sure.items()}), Counter()
-                tb, tn = Counter(), Counter()
-                for d, s, n in own:
-                    p, q = theta[d] * begin[s], (1 - theta[d]) * carry[s]
-                    e = n * p / (p + q)
-                    b[s] += e
-                    c[s] += n - e
-                    tb[d] += e
-                    tn[d] += n
-                sb, sc = sum(b.values()) or 1, sum(c.values()) or 1
-                begin = {s: max(b[s] / sb, floor_begin) for s in shapes}
-                carry = {s: max(c[s] / sc, floor_carry) for s in shapes}
-                theta = {d: (tb[d] + 0.5) / (tn[d] + 1) for d in theta}
-            for d, t in theta.items():
-                self.theta[(key, d)] = t
-            self.begin[key], self.carry[key] = begin, carry
+        self.begin: dict[tuple, float] = {}
+        self.carry: dict[tuple, float] = {}
         self.freq: dict[tuple, float] = {}
         #: known values of several pieces by their first piece, and the most pieces of one
         self.starts: dict[tuple, int] = {}
-        self._learn(values or {}, sum(counts.values()) or 1, rounds)
+        by_key: dict = {}
+        for (key, delimiter, s), n in (counts or {}).items():
+            of = by_key.setdefault(key, {}).setdefault(s, {})
+            of[delimiter] = of.get(delimiter, 0) + n
+        for key, of in by_key.items():
+            theta, begin, carry = shape_model([(r, 1) for r in of.values()], rounds)
+            self.theta |= {(key, d): t for d, t in theta.items()}
+            self.begin |= {(key, s): x for s, x in zip(of, begin.tolist(), strict=True)}
+            self.carry |= {(key, s): x for s, x in zip(of, carry.tolist(), strict=True)}
+        seen: Counter = Counter()
+        for (key, before, behind, text), n in (values or {}).items():
+            several = len(pieces(text, False)) > 1
+            seen[(key, text if several else unquoted(text), several)] += n * self.parts(key, before) * self.parts(key, behind)
+        self.learn(seen, sum((counts or {}).values()) or 1, rounds)
 
     def parts(self, key: str | None, delimiter: str) -> float:
         """How likely the delimiter parts values of the key."""
@@ -178,30 +193,41 @@ class Model:
             return 1.0
         return min(max(self.theta.get((key, delimiter), 0.5), 1e-6), 1 - 1e-6)
 
-    def _learn(self, values: dict[tuple, int], total: int, rounds: int) -> None:
-        """EM over whole values: each round weighs what was counted by the delimiters around it and by its lattice."""
-        rows = []
-        for (key, before, behind, text), n in values.items():
+    def learn(self, seen: dict[tuple, float], total: int, rounds: int = ROUNDS) -> Counter:
+        """EM over whole values: each round weighs spans of several pieces by the lattice of the round before. Gives how
+        often each value is expected. seen: (key, text, of several pieces) -> n, weighed by the delimiters around it."""
+        sure: Counter = Counter()
+        spans = []
+        for (key, text, several), n in seen.items():
+            if several:
+                spans.append((key, text, n, pieces(text, False)))
+            else:
+                sure[(key, text)] += n
+        expected = sure
+        for i in range(rounds if spans else 1):
+            self.know({v: math.log(KNOWN * n / total) for v, n in expected.items() if n >= 1.5})
+            expected, kept = Counter(sure), []
+            for span in spans:
+                key, text, n, found = span
+                apart = self.total(key, found, False)
+                one = self.arc(key, found, 0, len(found)) if i else math.log(KNOWN * n / total)
+                # a span that recurs by chance saves less than it takes to spell it once; what is known later only adds to apart
+                if n >= 1.5 and n * (math.log(KNOWN * n / total) - apart) > _letters(text):
+                    kept.append(span)
+                    expected[(key, text)] += n * math.exp(one - _add(one, apart))
+            spans = kept
+        self.know({v: math.log(KNOWN * n / total) for v, n in expected.items() if n >= 1.5})
+        return expected
+
+    def know(self, freq: dict[tuple, float]) -> None:
+        self.freq, self.starts = freq, {}
+        for key, text in freq:
+            if not _STOPS.search(text):
+                continue
             found = pieces(text, False)
-            rows.append((key, text, n * self.parts(key, before) * self.parts(key, behind), found, text[:1] == '"' or len(found) < 2))
-        for _ in range(rounds):
-            expected: Counter = Counter()
-            for key, text, n, found, atomic in rows:
-                if atomic:
-                    expected[(key, unquoted(text))] += n
-                    continue
-                one, every = self.arc(key, found, 0, len(found)), self.total(key, found)
-                expected[(key, text)] += n * math.exp(min(0.0, one - every))
-            self.freq = {v: math.log(KNOWN * n / total) for v, n in expected.items() if n * KEPT >= total and n >= 1.5}
-            self.starts = {}
-            for key, text in self.freq:
-                found = pieces(text, False)
-                if len(found) > 1:
-                    at = (key, found[0][2])
-                    self.starts[at] = max(self.starts.get(at, 0), len(found))
-
-    def key(self, key: str | None) -> str | None:
-        return key if key in self.keys else REST
+            if len(found) > 1:
+                at = (key, found[0][2])
+                self.starts[at] = max(self.starts.get(at, 0), len(found))
 
     def weights(self, key: str | None, delimiter: str, text: str) -> tuple[float, float]:
         """Log-likelihoods of a piece that begins an unknown value, and of one that carries on."""
@@ -209,8 +235,8 @@ class Model:
         known = self._weights.get(at)
         if known is None:
             t, s = self.parts(key, delimiter), at[2]
-            b, c = self.begin.get(key, {}), self.carry.get(key, {})
-            known = math.log(t * b.get(s, b.get(REST, 1e-4))), math.log((1 - t) * c.get(s, c.get(REST, 1e-5))) if t < 1 else -math.inf
+            b, c = self.begin.get((key, s), 1e-4), self.carry.get((key, s), 1e-5)
+            known = math.log(t * b), math.log((1 - t) * c) if t < 1 else -math.inf
             if len(self._weights) < HELD:
                 self._weights[at] = known
         return known
@@ -229,12 +255,12 @@ class Model:
         known = self.known(key, found, i, j)
         return unknown if known is None else _add(unknown, known)
 
-    def total(self, key: str | None, found: list) -> float:
-        """Log-likelihood of the pieces over all splits; for the few pieces of a counted span."""
+    def total(self, key: str | None, found: list, whole: bool = True) -> float:
+        """Log-likelihood of the pieces over all splits, or those into several values; for the pieces of a counted span."""
         n = len(found)
         sums = [0.0] + [-math.inf] * n
         for j in range(1, n + 1):
-            for i in range(j):
+            for i in range(0 if whole or j < n else 1, j):
                 sums[j] = _add(sums[j], sums[i] + self.arc(key, found, i, j))
         return sums[n]
 
@@ -265,7 +291,7 @@ def viterbi(found: list, model: Model) -> list[tuple[str | None, str, bool]]:
     open_score, open_at = -math.inf, 0
     for i in range(n):
         delimiter, own, text = found[i][:3]
-        k = model.key(keys[i])
+        k = keys[i]
         sure = i == 0 or own is not None
         if sure and (i + 1 == n or found[i + 1][1] is not None):  # a piece between two certain places is a value
             best[i + 1], back[i + 1], open_score = best[i], i, -math.inf
@@ -315,68 +341,236 @@ class Frequent:
             self.trim()
 
 
-def spans(found: list, whole: bool) -> Iterator[tuple]:
-    """(key, delimiter before, delimiter behind, text) of what may be a value: each piece, and up to SPAN pieces in a row
-    that have no key between them. whole: also pieces alone between two certain places."""
-    key, n = None, len(found)
-    for i, (before, own, text, _, _) in enumerate(found):
-        key = own if own is not None else key
-        before = KEYED if own is not None and before != FIRST else before
-        if not whole and before in (FIRST, KEYED) and (i + 1 == n or found[i + 1][1] is not None):
-            continue
-        for j in range(i + 1, min(n, i + SPAN) + 1):
-            behind = LAST if j == n or found[j][1] is not None else found[j][0]
-            yield key, before, behind, text
-            if behind == LAST:
-                break
-            text += found[j][3] + found[j][2]
+def segments(found: list) -> Iterator[tuple[int, int, str | None]]:
+    """(from, to, key) of the pieces from one certain place to the next."""
+    begun, key = 0, None
+    for i, (_, own, *_) in enumerate(found):
+        if own is not None:
+            if i:
+                yield begun, i, key
+            begun, key = i, own
+    if found:
+        yield begun, len(found), key
 
 
-def count_pieces(batches: Iterator[pa.RecordBatch], keyed: bool) -> Iterator[pa.RecordBatch]:
-    """Sums over a partition's fields: (key, delimiter, shape) with its count, and (key, delimiter, text, behind) of
-    frequent values."""
-    counts: Counter = Counter()
-    often = Frequent()
+def _around(found: list, i: int, j: int, end: int) -> tuple[str, str]:
+    """The delimiters before and behind pieces i..j-1 of a segment that ends before piece `end`."""
+    before = KEYED if found[i][1] is not None and found[i][0] != FIRST else found[i][0]
+    return before, LAST if j == end else found[j][0]
+
+
+def _hash(key: str | None, text: str) -> int:
+    return zlib.crc32(f"{key or ''}\x00{text}".encode()) % BITS
+
 
-    def sums() -> pa.RecordBatch:
-        return pa.record_batch({"key": pa.array([k for k, _, _ in counts], pa.string()), "delimiter": [d for _, d, _ in counts], "behind": pa.array([None] * len(counts), pa.string()), "text": [s for _, _, s in counts], "n": pa.array(list(counts.values()), pa.int64())})
+def _sums(counts: Counter, values: bool) -> pa.RecordBatch:
+    """(key, delimiter, behind, text, n) of (key, delimiter, shape), or with `values` of (key, before, behind, text)."""
+    rows = list(counts)
+    behind = [r[2] for r in rows] if values else [None] * len(rows)
+    return pa.record_batch({"key": pa.array([r[0] for r in rows], pa.string()), "delimiter": pa.array([r[1] for r in rows], pa.string()), "behind": pa.array(behind, pa.string()), "text": pa.array([r[-1] for r in rows], pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
 
+
+def count_pieces(batches: Iterator[pa.RecordBatch], keyed: bool) -> Iterator[pa.RecordBatch]:
+    """Sums over a partition's fields: (key, delimiter, shape) with its count, and (key, delimiter, behind, text) of the
+    pieces of fields that have several."""
+    counts: Counter = Counter()
+    values: Counter = Counter()
     for batch in batches:
         for field in batch.column(0).to_pylist():
             found = pieces(field, keyed)
-            key = None
-            for delimiter, own, text, _, quoted in found:
-                key = own if own is not None else key
-                counts[(key, KEYED if own is not None and delimiter != FIRST else delimiter, shape(unquoted(text) if quoted else text))] += 1
-            if len(found) > 1:
-                often.update(list(spans(found, keyed)))
-        if len(counts) > HELD:
-            yield sums()
-            counts.clear()
-    if counts:
-        yield sums()
-    often.trim()
-    if often.counts:
-        rows = list(often.counts)
-        yield pa.record_batch({"key": pa.array([r[0] for r in rows], pa.string()), "delimiter": [r[1] for r in rows], "behind": pa.array([r[2] for r in rows], pa.string()), "text": [r[3] for r in rows], "n": pa.array([often.counts[r] for r in rows], pa.int64())})
-
-
-def fit(fields: DataFrame, keyed: bool = True) -> Model:
-    """The model of a column; fields: one string column. All of it is counted; the driver gets the bounded sums."""
-    parts = fields.mapInArrow(lambda bs: count_pieces(bs, keyed), "key string, delimiter string, behind string, text string, n bigint")
-    table = cut(parts.groupBy("key", "delimiter", "behind", "text").agg(F.sum("n").alias("n")), "pieces")
-    of_shapes, of_values = table.where("behind is null"), table.where("behind is not null")
-    total = of_shapes.agg(F.sum("n")).first()[0] or 0
-    often = F.col("n") * HEAVY >= total
-    keys = {r[0] for r in of_shapes.groupBy("key").agg(F.sum("n").alias("n")).where(often).select("key").collect()}
-    known = F.when(F.col("key").isNull() | F.col("key").isin(*[k for k in keys if k is not None]), F.col("key")).otherwise(REST)
-    # shapes too rare for a row of their own are one shape of their key
-    merged = of_shapes.withColumn("key", known).withColumn("text", F.when(often, F.col("text")).otherwise(REST)).groupBy("key", "delimiter", "text").agg(F.sum("n").alias("n"))
-    counts = {(r["key"], r["delimiter"], r["text"]): r["n"] for r in merged.collect()}
-    values = of_values.withColumn("key", known).where(F.col("n") * 4 * KEPT >= total)
-    found = {(r["key"], r["delimiter"], r["behind"], r["text"]): r["n"] for r in values.collect()}
-    drop_table(table)
-    return Model(counts, found)
+            for begun, end, key in segments(found):
+                for i in range(begun, end):
+                    delimiter, own, text, _, quoted = found[i]
+                    counts[(key, KEYED if own is not None and delimiter != FIRST else delimiter, shape(unquoted(text) if quoted else text))] += 1
+                    if len(found) > 1:
+                        values[(key, *_around(found, i, i + 1, end), text)] += 1
+            for held, of_values in ((counts, False), (values, True)):
+                if len(held) > HELD:
+                    yield _sums(held, of_values)
+                    held.clear()
+    for held, of_values in ((counts, False), (values, True)):
+        if held:
+            yield _sums(held, of_values)
+
+
+def count_spans(batches: Iterator[pa.RecordBatch], keyed: bool, short: int, often: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(key, delimiter, behind, text, n) of the spans of more than `short` pieces, up to LONGER times that, whose spans of
+    `short` pieces all recur. often: the hashes of these."""
+    values: Counter = Counter()
+    for batch in batches:
+        for field in batch.column(0).to_pylist():
+            found = pieces(field, keyed)
+            for begun, end, key in segments(found):
+                if end - begun <= short:
+                    continue
+                recurs = [often[_hash(key, written(found, i, i + short))] for i in range(begun, end - short + 1)]
+                for i in range(begun, end - short):
+                    if not recurs[i - begun]:
+                        continue
+                    for j in range(i + short + 1, min(end, i + LONGER * short) + 1):
+                        if not recurs[j - short - begun]:
+                            break
+                        values[(key, *_around(found, i, j, end), written(found, i, j))] += 1
+                    if len(values) > HELD:
+                        yield _sums(values, True)
+                        values.clear()
+    if values:
+        yield _sums(values, True)
+
+
+_COUNTED = "key string, delimiter string, behind string, text string, n bigint"
+
+
+def _recurring(values: DataFrame) -> DataFrame:
+    """Of counted values those that occur at least twice, with quotes or without."""
+    text = F.col("text")
+    inner = reduce(lambda c, q: F.when((F.length(text) > 1) & text.startswith(q) & text.endswith(q), F.btrim(F.replace(F.expr("substring(text, 2, length(text) - 2)"), F.lit(q + q), F.lit(q)))).otherwise(c), "\"'", text)
+    same = values.groupBy("key", inner.alias("_value")).agg(F.sum("n").alias("_n"), F.collect_list(F.struct("delimiter", "behind", "text", "n")).alias("_each"))
+    return same.where("_n > 1").select("key", F.inline("_each"))
+
+
+def _filter(keyed_texts: DataFrame) -> np.ndarray | None:
+    """A filter of the hashes of (key, text), BITS at most; None if there are no rows."""
+    found = keyed_texts.select(F.pmod(F.crc32(F.concat(F.coalesce("key", F.lit("")), F.lit("\x00"), "text").cast("binary")), F.lit(BITS)).cast("int").alias("h")).distinct().toArrow()
+    if not found.num_rows:
+        return None
+    bits = np.zeros(BITS, bool)
+    bits[found["h"].to_numpy()] = True
+    return bits
+
+
+def count(fields: DataFrame, keyed: bool) -> tuple[DataFrame, list[DataFrame]]:
+    """(key, delimiter, text, n) of all shapes, and (key, delimiter, behind, text, n) of all values that occur at least
+    twice, pass by pass."""
+    table = cut(fields.mapInArrow(lambda bs: count_pieces(bs, keyed), _COUNTED).groupBy("key", "delimiter", "behind", "text").agg(F.sum("n").alias("n")), "pieces")
+    shapes, of_pieces = table.where("behind is null").drop("behind"), table.where("behind is not null")
+    values, short = [cut(_recurring(of_pieces), "values")], 1
+    hidden = fields.where(F.col(fields.columns[0]).rlike(_HIDDEN)) if keyed else fields
+    # the longest spans of a pass tell where the next has to look
+    while (often := _filter(values[-1].where(F.col("pieces") == short) if short > 1 else values[-1])) is not None:
+        longer = hidden.mapInArrow(lambda bs, n=short, o=often: count_spans(bs, keyed, n, o), _COUNTED)
+        short *= LONGER
+        found = _recurring(longer.groupBy("key", "delimiter", "behind", "text").agg(F.sum("n").alias("n")))
+        values.append(cut(found.mapInArrow(_with_pieces, _COUNTED + ", pieces int"), "values"))
+    return shapes, [v.drop("pieces") for v in values]
+
+
+def _with_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield b.append_column("pieces", pa.array([len(pieces(t, False)) for t in b.column("text").to_pylist()], pa.int32()))
+
+
+def fit(fields: DataFrame, keyed: bool = True) -> Model | DataFrame:
+    """The model of a column; fields: one string column. If it is too large for one place, the table of its entries:
+    (key, kind, text, x, y) of delimiters (theta), shapes (begin and carry) and values (log-frequency)."""
+    shapes, passes = count(fields, keyed)
+    values = reduce(DataFrame.unionByName, passes)
+    size = lambda df: df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    rows, letters = map(sum, zip(size(shapes), size(values), strict=True))
+    if rows > LOCAL or letters > LETTERS:
+        return entries(shapes, values)
+    counts = {(r["key"], r["delimiter"], r["text"]): r["n"] for r in shapes.collect()}
+    return Model(counts, {(r["key"], r["delimiter"], r["behind"], r["text"]): r["n"] for r in values.collect()})
+
+
+_ENTRY = "key string, kind string, text string, x double, y double"
+
+
+def _classes(key: tuple, t: pa.Table) -> pa.Table:
+    """Entries of a key's delimiters, and of its classes of shapes under their counts."""
+    rows = [(json.loads(s), m) for s, m in zip(t["same"].to_pylist(), t["m"].to_pylist(), strict=True)]
+    theta, begin, carry = shape_model([({d: n for d, n in r}, m) for r, m in rows])
+    n = len(theta)
+    return pa.table({"key": pa.array([key[0].as_py()] * (n + len(rows)), pa.string()), "kind": ["d"] * n + ["c"] * len(rows), "text": pa.array([*theta, *t["same"].to_pylist()], pa.string()), "x": pa.array([*theta.values(), *begin], pa.float64()), "y": pa.array([0.0] * n + [*carry], pa.float64())})
+
+
+def entries(shapes: DataFrame, values: DataFrame) -> DataFrame:
+    """The entries of a model; every step takes a bounded part of them at a time."""
+    total = shapes.agg(F.sum("n")).first()[0] or 1
+    keyed = F.coalesce("key", F.lit("")).alias("key")
+    # shapes of a key with the same counts have the same weights
+    same = shapes.groupBy(keyed, "text").agg(F.to_json(F.sort_array(F.collect_list(F.array("delimiter", F.col("n").cast("string"))))).alias("same"))
+    same = cut(same.withColumn("same", F.regexp_replace("same", r'"(\d+)"\]', r"$1]")), "classes")
+    learned = cut(same.groupBy("key", "same").agg(F.count(F.lit(1)).alias("m")).groupBy("key").applyInArrow(_classes, _ENTRY), "entries")
+    of_shapes = same.join(learned.where("kind = 'c'").select("key", F.col("text").alias("same"), "x", "y"), ["key", "same"]).select("key", F.lit("s").alias("kind"), "text", "x", "y")
+    theta = learned.where("kind = 'd'")
+    # values weighed by the delimiters around them
+    w = values.withColumn("key", keyed)
+    for side in ("delimiter", "behind"):
+        w = w.join(theta.select("key", F.col("text").alias(side), F.col("x").alias(f"_{side}")), ["key", side], "left")
+    part = lambda side: F.when(F.col(side).isin(FIRST, KEYED, LAST), F.lit(1.0)).otherwise(F.least(F.greatest(F.coalesce(f"_{side}", F.lit(0.5)), F.lit(1e-6)), F.lit(1 - 1e-6)))
+
+    def bare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column("text").to_pylist()
+            several = [len(pieces(t, False)) > 1 for t in texts]
+            yield pa.record_batch({"key": b.column("key"), "kind": ["m" if s else "o" for s in several], "text": pa.array([t if s else unquoted(t) for t, s in zip(texts, several, strict=True)], pa.string()), "x": b.column("w")})
+
+    w = w.select("key", "text", (F.col("n") * part("delimiter") * part("behind")).alias("w")).mapInArrow(bare, "key string, kind string, text string, x double")
+    seen = cut(w.groupBy("key", "kind", "text").agg(F.sum("x").alias("x")), "seen").withColumn("y", F.lit(0.0))
+    given = cut(of_shapes.unionByName(theta).unionByName(seen), "entries")
+    # spans of several pieces by EM, each with all spans within it
+    spans = seen.where("kind = 'm'").select(F.col("key").alias("rec"), "text")
+
+    def ask(key: str, text: str) -> set:
+        found = pieces(text, False)
+        out = {(key, "d", d) for d in DELIMITERS} | {(key, "s", shape(unquoted(f[2]))) for f in found}
+        within = {unquoted(written(found, i, j)) for i in range(len(found)) for j in range(i + 1, len(found) + 1)}
+        return out | {(key, kind, v) for v in within for kind in "om"}
+
+    def expect(items: pa.Table, model: Model, seen: dict) -> pa.Table:
+        n = model.learn(seen, total)
+        got = [n[(k or None, t)] for k, t in zip(items["rec"].to_pylist(), items["text"].to_pylist(), strict=True)]
+        return pa.table({"key": items["rec"], "text": items["text"], "x": pa.array(got, pa.float64())})
+
+    several = _by_group(spans, ask, given, expect, "key string, text string, x double")
+    alone = seen.where("kind = 'o'").join(spans.select(F.col("rec").alias("key"), "text"), ["key", "text"], "left_anti").select("key", "text", "x")
+    known = several.unionByName(alone).where("x >= 1.5").select("key", F.lit("v").alias("kind"), "text", F.log(F.col("x") * (KNOWN / total)).alias("x"), F.lit(0.0).alias("y"))
+    return cut(of_shapes.unionByName(theta).unionByName(known), "entries")
+
+
+def _by_group(items: DataFrame, ask: Callable, table: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """run(items, model, counts of values) over groups of items (rec, text), each with the entries that ask(rec, text) names."""
+    groups = max(1, -(-items.count() // GROUP))
+    items = items.select("rec", "text", F.pmod(F.xxhash64("rec", "text"), F.lit(groups)).cast("int").alias("g"))
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in range(0, b.num_rows, 1000):
+                x = b.slice(part, 1000)
+                rows = list({(g, *e) for r, t, g in zip(*(c.to_pylist() for c in x.columns), strict=True) for e in ask(r, t)})
+                yield pa.record_batch({n: pa.array([r[i] for r in rows], pa.int32() if n == "g" else pa.string()) for i, n in enumerate(("g", "key", "kind", "text"))})
+
+    wanted = items.mapInArrow(asked, "g int, key string, kind string, text string").distinct().join(table, ["key", "kind", "text"])
+
+    def both(left: pa.Table, right: pa.Table) -> pa.Table:
+        model, seen, freq = Model(), {}, {}
+        for key, kind, text, x, y in zip(*(right[c].to_pylist() for c in ("key", "kind", "text", "x", "y")), strict=True):
+            k = key or None
+            if kind == "d":
+                model.theta[(k, text)] = x
+            elif kind == "s":
+                model.begin[(k, text)], model.carry[(k, text)] = x, y
+            elif kind == "v":
+                freq[(k, text)] = x
+            else:
+                seen[(k, text, kind == "m")] = x
+        model.know(freq)
+        return run(left, model, seen)
+
+    return items.groupBy("g").cogroup(wanted.groupBy("g")).applyInArrow(both, schema)
+
+
+def _long(table: DataFrame) -> tuple[np.ndarray | None, int]:
+    """A filter of the first pieces of known values of several, and the most pieces of one."""
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(k, f[0][2], len(f)) for k, t in zip(b.column("key").to_pylist(), b.column("text").to_pylist(), strict=True) if len(f := pieces(t, False)) > 1]
+            yield pa.record_batch({"key": pa.array([r[0] for r in rows], pa.string()), "text": pa.array([r[1] for r in rows], pa.string()), "n": pa.array([r[2] for r in rows], pa.int32())})
+
+    found = cut(table.where("kind = 'v'").select("key", "text").mapInArrow(firsts, "key string, text string, n int"), "firsts")
+    return _filter(found), found.agg(F.max("n")).first()[0] or 1
 
 
 def split_packed(df: DataFrame, key: Column | str, field: str, name: str | None = None, keyed: bool = True) -> DataFrame:
@@ -389,27 +583,48 @@ def split_packed(df: DataFrame, key: Column | str, field: str, name: str | None
     Rows with a null key or field give nothing; rows alike in both count once; other columns don't matter; an empty
     table gives no rows.
     """
-    rows = df.select((F.col(key) if isinstance(key, str) else key).cast("string").alias("rec_key"), F.col(field).alias("field")).where("rec_key is not null and field is not null")
+    rows = df.select((F.col(key) if isinstance(key, str) else key).cast("string").alias("rec"), F.col(field).alias("text")).where("rec is not null and text is not null")
     # a field without a delimiter between two texts has one value at most
-    core = F.btrim("field", F.lit(DELIMITERS + "[] "))
-    rows = rows.where(reduce(Column.__or__, [F.contains(core, F.lit(d)) for d in DELIMITERS]))
-    model = fit(rows.select("field"), keyed)
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            recs, pos, names, values = [], [], [], []
-            for rec, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = pieces(text, keyed)
-                if len(found) < 2:
-                    continue
-                units = [(k, unquoted(v) if q else v) for k, v, q in viterbi(found, model)]
-                units = [(k, v) for k, v in units if v]
-                if len(units) > 1:
-                    for i, (k, v) in enumerate(units, 1):
-                        recs.append(rec)
-                        pos.append(i)
-                        names.append(k if keyed else name)
-                        values.append(v)
-            yield pa.record_batch({"rec_key": pa.array(recs, pa.string()), "pos": pa.array(pos, pa.int32()), "attr_name": pa.array(names, pa.string()), "item_value": pa.array(values, pa.string())})
-
-    return rows.distinct().mapInArrow(split, "rec_key string, pos int, attr_name string, item_value string")
+    core = F.btrim("text", F.lit(DELIMITERS + "[] "))
+    rows = cut(rows.where(reduce(Column.__or__, [F.contains(core, F.lit(d)) for d in DELIMITERS])).distinct(), "packed")
+    model = fit(rows.select("text"), keyed)
+    schema = "rec_key string, pos int, attr_name string, item_value string"
+
+    def split(recs: list, texts: list, model: Model) -> dict[str, pa.Array]:
+        ids, pos, names, values = [], [], [], []
+        for rec, text in zip(recs, texts, strict=True):
+            found = pieces(text, keyed)
+            if len(found) < 2:
+                continue
+            units = [(k, unquoted(v) if q else v) for k, v, q in viterbi(found, model)]
+            units = [(k, v) for k, v in units if v]
+            if len(units) > 1:
+                for i, (k, v) in enumerate(units, 1):
+                    ids.append(rec)
+                    pos.append(i)
+                    names.append(k if keyed else name)
+                    values.append(v)
+        return {"rec_key": pa.array(ids, pa.string()), "pos": pa.array(pos, pa.int32()), "attr_name": pa.array(names, pa.string()), "item_value": pa.array(values, pa.string())}
+
+    def split_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch(split(b.column(0).to_pylist(), b.column(1).to_pylist(), model))
+
+    if isinstance(model, Model):
+        return rows.mapInArrow(split_all, schema)
+    first, longest = _long(model)
+
+    def ask(_: str, text: str) -> set:
+        out, found = set(), pieces(text, keyed)
+        for begun, end, k in segments(found):
+            if end == begun + 1:
+                continue
+            k = k or ""
+            out |= {(k, "d", d) for d in DELIMITERS}
+            for i in range(begun, end):
+                out |= {(k, "s", shape(unquoted(found[i][2]))), (k, "v", unquoted(found[i][2]))}
+                if first is not None and first[_hash(k, found[i][2])]:
+                    out |= {(k, "v", written(found, i, j)) for j in range(i + 2, min(end, i + longest) + 1)}
+        return out
+
+    return _by_group(rows, ask, model, lambda items, m, _: pa.table(split(items["rec"].to_pylist(), items["text"].to_pylist(), m)), schema)
