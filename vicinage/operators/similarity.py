@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vicinage.functions.stats import adjusted, hypergeometric_tail, score
+from vicinage.functions.stats import Tails, adjusted, score
 from vicinage.operators.enrich import unambiguous
 from vicinage.operators.pairs import sharing
 from vicinage.session import cut
@@ -65,13 +65,20 @@ def shared_families(members: DataFrame, max_df_frac: float = 0.2, min_shared: in
     m = df.count()
     kept = once.join(df.select("family"), "family", "left_semi")
 
+    tails = Tails(m)
+
     def finish(k, _, k_a, k_b):  # noqa: ANN001, ANN202
-        return np.arange(len(k)), {"k": k.astype(np.int64), "k_a": k_a.astype(np.int64), "k_b": k_b.astype(np.int64)}
+        k, k_a, k_b = (x.astype(np.int64) for x in (k, k_a, k_b))
+        return np.arange(len(k)), {"k": k, "k_a": k_a, "k_b": k_b} | ({"pval": tails(k_a, k_b, k)} if method else {})
 
-    out = sharing(kept.select(F.col("genome").alias("id"), F.col("family").alias("item")), finish, "k bigint, k_a bigint, k_b bigint", min_shared).withColumn("m", F.lit(m).cast("bigint"))
+    bonferroni = method is not None and method.upper() == "BONFERRONI"
+    out = sharing(kept.select(F.col("genome").alias("id"), F.col("family").alias("item")), finish, "k bigint, k_a bigint, k_b bigint" + (", pval double" if method else ""), min_shared, counted=bonferroni)
+    out, tests = out if bonferroni else (out, None)
+    out = out.withColumn("m", F.lit(m).cast("bigint"))
     if method is None:
         return out.select("a", "b", "k", "k_a", "k_b", "m")
-    out = adjusted(out.withColumn("pval", hypergeometric_tail("m", "k_a", "k_b", "k")), "pval", ["a", "b"], method)
+    # every pair is a test, so that the pairs needn't be written before they are corrected by their number
+    out = out.withColumn("p_adj", F.least(F.lit(1.0), F.col("pval") * tests)) if bonferroni else adjusted(out, "pval", ["a", "b"], method)
     return out.withColumn("score", score(F.col("p_adj"))).select("a", "b", "k", "k_a", "k_b", "m", "pval", "p_adj", "score")
 
 
