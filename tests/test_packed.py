@@ -175,3 +175,38 @@ def test_every_key_has_a_model(spark):
     data += [f"one=a{i}|b{i}" if i % 2 else f"one=c{i}" for i in range(2)] + [f"k{k}=A{i}@{i}|Clade" for k in range(30) for i in range(1)]
     got = split(spark, data)
     assert [r[3] for r in got if r[2] == "one"] == ["a1", "b1"]
+
+
+def test_only_keys_with_an_open_place_are_counted(spark):
+    """Values of the others are never asked for: neither shapes nor values of ID and Name reach the model, and the rows are
+    those of a model that counts all keys."""
+    data = [f"ID=i{i % 50};Name=n{i % 7};Note=a{i % 9}x,b{i % 5}y" for i in range(200)] + [f"ID=i{i};Note=a{i % 9}x" for i in range(40)]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(data)], "rec string, text string")
+    found = packed.parsed(df, True)
+    shapes, passes = packed.count(found, True)
+    assert {r["key"] for part in (shapes, *passes) for r in part.collect()} == {"Note"}
+    assert found.agg(F.sum("n")).first()[0] == sum(len(pieces(t, True)) for t in data)
+    m = learned(data)
+    want = [(str(i), j, k, v) for i, t in enumerate(data) for j, (k, v, _) in enumerate(viterbi(pieces(t, True), m), 1)]
+    assert split(spark, data) == sorted(want)
+
+
+def test_sums_of_one_hash_meet_across_batches(spark):
+    """Values alike but for quotes are one; different values may have one hash; shapes are all kept."""
+    r = random.Random(3)
+    sums = [("k", ";", "$", r.choice(["v{0}", '"v{0}"']).format(r.randrange(300)), 1) for _ in range(400)] + [("k", ";", None, f"s{i}", 1) for i in range(20)]
+    at = lambda s: (s[0], unquoted(s[3]), s[2] is None)
+    occurs = {}
+    for s in sums:
+        occurs[at(s)] = occurs.get(at(s), 0) + s[4]
+    want = {}
+    for s in sums:
+        if s[2] is None or occurs[at(s)] > 1:
+            want[s[:4]] = want.get(s[:4], 0) + s[4]
+    df = spark.createDataFrame([(*s, sum(map(ord, unquoted(s[3]))) % 11) for s in sums], "key string, delimiter string, behind string, text string, n bigint, h int")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = packed._recurring(df, True).collect()  # noqa: SLF001
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {tuple(x)[:4]: x["n"] for x in got} == want and len(got) == len(want) and {x["pieces"] for x in got} == {1}

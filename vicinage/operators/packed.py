@@ -21,7 +21,9 @@ shapes otherwise, so it isn't the sum of weights of its pieces: a known value of
 delimiters, looked at alone, would part. Arcs of unknown values are worked off piece by piece, those of known ones are no
 longer than the longest known one, so a field takes time in proportion to its pieces.
 
-All of the column is counted next to the scan, every key, shape and value of it. Pieces are counted first; spans of
+A field is parsed once and kept as pieces. All of the column is counted, every shape and value of each key that has an open
+place anywhere, two pieces of which the second might carry the first on; the values of other keys are certain, and nothing
+asks for their counts. Pieces are counted first; spans of
 several pieces then by fours, each pass only where the spans of the pass before occur twice or more (a span can't recur
 unless its parts do), as far as any recur. A filter of hashes tells the tasks where, which may let more through and never
 less. What occurs once isn't known. Of what recurs all is, but for spans that save less
@@ -35,6 +37,7 @@ brings what their own pieces ask for. Both ways give the same values.
 from __future__ import annotations
 
 import json
+import marshal
 import math
 import re
 import zlib
@@ -64,14 +67,12 @@ HELD = 100_000
 #: Weight of a known value's frequency, and the cost of a letter of a value that isn't known.
 KNOWN, LETTER = 0.5, math.log(50)
 
-_STOP = re.compile(r"[^\S\t\n\r]*(?:([;,|\t\n\r])|$)")
 _STOPS = re.compile(r"[;,|\t\n\r]")
-_BLANKS = re.compile(r"\s*")
 _BRACKET = re.compile(r"[\[\]]")
-_OPEN = re.compile(r"""\s*([A-Za-z_][\w.:-]*)(?:\s*=\s*|\s+(?=["']))""")
 _QUOTED = {q: re.compile(rf"{q}(?:[^{q}]|{q}{q})*{q}(?=\s*(?:[;,|\t\n\r\]]|$))") for q in "\"'"}
-#: Fields with a piece behind a delimiter and without a key of its own, and perhaps some more (Java's).
-_HIDDEN = r"""[;|,\t\n\r]\s*(?![A-Za-z_][A-Za-z0-9_.:-]*(\s*=|\s+["']))[^;|,\s\]]"""
+#: Key, text as far as the next delimiter outside quotes (with blanks behind it), its quoted span and this delimiter, for fields
+#: with keys and without.
+_PIECE = {k: re.compile(rf"""\s*{open_key}((?:({'|'.join(q.pattern for q in _QUOTED.values())}))?[^;|,\t\n\r]*)([;|,\t\n\r]?)""") for k, open_key in ((True, r"""(?:([A-Za-z_][\w.:-]*)(?:\s*=\s*|\s+(?=["'])))?"""), (False, "()?"))}
 _RUNS = re.compile(r"w(?:[ _.'/-]?[w9])*|9+| +")
 
 
@@ -83,13 +84,21 @@ class _Classes(dict):
 
 
 _CLASSES = _Classes()
+#: Shapes of texts whose letters and digits are made alike, as far as they have been worked out; few differ.
+_SHAPES: dict[str, str] = {}
 
 
 def shape(text: str) -> str:
     """Letters and digits made alike; words with what joins them are one w, other runs one sign. A long shape is told
     from others by its digest."""
-    s = _RUNS.sub(lambda m: m[0][0], text.translate(_CLASSES))
-    return s if len(s) <= 48 else blake2b(s.encode(), digest_size=16).hexdigest()
+    alike = text.translate(_CLASSES)
+    known = _SHAPES.get(alike)
+    if known is None:
+        s = _RUNS.sub(lambda m: m[0][0], alike)
+        known = s if len(s) <= 48 else blake2b(s.encode(), digest_size=16).hexdigest()
+        if len(alike) <= 64 and len(_SHAPES) < HELD:
+            _SHAPES[alike] = known
+    return known
 
 
 def pieces(field: str, keyed: bool) -> list[tuple[str, str | None, str, str, bool]]:
@@ -98,29 +107,20 @@ def pieces(field: str, keyed: bool) -> list[tuple[str, str | None, str, str, boo
     if body[:1] == "[" and body[-1:] == "]" and not _BRACKET.search(body[1:-1]):
         body = body[1:-1]
     out: list = []
-    at, end, delimiter, done, n = 0, len(body), FIRST, 0, 0
-    while at <= end:
-        m = _OPEN.match(body, at) if keyed else None
-        if m:
-            key, start = m[1], m.end()
-        else:
-            key, start = None, _BLANKS.match(body, at).end()
-        first = body[start : start + 1]
-        quoted = _QUOTED[first].match(body, start) if first in _QUOTED else None
-        stop = _STOP.search(body, quoted.end() if quoted else start)
-        to = stop.start()
-        text = body[start:to].rstrip()
+    match, at, delimiter, done = _PIECE[keyed].match, 0, FIRST, 0
+    while True:
+        m = match(body, at)
+        key, text, quoted, by = m.groups()
+        text = text.rstrip()
         if text:
-            out.append((delimiter, key, text, body[done:start] if n else "", quoted is not None))
-            done, delimiter, n = to, "", n + 1
-        by = stop[1]
-        if by:
-            if not delimiter or (delimiter != FIRST and DELIMITERS.find(by) < DELIMITERS.find(delimiter)):
-                delimiter = by
-            at = stop.end()
-        else:
-            at = end + 1
-    return out
+            start = m.start(2)
+            out.append((delimiter, key or None, text, body[done:start] if out else "", quoted is not None))
+            done, delimiter = start + len(text), ""
+        if not by:
+            return out
+        if not delimiter or (delimiter != FIRST and DELIMITERS.find(by) < DELIMITERS.find(delimiter)):
+            delimiter = by
+        at = m.end()
 
 
 def unquoted(text: str) -> str:
@@ -161,10 +161,11 @@ def shape_model(rows: list[tuple[dict[str, int], int]], rounds: int = ROUNDS) ->
 class Model:
     """theta, begin, carry and freq of one column, by EM.
 
-    counts: (key, delimiter, shape) -> n; values: (key, delimiter before, delimiter behind, text) -> n.
+    counts: (key, delimiter, shape) -> n; values: (key, delimiter before, delimiter behind, text) -> n; total: pieces of
+    the column, if counts hold only those of some keys.
     """
 
-    def __init__(self, counts: dict[tuple, int] | None = None, values: dict[tuple, int] | None = None, rounds: int = ROUNDS) -> None:
+    def __init__(self, counts: dict[tuple, int] | None = None, values: dict[tuple, int] | None = None, rounds: int = ROUNDS, total: int | None = None) -> None:
         self._weights: dict[tuple, tuple[float, float]] = {}
         self.theta: dict[tuple, float] = {}
         self.begin: dict[tuple, float] = {}
@@ -185,7 +186,7 @@ class Model:
         for (key, before, behind, text), n in (values or {}).items():
             several = len(pieces(text, False)) > 1
             seen[(key, text if several else unquoted(text), several)] += n * self.parts(key, before) * self.parts(key, behind)
-        self.learn(seen, sum((counts or {}).values()) or 1, rounds)
+        self.learn(seen, total or sum((counts or {}).values()) or 1, rounds)
 
     def parts(self, key: str | None, delimiter: str) -> float:
         """How likely the delimiter parts values of the key."""
@@ -359,8 +360,8 @@ def _around(found: list, i: int, j: int, end: int) -> tuple[str, str]:
     return before, LAST if j == end else found[j][0]
 
 
-def _hash(key: str | None, text: str) -> int:
-    return zlib.crc32(f"{key or ''}\x00{text}".encode()) % BITS
+def _hash(key: str | None, text: str, below: int = BITS) -> int:
+    return zlib.crc32(f"{key or ''}\x00{text}".encode()) % below
 
 
 def _sums(counts: Counter, values: bool) -> pa.RecordBatch:
@@ -370,15 +371,48 @@ def _sums(counts: Counter, values: bool) -> pa.RecordBatch:
     return pa.record_batch({"key": pa.array([r[0] for r in rows], pa.string()), "delimiter": pa.array([r[1] for r in rows], pa.string()), "behind": pa.array(behind, pa.string()), "text": pa.array([r[-1] for r in rows], pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
 
 
-def count_pieces(batches: Iterator[pa.RecordBatch], keyed: bool) -> Iterator[pa.RecordBatch]:
+def _hashed(sums: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums with h, a hash of the key and of the text without quotes."""
+    for b in sums:
+        h = [_hash(k, _bare(t), 1 << 31) for k, t in zip(b.column("key").to_pylist(), b.column("text").to_pylist(), strict=True)]
+        yield b.append_column("h", pa.array(h, pa.int32()))
+
+
+def _bare(text: str) -> str:
+    """The same for a text with quotes around it and without."""
+    q = text[:1]
+    return text[1:-1].replace(q + q, q).strip() if q in _QUOTED and len(text) > 1 and text[-1] == q else text
+
+
+def parsed(rows: DataFrame, keyed: bool) -> DataFrame:
+    """(rec, found, n, open) of (rec, text): a field's pieces in marshal's form, how many there are, and the keys under
+    which a place between two of them is open ("" for none)."""
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            each = [pieces(t, keyed) for t in b.column(1).to_pylist()]
+            opened = [list({k or "" for begun, end, k in segments(f) if end > begun + 1}) for f in each]
+            yield pa.record_batch({"rec": b.column(0), "found": pa.array([marshal.dumps(f) for f in each], pa.binary()), "n": pa.array([len(f) for f in each], pa.int32()), "open": pa.array(opened, pa.list_(pa.string()))})
+
+    return cut(rows.mapInArrow(parse, "rec string, found binary, n int, open array<string>"), "parsed")
+
+
+def _found(column: pa.Array, keyed: bool) -> Iterator[list]:
+    """Pieces of each field of a column of texts, or of what parsed() made of them."""
+    held = column.to_pylist()
+    return map(marshal.loads, held) if pa.types.is_binary(column.type) else (pieces(t, keyed) for t in held)
+
+
+def count_pieces(batches: Iterator[pa.RecordBatch], keyed: bool, only: set | None = None) -> Iterator[pa.RecordBatch]:
     """Sums over a partition's fields: (key, delimiter, shape) with its count, and (key, delimiter, behind, text) of the
-    pieces of fields that have several."""
+    pieces of fields that have several. only: the keys to count, "" for none."""
     counts: Counter = Counter()
     values: Counter = Counter()
     for batch in batches:
-        for field in batch.column(0).to_pylist():
-            found = pieces(field, keyed)
+        for found in _found(batch.column(0), keyed):
             for begun, end, key in segments(found):
+                if only is not None and (key or "") not in only:
+                    continue
                 for i in range(begun, end):
                     delimiter, own, text, _, quoted = found[i]
                     counts[(key, KEYED if own is not None and delimiter != FIRST else delimiter, shape(unquoted(text) if quoted else text))] += 1
@@ -398,8 +432,7 @@ def count_spans(batches: Iterator[pa.RecordBatch], keyed: bool, short: int, ofte
     `short` pieces all recur. often: the hashes of these."""
     values: Counter = Counter()
     for batch in batches:
-        for field in batch.column(0).to_pylist():
-            found = pieces(field, keyed)
+        for found in _found(batch.column(0), keyed):
             for begun, end, key in segments(found):
                 if end - begun <= short:
                     continue
@@ -421,12 +454,51 @@ def count_spans(batches: Iterator[pa.RecordBatch], keyed: bool, short: int, ofte
 _COUNTED = "key string, delimiter string, behind string, text string, n bigint"
 
 
-def _recurring(values: DataFrame) -> DataFrame:
-    """Of counted values those that occur at least twice, with quotes or without."""
-    text = F.col("text")
-    inner = reduce(lambda c, q: F.when((F.length(text) > 1) & text.startswith(q) & text.endswith(q), F.btrim(F.replace(F.expr("substring(text, 2, length(text) - 2)"), F.lit(q + q), F.lit(q)))).otherwise(c), "\"'", text)
-    same = values.groupBy("key", inner.alias("_value")).agg(F.sum("n").alias("_n"), F.collect_list(F.struct("delimiter", "behind", "text", "n")).alias("_each"))
-    return same.where("_n > 1").select("key", F.inline("_each"))
+def _recurring(counted: DataFrame, several: bool) -> DataFrame:
+    """(key, delimiter, behind, text, n, pieces) of counted sums (with their h), summed up: those of shapes, and those of
+    values that occur at least twice, with quotes or without. several: pieces of a value are counted, else they are null.
+
+    Sums of one h meet in order in one task, which holds a batch and the sums of the last h.
+    """
+
+    def each(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        sums: Counter = Counter()
+        for *at, n in zip(*(t[c].to_pylist() for c in ("key", "delimiter", "behind", "text", "n")), strict=True):
+            sums[tuple(at)] += n
+        occurs: Counter = Counter()
+        for (key, _, behind, text), n in sums.items():
+            if behind is not None:
+                occurs[key, _bare(text)] += n
+        kept = [(*at, n) for at, n in sums.items() if at[2] is None or occurs[at[0], _bare(at[3])] > 1]
+        if kept:
+            key, delimiter, behind, text, n = zip(*kept, strict=True)
+            count = [len(pieces(x, False)) if several else None for x in text]
+            yield pa.record_batch({"key": pa.array(key, pa.string()), "delimiter": pa.array(delimiter, pa.string()), "behind": pa.array(behind, pa.string()), "text": pa.array(text, pa.string()), "n": pa.array(n, pa.int64()), "pieces": pa.array(count, pa.int32())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            h = b.column("h").to_numpy()
+            begins = int(np.searchsorted(h, h[-1]))
+            # what stands before the last h of the batch is whole
+            if waiting and h[0] != waiting[-1].column("h")[0].as_py() or begins:
+                yield from shared(pa.Table.from_batches([*waiting, b.slice(0, begins)]))
+                waiting = []
+            waiting.append(b.slice(begins))
+        if waiting:
+            yield from shared(pa.Table.from_batches(waiting))
+
+    def shared(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Without the values that have an h and a count of one."""
+        h, n = t["h"].to_numpy(), t["n"].to_numpy()
+        again = np.zeros(len(h), bool)
+        again[1:] = h[1:] == h[:-1]
+        again[:-1] |= again[1:]
+        return each(t.filter(pa.array(again | (n > 1) | t["behind"].is_null().to_numpy())))
+
+    return counted.repartition("h").sortWithinPartitions("h").mapInArrow(run, _COUNTED + ", pieces int")
 
 
 def _filter(keyed_texts: DataFrame) -> np.ndarray | None:
@@ -441,36 +513,36 @@ def _filter(keyed_texts: DataFrame) -> np.ndarray | None:
 
 def count(fields: DataFrame, keyed: bool) -> tuple[DataFrame, list[DataFrame]]:
     """(key, delimiter, text, n) of all shapes, and (key, delimiter, behind, text, n) of all values that occur at least
-    twice, pass by pass."""
-    table = cut(fields.mapInArrow(lambda bs: count_pieces(bs, keyed), _COUNTED).groupBy("key", "delimiter", "behind", "text").agg(F.sum("n").alias("n")), "pieces")
-    shapes, of_pieces = table.where("behind is null").drop("behind"), table.where("behind is not null")
-    values, short = [cut(_recurring(of_pieces), "values")], 1
-    hidden = fields.where(F.col(fields.columns[0]).rlike(_HIDDEN)) if keyed else fields
+    twice, pass by pass. fields: one column of texts, or the table of parsed(), of which only the keys are counted that are
+    open anywhere, as the others' values are never asked for."""
+    hidden, only = fields, None
+    if "open" in fields.columns:
+        keys = [r[0] for r in fields.select(F.explode("open")).distinct().limit(LOCAL + 1).collect()] if LOCAL > 0 else []
+        # beyond what the driver holds, all of them are counted
+        only = {*keys} if 0 < LOCAL >= len(keys) else None
+        hidden, fields = fields.where(F.size("open") > 0).select("found"), fields.select("found")
+    table = cut(_recurring(fields.mapInArrow(lambda bs: _hashed(count_pieces(bs, keyed, only)), _COUNTED + ", h int"), False), "pieces")
+    shapes, values, short = table.where("behind is null").drop("behind", "pieces"), [table.where("behind is not null")], 1
     # the longest spans of a pass tell where the next has to look
     while (often := _filter(values[-1].where(F.col("pieces") == short) if short > 1 else values[-1])) is not None:
-        longer = hidden.mapInArrow(lambda bs, n=short, o=often: count_spans(bs, keyed, n, o), _COUNTED)
+        longer = hidden.mapInArrow(lambda bs, n=short, o=often: _hashed(count_spans(bs, keyed, n, o)), _COUNTED + ", h int")
         short *= LONGER
-        found = _recurring(longer.groupBy("key", "delimiter", "behind", "text").agg(F.sum("n").alias("n")))
-        values.append(cut(found.mapInArrow(_with_pieces, _COUNTED + ", pieces int"), "values"))
+        values.append(cut(_recurring(longer, True), "values"))
     return shapes, [v.drop("pieces") for v in values]
 
 
-def _with_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        yield b.append_column("pieces", pa.array([len(pieces(t, False)) for t in b.column("text").to_pylist()], pa.int32()))
-
-
 def fit(fields: DataFrame, keyed: bool = True) -> Model | DataFrame:
-    """The model of a column; fields: one string column. If it is too large for one place, the table of its entries:
+    """The model of a column; fields: as for count(). If it is too large for one place, the table of its entries:
     (key, kind, text, x, y) of delimiters (theta), shapes (begin and carry) and values (log-frequency)."""
     shapes, passes = count(fields, keyed)
     values = reduce(DataFrame.unionByName, passes)
     size = lambda df: df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     rows, letters = map(sum, zip(size(shapes), size(values), strict=True))
+    total = fields.agg(F.sum("n")).first()[0] if "n" in fields.columns else shapes.agg(F.sum("n")).first()[0]
     if rows > LOCAL or letters > LETTERS:
-        return entries(shapes, values)
+        return entries(shapes, values, total or 1)
     counts = {(r["key"], r["delimiter"], r["text"]): r["n"] for r in shapes.collect()}
-    return Model(counts, {(r["key"], r["delimiter"], r["behind"], r["text"]): r["n"] for r in values.collect()})
+    return Model(counts, {(r["key"], r["delimiter"], r["behind"], r["text"]): r["n"] for r in values.collect()}, total=total)
 
 
 _ENTRY = "key string, kind string, text string, x double, y double"
@@ -484,9 +556,8 @@ def _classes(key: tuple, t: pa.Table) -> pa.Table:
     return pa.table({"key": pa.array([key[0].as_py()] * (n + len(rows)), pa.string()), "kind": ["d"] * n + ["c"] * len(rows), "text": pa.array([*theta, *t["same"].to_pylist()], pa.string()), "x": pa.array([*theta.values(), *begin], pa.float64()), "y": pa.array([0.0] * n + [*carry], pa.float64())})
 
 
-def entries(shapes: DataFrame, values: DataFrame) -> DataFrame:
-    """The entries of a model; every step takes a bounded part of them at a time."""
-    total = shapes.agg(F.sum("n")).first()[0] or 1
+def entries(shapes: DataFrame, values: DataFrame, total: int) -> DataFrame:
+    """The entries of a model; every step takes a bounded part of them at a time. total: pieces of the column."""
     keyed = F.coalesce("key", F.lit("")).alias("key")
     # shapes of a key with the same counts have the same weights
     same = shapes.groupBy(keyed, "text").agg(F.to_json(F.sort_array(F.collect_list(F.array("delimiter", F.col("n").cast("string"))))).alias("same"))
@@ -530,9 +601,10 @@ def entries(shapes: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def _by_group(items: DataFrame, ask: Callable, table: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """run(items, model, counts of values) over groups of items (rec, text), each with the entries that ask(rec, text) names."""
+    """run(items, model, counts of values) over groups of items (rec and another column), each with the entries that ask(rec,
+    the other) names."""
     groups = max(1, -(-items.count() // GROUP))
-    items = items.select("rec", "text", F.pmod(F.xxhash64("rec", "text"), F.lit(groups)).cast("int").alias("g"))
+    items = items.select("*", F.pmod(F.xxhash64(*items.columns), F.lit(groups)).cast("int").alias("g"))
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -586,36 +658,36 @@ def split_packed(df: DataFrame, key: Column | str, field: str, name: str | None
     rows = df.select((F.col(key) if isinstance(key, str) else key).cast("string").alias("rec"), F.col(field).alias("text")).where("rec is not null and text is not null")
     # a field without a delimiter between two texts has one value at most
     core = F.btrim("text", F.lit(DELIMITERS + "[] "))
-    rows = cut(rows.where(reduce(Column.__or__, [F.contains(core, F.lit(d)) for d in DELIMITERS])).distinct(), "packed")
-    model = fit(rows.select("text"), keyed)
+    rows = parsed(rows.where(core.rlike(_STOPS.pattern)).distinct(), keyed)
+    model = fit(rows, keyed)
     schema = "rec_key string, pos int, attr_name string, item_value string"
 
-    def split(recs: list, texts: list, model: Model) -> dict[str, pa.Array]:
+    def split(recs: list, held: list, model: Model | None) -> dict[str, pa.Array]:
         ids, pos, names, values = [], [], [], []
-        for rec, text in zip(recs, texts, strict=True):
-            found = pieces(text, keyed)
-            if len(found) < 2:
-                continue
-            units = [(k, unquoted(v) if q else v) for k, v, q in viterbi(found, model)]
-            units = [(k, v) for k, v in units if v]
+        for rec, found in zip(recs, map(marshal.loads, held), strict=True):
+            units = ((f[1], f[2], f[4]) for f in found) if model is None else viterbi(found, model)
+            units = [(k, v) for k, v in ((k, unquoted(v) if q else v) for k, v, q in units) if v]
             if len(units) > 1:
-                for i, (k, v) in enumerate(units, 1):
-                    ids.append(rec)
-                    pos.append(i)
-                    names.append(k if keyed else name)
-                    values.append(v)
+                ids += [rec] * len(units)
+                pos += range(1, len(units) + 1)
+                names += [k for k, _ in units] if keyed else [name] * len(units)
+                values += [v for _, v in units]
         return {"rec_key": pa.array(ids, pa.string()), "pos": pa.array(pos, pa.int32()), "attr_name": pa.array(names, pa.string()), "item_value": pa.array(values, pa.string())}
 
-    def split_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split_all(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.record_batch(split(b.column(0).to_pylist(), b.column(1).to_pylist(), model))
 
+    # where no place is open each piece is a value
+    several = rows.where("n > 1").select("rec", "found", (F.size("open") > 0).alias("open"))
+    plain, rows = (several.where(c).drop("open") for c in ("not open", "open"))
+    plain = plain.mapInArrow(lambda bs: split_all(bs, None), schema)
     if isinstance(model, Model):
-        return rows.mapInArrow(split_all, schema)
+        return plain.unionByName(rows.mapInArrow(lambda bs: split_all(bs, model), schema))
     first, longest = _long(model)
 
-    def ask(_: str, text: str) -> set:
-        out, found = set(), pieces(text, keyed)
+    def ask(_: str, held: bytes) -> set:
+        out, found = set(), marshal.loads(held)
         for begun, end, k in segments(found):
             if end == begun + 1:
                 continue
@@ -627,4 +699,4 @@ def split_packed(df: DataFrame, key: Column | str, field: str, name: str | None
                     out |= {(k, "v", written(found, i, j)) for j in range(i + 2, min(end, i + longest) + 1)}
         return out
 
-    return _by_group(rows, ask, model, lambda items, m, _: pa.table(split(items["rec"].to_pylist(), items["text"].to_pylist(), m)), schema)
+    return plain.unionByName(_by_group(rows, ask, model, lambda items, m, _: pa.table(split(items["rec"].to_pylist(), items["found"].to_pylist(), m)), schema))
