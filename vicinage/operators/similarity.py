@@ -52,8 +52,9 @@ def repertoire_similarity(rbh: DataFrame, sizes: DataFrame) -> DataFrame:
     return pair.join(q, "q_genome").join(s, "s_genome").select("q_genome", "s_genome", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("total") / least)).alias("wgrr"), "aai", "n_rbh", (F.col("n_rbh") / least).alias("rbh_frac_min"))
 
 
-def shared_families(members: DataFrame, max_df_frac: float = 0.2, min_shared: int = 2, method: str | None = "BH") -> DataFrame:
-    """(a, b, k, k_a, k_b, m[, pval, p_adj, score]) per pair of genomes a < b sharing at least min_shared families.
+def shared_families(members: DataFrame, max_df_frac: float = 0.2, min_shared: int = 2, method: str | None = "BH", sizes: bool = True) -> DataFrame:
+    """(a, b, k, k_a, k_b, m[, pval, p_adj, score]) per pair of genomes a < b sharing at least min_shared families;
+    without a method and sizes (a, b, k), so that no more than these leaves the tasks.
 
     members: (genome, family). Families in more than ceil(max_df_frac * genomes) genomes are left out first, which also
     bounds the pairs there can be.
@@ -68,12 +69,17 @@ def shared_families(members: DataFrame, max_df_frac: float = 0.2, min_shared: in
     tails = Tails(m)
 
     def finish(k, _, k_a, k_b):  # noqa: ANN001, ANN202
-        k, k_a, k_b = (x.astype(np.int64) for x in (k, k_a, k_b))
-        return np.arange(len(k)), {"k": k, "k_a": k_a, "k_b": k_b} | ({"pval": tails(k_a, k_b, k)} if method else {})
+        k, k_a, k_b = (x.astype(np.int64, copy=False) for x in (k, k_a, k_b))
+        if bare:
+            return slice(None), {"k": k}
+        return slice(None), {"k": k, "k_a": k_a, "k_b": k_b} | ({"pval": tails(k_a, k_b, k)} if method else {})
 
+    bare = method is None and not sizes
     bonferroni = method is not None and method.upper() == "BONFERRONI"
-    out = sharing(kept.select(F.col("genome").alias("id"), F.col("family").alias("item")), finish, "k bigint, k_a bigint, k_b bigint" + (", pval double" if method else ""), min_shared, counted=bonferroni)
+    out = sharing(kept.select(F.col("genome").alias("id"), F.col("family").alias("item")), finish, "k bigint" + ("" if bare else ", k_a bigint, k_b bigint") + (", pval double" if method else ""), min_shared, counted=bonferroni)
     out, tests = out if bonferroni else (out, None)
+    if bare:
+        return out
     out = out.withColumn("m", F.lit(m).cast("bigint"))
     if method is None:
         return out.select("a", "b", "k", "k_a", "k_b", "m")

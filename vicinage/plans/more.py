@@ -51,7 +51,7 @@ def jn11_annotated_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{_SHARE.replace('having count(*) >= 2', '')} select a, b, k from full_pairs")
 def jn13_family_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return similarity.shared_families(prot(spark, sf).select("genome", "family"), min_shared=1, method=None).select("a", "b", "k")
+    return similarity.shared_families(prot(spark, sf).select("genome", "family"), min_shared=1, method=None, sizes=False)
 
 
 @query(f"with {_PROT}, {_HIT}, e as (select {_trim('name')} as id, min(kegg_ko) as ko from eggnog_prots group by 1), b as (select qseqid as id, max(bitscore) as bits from hit group by 1) select p.id, e.ko, b.bits from (select distinct id from prot) p left join e on e.id = p.id left join b on b.id = p.id")
