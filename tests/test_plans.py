@@ -188,3 +188,13 @@ def test_spanning_keeps_the_first_edges():
             want.append((x, y, w))
             at = [at[x] if v == at[y] else v for v in at]
     assert list(zip(*(v.tolist() for v in trees.spanning(a, b, d)), strict=True)) == want
+
+
+def test_every_leaf_meets_every_leaf(spark, sf):
+    """alg24 takes no part of the customers: each has a distance to all, itself included."""
+    from vicinage.plans import reference
+
+    ids = [r[0] for r in spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey").collect()]
+    got = reference.alg24_lca_distance(spark, sf).collect()
+    assert sorted((r["cust"], r["other"]) for r in got) == sorted((a, b) for a in ids for b in ids)
+    assert all((r["dist"] == 0) == (r["cust"] == r["other"]) for r in got)
